@@ -3,12 +3,13 @@
 A direct self-join of the transfers pairs every incoming with every outgoing transfer
 of an account, which explodes at busy accounts. Instead:
 
-1. Transfers are reduced to *links* (currency, time window, from, to) with the range of
-   their times and amounts. Repeated transfers between two accounts collapse map-side.
-2. Every link hangs on its less connected end. Each ring has exactly one least
-   connected account, so two links hanging on the same account plus one closing link
-   find it once, and a busy account is never the centre of a pairing. An account has
-   at most sqrt(2 * links) better connected neighbours.
+1. Only accounts that both pay and receive in a time window can be in a ring; transfers
+   between such accounts are reduced to *links* (currency, window, from, to) with the
+   range of their times and amounts, so repeated transfers collapse.
+2. Every link hangs on its less busy end. Each ring has exactly one least busy account,
+   so two links hanging on the same account plus one closing link find it once, and a
+   busy account is never the centre of a pairing: of n transfers in a window, an account
+   has at most sqrt(2n) busier neighbours.
 3. The few link triangles whose ranges could hold a ring pick the transfers to look at,
    and only these are joined into rings with the exact conditions.
 
@@ -77,58 +78,58 @@ def ring_transfers(transfers: DataFrame, cfg: Assessment) -> DataFrame:
     )
 
 
-def links(hops: DataFrame) -> DataFrame:
-    """One row per currency, window and ordered account pair.
+def activity(hops: DataFrame) -> DataFrame:
+    """Transfers per currency, window and account, for accounts that both pay and receive.
 
-    Window w covers buckets w and w + 1; `first_*` are the times of transfers in bucket
-    w, the only ones that may start a ring of this window. Amounts are widened to whole
-    units, which keeps the ranges valid and the rows small.
+    Window w covers buckets w and w + 1, so each transfer counts in two windows.
     """
-    starts = F.col("w") == F.col("bucket")
+    ends = [
+        F.struct(w.alias("w"), F.col(end).alias("acct"), F.lit(pays).alias("pays"), F.lit(1 - pays).alias("gets"))
+        for w in (F.col("bucket"), F.col("bucket") - 1)
+        for end, pays in (("src", 1), ("dst", 0))
+    ]
+    return (
+        hops.select("currency", F.inline(F.array(*ends)))
+        .groupBy("currency", "w", "acct")
+        .agg(F.sum("pays").alias("pays"), F.sum("gets").alias("gets"))
+        .filter((F.col("pays") > 0) & (F.col("gets") > 0))
+        .select("currency", "w", "acct", (F.col("pays") + F.col("gets")).alias("busy"))
+    )
+
+
+def hung_links(hops: DataFrame) -> DataFrame:
+    """One row per currency, window and ordered pair of active accounts.
+
+    `r` holds the ranges: times and amounts of the pair's transfers in the window, and
+    as `first_*` the times of those in bucket w, the only ones that may start a ring of
+    this window. Amounts are widened to whole units, which keeps the ranges valid and the
+    rows small. `hangs_on_src` marks the less busy end.
+    """
+    active = activity(hops)
+    src_busy = active.withColumnsRenamed({"acct": "src", "busy": "src_busy"})
+    dst_busy = active.withColumnsRenamed({"acct": "dst", "busy": "dst_busy"})
+    at_start = F.col("w") == F.col("bucket")
     return (
-        hops.withColumn("w", F.explode(F.array(F.col("bucket"), F.col("bucket") - 1)))
-        .groupBy("currency", "w", "src", "dst")
+        hops.select("currency", "bucket", "src", "dst", "ts", "amount")
+        .withColumn("w", F.explode(F.array(F.col("bucket"), F.col("bucket") - 1)))
+        .join(src_busy, ["currency", "w", "src"])
+        .join(dst_busy, ["currency", "w", "dst"])
+        .groupBy("currency", "w", "src", "dst", "src_busy", "dst_busy")
         .agg(
             F.min("ts").alias("t_min"),
             F.max("ts").alias("t_max"),
-            F.min(F.when(starts, F.col("ts"))).alias("first_min"),
-            F.max(F.when(starts, F.col("ts"))).alias("first_max"),
+            F.min(F.when(at_start, F.col("ts"))).alias("first_min"),
+            F.max(F.when(at_start, F.col("ts"))).alias("first_max"),
             F.min(F.floor("amount").cast("long")).alias("a_min"),
             F.max(F.ceil("amount").cast("long")).alias("a_max"),
         )
-    )
-
-
-def hung_links(link: DataFrame) -> DataFrame:
-    """Links between accounts that both pay and receive, with the less connected end marked."""
-    ends = link.select(
-        "currency",
-        "w",
-        F.explode(
-            F.array(
-                F.struct(F.col("src").alias("acct"), F.lit(1).alias("pays"), F.lit(0).alias("gets")),
-                F.struct(F.col("dst").alias("acct"), F.lit(0).alias("pays"), F.lit(1).alias("gets")),
-            )
-        ).alias("e"),
-    ).select("currency", "w", "e.*")
-    connected = (
-        ends.groupBy("currency", "w", "acct")
-        .agg(F.sum("pays").alias("pays"), F.sum("gets").alias("gets"))
-        .filter((F.col("pays") > 0) & (F.col("gets") > 0))
-        .select("currency", "w", "acct", (F.col("pays") + F.col("gets")).alias("degree"))
-    )
-    src_degree = connected.withColumnsRenamed({"acct": "src", "degree": "src_degree"})
-    dst_degree = connected.withColumnsRenamed({"acct": "dst", "degree": "dst_degree"})
-    return (
-        link.join(src_degree, ["currency", "w", "src"])
-        .join(dst_degree, ["currency", "w", "dst"])
         .select(
             "currency",
             "w",
             "src",
             "dst",
             F.struct(*RANGES).alias("r"),
-            (F.struct("src_degree", "src") < F.struct("dst_degree", "dst")).alias("hangs_on_src"),
+            (F.struct("src_busy", "src") < F.struct("dst_busy", "dst")).alias("hangs_on_src"),
         )
     )
 
@@ -141,7 +142,7 @@ def _similar(one: str, other: str, cfg: Assessment) -> Column:
 
 
 def link_triangles(hung: DataFrame, cfg: Assessment) -> DataFrame:
-    """Directed link triangles x -> y -> z -> x, each once, x being the least connected."""
+    """Directed link triangles x -> y -> z -> x, each once, x being the least busy."""
     at = ["currency", "w"]
     leaving = hung.filter("hangs_on_src").select(
         *at, F.col("src").alias("x"), F.col("dst").alias("y"), F.col("r").alias("xy")
@@ -263,8 +264,7 @@ def assemble(candidates: DataFrame, cfg: Assessment) -> DataFrame:
 def cycles(transfers: DataFrame, cfg: Assessment, stage: Staging) -> DataFrame:
     """All rings, with finding_id by time of the first hop and then by transfer ids."""
     hops = ring_transfers(transfers, cfg)
-    link = stage(links(hops), "links")
-    hung = stage(hung_links(link), "hung-links")
+    hung = stage(hung_links(hops), "hung-links")
     searches = stage(hop_searches(link_triangles(hung, cfg), cfg), "hop-searches")
     candidates = stage(candidate_hops(hops, searches, cfg), "candidate-hops")
     order = ["ts_hop1", "hop1_id", "hop2_id", "hop3_id"]
