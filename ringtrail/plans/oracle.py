@@ -243,7 +243,7 @@ _step(
     "main_currency",
     "touch",
     """
-SELECT account_key, ccy FROM touch GROUP BY ALL
+SELECT account_key, ccy FROM touch GROUP BY account_key, ccy
 QUALIFY row_number() OVER (PARTITION BY account_key ORDER BY count(*) DESC, ccy) = 1
 """,
 )
@@ -344,7 +344,7 @@ _step(
     "mark_currency",
     "mark_touch",
     """
-SELECT account_key, ccy FROM mark_touch GROUP BY ALL
+SELECT account_key, ccy FROM mark_touch GROUP BY account_key, ccy
 QUALIFY row_number() OVER (PARTITION BY account_key ORDER BY count(*) DESC, ccy) = 1
 """,
 )
