@@ -6,6 +6,8 @@ executor costs only the tasks it held.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
@@ -18,7 +20,7 @@ from ringtrail.operators import circular_flow, exposure, graph, mule_hub, publis
 from ringtrail.operators.findings import with_id_offset
 from ringtrail.sources import csv_files
 from ringtrail.sources.tables import WriteReport, overwrite_table, read_table, replace_assessment
-from ringtrail.staging import Staging
+from ringtrail.staging import Staging, delete, exists
 
 FINDING_TABLES = ["silver/finding", "silver/finding_entity", "silver/finding_edge"]
 
@@ -33,6 +35,7 @@ class Pipeline:
     run_ts: datetime = field(default_factory=lambda: datetime.now(UTC).replace(tzinfo=None))
     assessments: dict[str, Assessment] = field(default_factory=lambda: dict(ASSESSMENTS))
     keep_scratch: bool = False
+    parallel_jobs: int = 4
     frames: dict[str, DataFrame] = field(default_factory=dict)
     reports: list[WriteReport] = field(default_factory=list)
 
@@ -42,6 +45,16 @@ class Pipeline:
     def _save(self, name: str, df: DataFrame) -> None:
         self.reports.append(overwrite_table(df, f"{self.root}/{name}", name))
 
+    def _together(self, *jobs: Callable[[], object]) -> None:
+        """Run independent jobs side by side, so that one's last tasks do not leave executors idle."""
+        with ThreadPoolExecutor(self.parallel_jobs) as pool:
+            for running in [pool.submit(job) for job in jobs]:
+                running.result()
+
+    def _save_all(self, **tables: DataFrame) -> None:
+        """Write silver tables side by side."""
+        self._together(*[lambda n=n, df=df: self._save(f"silver/{n}", df) for n, df in tables.items()])
+
     def _staging(self) -> Staging:
         return Staging(self.spark, f"{self.root}/_scratch")
 
@@ -72,24 +85,31 @@ class Pipeline:
 
     def build_silver(self) -> None:
         """Rebuild the graph. Findings refer to it, so they are emptied."""
-        txns, accounts = self.table("bronze/transactions_raw"), self.table("bronze/accounts_raw")
         stage = self._staging()
+        self._together(lambda: self._build_transactions(stage), lambda: self._build_parties(stage))
+        self._done(stage)
+        self.clear_findings()
 
-        numbered = graph.number_transactions(txns, stage)
-        self._save("silver/financial_transaction", graph.financial_transactions(numbered))
-        self._save("silver/has_originating_account", graph.originating(numbered))
-        self._save("silver/has_beneficiary_account", graph.beneficiary(numbered))
-        self._save("silver/transfers_to", graph.transfers_to(numbered))
-        self._save("label/txn_label", graph.txn_labels(numbered))
+    def _build_transactions(self, stage: Staging) -> None:
+        numbered = graph.number_transactions(self.table("bronze/transactions_raw"), stage)
+        self._together(
+            lambda: self._save("silver/transfers_to", graph.transfers_to(numbered)),
+            lambda: self._save("silver/financial_transaction", graph.financial_transactions(numbered)),
+            lambda: self._save("silver/has_originating_account", graph.originating(numbered)),
+            lambda: self._save("silver/has_beneficiary_account", graph.beneficiary(numbered)),
+            lambda: self._save("label/txn_label", graph.txn_labels(numbered)),
+        )
 
-        seen = stage(graph.transaction_accounts(txns), "transaction-accounts")
-        self._save("silver/financial_institution", graph.financial_institutions(seen, accounts))
+    def _build_parties(self, stage: Staging) -> None:
+        accounts = self.table("bronze/accounts_raw")
+        seen = stage(graph.transaction_accounts(self.table("bronze/transactions_raw")), "transaction-accounts")
         self._save("silver/account", graph.account_nodes(seen, accounts))
-        self._save("silver/party", graph.parties(seen, accounts))
-        self._save("silver/has_account", graph.has_account(seen, accounts))
-        self._save("silver/is_held_at", graph.is_held_at(self.table("silver/account")))
-        self._done(stage)
-        self.clear_findings()
+        self._save_all(
+            financial_institution=graph.financial_institutions(seen, accounts),
+            party=graph.parties(seen, accounts),
+            has_account=graph.has_account(seen, accounts),
+            is_held_at=graph.is_held_at(self.table("silver/account")),
+        )
 
     # --- detectors -----------------------------------------------------------------
 
@@ -97,29 +117,26 @@ class Pipeline:
         """Upsert the assessment rows; known ones keep their created_at."""
         new = config_frame(self.spark, self.run_ts, list(self.assessments.values()))
         stage = self._staging()
-        if self._exists("silver/assessment_config"):
+        if exists(self.spark, f"{self.root}/silver/assessment_config"):
             new = stage(upsert_config(self.table("silver/assessment_config"), new), "config")
         self._save("silver/assessment_config", new.coalesce(1))
         stage.clear()
 
-    def _exists(self, name: str) -> bool:
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        return path.getFileSystem(conf).exists(path)
-
     def clear_findings(self) -> None:
-        for assessment_id in K.ASSESSMENT_ORDER:
-            for name in FINDING_TABLES:
-                empty = self.spark.createDataFrame([], schemas.TABLES[name])
-                replace_assessment(empty, f"{self.root}/{name}", assessment_id, name)
+        for name in FINDING_TABLES:
+            delete(self.spark, f"{self.root}/{name}")
 
     def _save_findings(self, assessment_id: str, **tables: DataFrame) -> None:
-        for name in FINDING_TABLES:
+        def save(name: str) -> None:
             df = tables[name.split("/")[1]]
             self.reports.append(replace_assessment(df, f"{self.root}/{name}", assessment_id, name))
 
+        self._together(*[lambda n=n: save(n) for n in FINDING_TABLES])
+
     def _with_ids(self, ranked: DataFrame, assessment_id: str) -> DataFrame:
         """Continue behind the ids of the other assessments."""
+        if not exists(self.spark, f"{self.root}/silver/finding"):
+            return ranked
         finding = self.table("silver/finding")
         return with_id_offset(ranked, finding.filter(finding.assessment_id != assessment_id))
 
@@ -188,9 +205,14 @@ class Pipeline:
             account,
             self.table("silver/has_account"),
         )
-        self._save("gold/finding_entity", entity)
-        self._save("gold/finding", publish.gold_finding(self.table("silver/finding"), self.table("gold/finding_entity")))
-        self._save("gold/finding_edge", publish.gold_edge(self.table("silver/finding_edge"), account))
+
+        def entities_then_findings() -> None:
+            self._save("gold/finding_entity", entity)
+            published = publish.gold_finding(self.table("silver/finding"), self.table("gold/finding_entity"))
+            self._save("gold/finding", published)
+
+        edges = publish.gold_edge(self.table("silver/finding_edge"), account)
+        self._together(entities_then_findings, lambda: self._save("gold/finding_edge", edges))
 
     def run(self, data_dir: str) -> None:
         self.load_csv(data_dir)

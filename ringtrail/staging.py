@@ -37,6 +37,21 @@ def shared_root(spark: SparkSession) -> str:
     return _local_root[0].name
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
 class Staging:
     """Writes frames below one unique folder and hands back readers of them."""
 
@@ -52,7 +67,4 @@ class Staging:
 
     def clear(self) -> None:
         """Delete everything staged here; frames handed out before become unreadable."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        hadoop_conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        path.getFileSystem(hadoop_conf).delete(path, True)
+        delete(self.spark, self.root)
