@@ -47,17 +47,12 @@ def global_rank(
     part = F.shiftrightunsigned("_place", _POSITION_BITS).cast("int")
     position = F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
 
-    sizes = placed.groupBy(part.alias("_part")).count().orderBy("_part").collect()
-    before = itertools.accumulate((r["count"] for r in sizes), initial=start)
-    offsets = df.sparkSession.createDataFrame(
-        [(r["_part"], offset) for r, offset in zip(sizes, before)], "_part int, _offset long"
-    )
-    # One row per partition of the sort: bounded by the partition count, not by the data.
-    return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .select((F.col("_offset") + position + 1).alias(id_col), *columns)
-    )
+    sizes = {r["_part"]: r["count"] for r in placed.groupBy(part.alias("_part")).count().collect()}
+    counts = [sizes.get(p, 0) for p in range(max(sizes, default=0) + 1)]
+    before = itertools.accumulate(counts[:-1], initial=start)
+    # One number per partition of the sort, as a constant of the plan.
+    offsets = F.split(F.lit(",".join(map(str, before))), ",").cast("array<bigint>")
+    return placed.select((F.element_at(offsets, part + 1) + position + 1).alias(id_col), *columns)
 
 
 def top_k_per_group(

@@ -105,7 +105,8 @@ def hung_links(hops: DataFrame) -> DataFrame:
     this window. Amounts are widened to whole units, which keeps the ranges valid and the
     rows small. `hangs_on_src` marks the less busy end.
     """
-    active = activity(hops)
+    # Both sides of these joins grow with the data: always sort-merge, never a broadcast.
+    active = activity(hops).hint("merge")
     src_busy = active.withColumnsRenamed({"acct": "src", "busy": "src_busy"})
     dst_busy = active.withColumnsRenamed({"acct": "dst", "busy": "dst_busy"})
     at_start = F.col("w") == F.col("bucket")

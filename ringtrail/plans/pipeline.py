@@ -126,9 +126,9 @@ class Pipeline:
         for name in FINDING_TABLES:
             delete(self.spark, f"{self.root}/{name}")
 
-    def _save_findings(self, assessment_id: str, **tables: DataFrame) -> None:
+    def _save_findings(self, assessment_id: str, **tables: Callable[[], DataFrame]) -> None:
         def save(name: str) -> None:
-            df = tables[name.split("/")[1]]
+            df = tables[name.split("/")[1]]()
             self.reports.append(replace_assessment(df, f"{self.root}/{name}", assessment_id, name))
 
         self._together(*[lambda n=n: save(n) for n in FINDING_TABLES])
@@ -143,14 +143,14 @@ class Pipeline:
     def detect_circular_flow(self) -> None:
         cfg, stage = self.assessments[K.CIRCULAR_FLOW], self._staging()
         rings = circular_flow.cycles(self.table("silver/transfers_to"), cfg, stage)
-        rings = stage(self._with_ids(rings, cfg.assessment_id), "rings")
+        rings = self._with_ids(rings, cfg.assessment_id)
         self._save_findings(
             cfg.assessment_id,
-            finding=circular_flow.findings(rings, cfg, self.run_ts),
-            finding_entity=circular_flow.entities(
+            finding=lambda: circular_flow.findings(rings, cfg, self.run_ts),
+            finding_entity=lambda: circular_flow.entities(
                 rings, cfg, self.table("silver/has_account"), self.table("silver/is_held_at")
             ),
-            finding_edge=circular_flow.edges(rings, cfg),
+            finding_edge=lambda: circular_flow.edges(rings, cfg),
         )
         self._done(stage, rings=rings)
 
@@ -162,11 +162,11 @@ class Pipeline:
         hubs_with_ids = self._with_ids(hubs, cfg.assessment_id)
         self._save_findings(
             cfg.assessment_id,
-            finding=mule_hub.findings(hubs_with_ids, cfg, self.run_ts),
-            finding_entity=mule_hub.entities(
+            finding=lambda: mule_hub.findings(hubs_with_ids, cfg, self.run_ts),
+            finding_entity=lambda: mule_hub.entities(
                 hubs_with_ids, pairs, cfg, self.table("silver/has_account"), self.table("silver/is_held_at")
             ),
-            finding_edge=mule_hub.edges(hubs_with_ids, transfers, cfg),
+            finding_edge=lambda: mule_hub.edges(hubs_with_ids, transfers, cfg),
         )
         self._done(stage, pair_totals=pairs, hubs=hubs_with_ids)
 
@@ -178,11 +178,11 @@ class Pipeline:
         exposed = self._with_ids(exposure.candidates(labeled, cfg, stage), cfg.assessment_id)
         self._save_findings(
             cfg.assessment_id,
-            finding=exposure.findings(exposed, cfg, self.run_ts),
-            finding_entity=exposure.entities(
+            finding=lambda: exposure.findings(exposed, cfg, self.run_ts),
+            finding_entity=lambda: exposure.entities(
                 exposed, labeled, cfg, self.table("silver/has_account"), self.table("silver/is_held_at")
             ),
-            finding_edge=exposure.edges(exposed, labeled, cfg),
+            finding_edge=lambda: exposure.edges(exposed, labeled, cfg),
         )
         self._done(stage, labeled=labeled, exposed=exposed)
 
