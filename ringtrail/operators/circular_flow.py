@@ -102,16 +102,15 @@ def hung_links(hops: DataFrame) -> DataFrame:
 
     `r` holds the ranges: times and amounts of the pair's transfers in the window, and
     as `first_*` the times of those in bucket w, the only ones that may start a ring of
-    this window. Amounts are widened to whole units, which keeps the ranges valid and the
-    rows small. `hangs_on_src` marks the less busy end.
+    this window. Amounts are widened to whole units before the shuffles, which keeps the
+    ranges valid and the rows small. `hangs_on_src` marks the less busy end.
     """
-    # Both sides of these joins grow with the data: always sort-merge, never a broadcast.
-    active = activity(hops).hint("merge")
+    active = activity(hops)
     src_busy = active.withColumnsRenamed({"acct": "src", "busy": "src_busy"})
     dst_busy = active.withColumnsRenamed({"acct": "dst", "busy": "dst_busy"})
     at_start = F.col("w") == F.col("bucket")
     return (
-        hops.select("currency", "bucket", "src", "dst", "ts", "amount")
+        hops.select("currency", "bucket", "src", "dst", "ts", F.floor("amount").cast("long").alias("units"))
         .withColumn("w", F.explode(F.array(F.col("bucket"), F.col("bucket") - 1)))
         .join(src_busy, ["currency", "w", "src"])
         .join(dst_busy, ["currency", "w", "dst"])
@@ -121,8 +120,8 @@ def hung_links(hops: DataFrame) -> DataFrame:
             F.max("ts").alias("t_max"),
             F.min(F.when(at_start, F.col("ts"))).alias("first_min"),
             F.max(F.when(at_start, F.col("ts"))).alias("first_max"),
-            F.min(F.floor("amount").cast("long")).alias("a_min"),
-            F.max(F.ceil("amount").cast("long")).alias("a_max"),
+            F.min("units").alias("a_min"),
+            (F.max("units") + 1).alias("a_max"),
         )
         .select(
             "currency",
