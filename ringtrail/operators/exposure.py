@@ -80,9 +80,9 @@ def candidates(labeled: DataFrame, cfg: Assessment, stage: Staging) -> DataFrame
         .filter(F.col("labeled_edges") >= cfg.params["min_labeled_edges"])
     )
     ranked = global_rank(per_account, [F.col("labeled_edges").desc(), F.col("account_key")], "finding_id", stage)
-    touched = touches.join(ranked.select("account_key"), "account_key")
-    currency = dominant_value(touched, "account_key", "currency", F.col("copies"))
-    return stage(ranked.join(currency, "account_key", "left"), "exposure-candidates")
+    touched = touches.join(ranked.select("finding_id", "account_key"), "account_key")
+    currency = dominant_value(touched, "finding_id", "currency", F.col("copies"))
+    return stage(ranked.join(currency, "finding_id", "left"), "exposure-candidates")
 
 
 def findings(cands: DataFrame, cfg: Assessment, run_ts: datetime) -> DataFrame:

@@ -42,7 +42,7 @@ def finding_rows(
         "severity": severity,
         "title": title,
         "description": description,
-        "detected_at": F.lit(run_ts),
+        "detected_at": F.lit(run_ts.isoformat(sep=" ")),
         "summary_stats": summary,
         "control_mapping": cfg.controls(),
         "sla_trigger_date": F.col(trigger),

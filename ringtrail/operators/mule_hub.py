@@ -79,16 +79,17 @@ def hubs(pairs: DataFrame, cfg: Assessment, stage: Staging) -> DataFrame:
 
 
 def dominant_currency(hub: DataFrame, transfers: DataFrame) -> DataFrame:
-    """Currency of most transfers touching each hub. Only three columns are scanned; hubs
-    are few and staged, so the scan is normally filtered by a broadcast."""
-    touched = both_sides(transfers, "currency").join(hub.select("account_key"), "account_key")
-    return dominant_value(touched, "account_key", "currency")
+    """Currency of most transfers touching each hub, by finding_id. Only three columns are
+    scanned; hubs are few and staged, so the scan is normally filtered by a broadcast.
+    Counting per finding and not per account gives the counts their own pre-aggregated shuffle."""
+    anchors = hub.select("finding_id", "account_key")
+    touched = both_sides(transfers, "currency").join(anchors, "account_key")
+    return dominant_value(touched, "finding_id", "currency")
 
 
 def candidates(pairs: DataFrame, transfers: DataFrame, cfg: Assessment, stage: Staging) -> DataFrame:
     hub = hubs(pairs, cfg, stage)
-    currency = dominant_currency(hub, transfers)
-    return stage(hub.join(currency, "account_key", "left"), "mule-candidates")
+    return stage(hub.join(dominant_currency(hub, transfers), "finding_id", "left"), "mule-candidates")
 
 
 def findings(cands: DataFrame, cfg: Assessment, run_ts: datetime) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime, timedelta
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,8 @@ CONTROL_KEYS = {"control_bsa": "BSA", "control_fatf": "FATF", "control_eu_amld":
 
 
 def _interval_hours(column: Column) -> Column:
-    micros = F.timestamp_diff("MICROSECOND", F.lit(datetime(2000, 1, 1)), F.lit(datetime(2000, 1, 1)) + column)
+    start = F.expr("timestamp_ntz'2000-01-01 00:00:00'")
+    micros = F.timestamp_diff("MICROSECOND", start, start + column)
     return F.floor(micros / F.lit(3_600_000_000))
 
 
@@ -265,7 +266,9 @@ def mule_hub_candidates(w: Workspace) -> DataFrame:
 
 @_query("mule_hub")
 def dominant_currency(w: Workspace) -> DataFrame:
-    return mule_hub.dominant_currency(w.frame("hubs"), w.table("silver/transfers_to"))
+    hubs = w.frame("hubs").select("finding_id", "account_key")
+    currency = mule_hub.dominant_currency(hubs, w.table("silver/transfers_to"))
+    return hubs.join(currency, "finding_id").drop("finding_id")
 
 
 @_query("exposure")

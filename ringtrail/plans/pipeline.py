@@ -18,6 +18,7 @@ from ringtrail import schemas
 from ringtrail.config import ASSESSMENTS, Assessment, config_frame, upsert_config
 from ringtrail.operators import circular_flow, exposure, graph, mule_hub, publish
 from ringtrail.operators.findings import with_id_offset
+from ringtrail.session import apply_engine_conf
 from ringtrail.sources import csv_files
 from ringtrail.sources.tables import WriteReport, overwrite_table, read_table, replace_assessment
 from ringtrail.staging import Staging, delete, exists
@@ -39,6 +40,9 @@ class Pipeline:
     frames: dict[str, DataFrame] = field(default_factory=dict)
     reports: list[WriteReport] = field(default_factory=list)
 
+    def __post_init__(self) -> None:
+        apply_engine_conf(self.spark)
+
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, f"{self.root}/{name}", schemas.TABLES[name])
 

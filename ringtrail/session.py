@@ -10,15 +10,23 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join even where a following aggregation then needs its own shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Prefer hashing to sorting when every partition of a side is known to be small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Compressed columns are several times larger in memory than on disk.
     "spark.sql.sources.fileCompressionFactor": "3.0",
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
+def apply_engine_conf(spark: SparkSession) -> None:
+    """Set the above in a running session, except what its owner configured."""
+    configured = spark.sparkContext.getConf()
+    for key, value in ENGINE_CONF.items():
+        if not configured.contains(key):
+            spark.conf.set(key, value)
+
+
 def local_session(cpus: str = "8", app: str = "ringtrail", **extra: str) -> SparkSession:
     """A single-JVM session for tests and the bench; clusters bring their own."""
     builder = (
@@ -28,6 +36,7 @@ def local_session(cpus: str = "8", app: str = "ringtrail", **extra: str) -> Spar
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
     )
     for key, value in {**ENGINE_CONF, **extra}.items():
