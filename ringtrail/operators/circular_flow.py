@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringtrail import constants as K
@@ -79,25 +79,45 @@ def ring_transfers(transfers: DataFrame, cfg: Assessment) -> DataFrame:
 
 
 def activity(hops: DataFrame) -> DataFrame:
-    """Transfers per currency, window and account, for accounts that both pay and receive.
+    """How busy each account is in the two windows a bucket belongs to.
 
-    Window w covers buckets w and w + 1, so each transfer counts in two windows.
+    Window w covers buckets w and w + 1. `here` counts an account's transfers in the
+    window starting with the bucket, `before` in the one ending with it; NULL where the
+    account does not both pay and receive. Rows are counted per bucket first, so what is
+    ordered per account is one row per bucket, however many transfers it has.
     """
     ends = [
-        F.struct(w.alias("w"), F.col(end).alias("acct"), F.lit(pays).alias("pays"), F.lit(1 - pays).alias("gets"))
-        for w in (F.col("bucket"), F.col("bucket") - 1)
+        F.struct(F.col(end).alias("acct"), F.lit(pays).alias("pays"), F.lit(1 - pays).alias("gets"))
         for end, pays in (("src", 1), ("dst", 0))
     ]
-    return (
-        hops.select("currency", F.inline(F.array(*ends)))
-        .groupBy("currency", "w", "acct")
+    counts = (
+        hops.select("currency", "bucket", F.inline(F.array(*ends)))
+        .groupBy("currency", "acct", "bucket")
         .agg(F.sum("pays").alias("pays"), F.sum("gets").alias("gets"))
-        .filter((F.col("pays") > 0) & (F.col("gets") > 0))
-        .select("currency", "w", "acct", (F.col("pays") + F.col("gets")).alias("busy"))
     )
+    by_bucket = Window.partitionBy("currency", "acct").orderBy("bucket")
+
+    def busy(neighbour: Column, distance: int) -> Column:
+        """Own and neighbouring bucket together, if the neighbour really is adjacent."""
+        adjacent = neighbour["bucket"] == F.col("bucket") + distance
+        pays, gets = (F.col(c) + F.coalesce(F.when(adjacent, neighbour[c]), F.lit(0)) for c in ("pays", "gets"))
+        return F.when(F.least(pays, gets) > 0, pays + gets)
 
+    row = F.struct("bucket", "pays", "gets")
+    return (
+        counts.withColumns({"next": F.lead(row).over(by_bucket), "previous": F.lag(row).over(by_bucket)})
+        .select(
+            "currency",
+            "bucket",
+            "acct",
+            busy(F.col("next"), 1).alias("here"),
+            busy(F.col("previous"), -1).alias("before"),
+        )
+        .filter(F.col("here").isNotNull() | F.col("before").isNotNull())
+    )
 
-def hung_links(hops: DataFrame) -> DataFrame:
+
+def hung_links(hops: DataFrame, active: DataFrame) -> DataFrame:
     """One row per currency, window and ordered pair of active accounts.
 
     `r` holds the ranges: times and amounts of the pair's transfers in the window, and
@@ -105,15 +125,23 @@ def hung_links(hops: DataFrame) -> DataFrame:
     this window. Amounts are widened to whole units before the shuffles, which keeps the
     ranges valid and the rows small. `hangs_on_src` marks the less busy end.
     """
-    active = activity(hops)
-    src_busy = active.withColumnsRenamed({"acct": "src", "busy": "src_busy"})
-    dst_busy = active.withColumnsRenamed({"acct": "dst", "busy": "dst_busy"})
+
+    def of(end: str) -> DataFrame:
+        return active.withColumnsRenamed({"acct": end, "here": f"{end}_here", "before": f"{end}_before"})
+
+    windows = F.array(
+        *[
+            F.struct(w.alias("w"), F.col(f"src_{which}").alias("src_busy"), F.col(f"dst_{which}").alias("dst_busy"))
+            for w, which in ((F.col("bucket"), "here"), (F.col("bucket") - 1, "before"))
+        ]
+    )
     at_start = F.col("w") == F.col("bucket")
     return (
         hops.select("currency", "bucket", "src", "dst", "ts", F.floor("amount").cast("long").alias("units"))
-        .withColumn("w", F.explode(F.array(F.col("bucket"), F.col("bucket") - 1)))
-        .join(src_busy, ["currency", "w", "src"])
-        .join(dst_busy, ["currency", "w", "dst"])
+        .join(of("src"), ["currency", "bucket", "src"])
+        .join(of("dst"), ["currency", "bucket", "dst"])
+        .select("currency", "bucket", "src", "dst", "ts", "units", F.inline(windows))
+        .filter(F.col("src_busy").isNotNull() & F.col("dst_busy").isNotNull())
         .groupBy("currency", "w", "src", "dst", "src_busy", "dst_busy")
         .agg(
             F.min("ts").alias("t_min"),
@@ -134,10 +162,15 @@ def hung_links(hops: DataFrame) -> DataFrame:
     )
 
 
-def _similar(one: str, other: str, cfg: Assessment) -> Column:
-    """Whether two amount ranges can hold amounts within the allowed ratio."""
-    return (F.col(f"{one}.a_min") <= _ratio(cfg) * F.col(f"{other}.a_max")) & (
-        F.col(f"{other}.a_min") <= _ratio(cfg) * F.col(f"{one}.a_max")
+def _compatible(one: str, other: str, cfg: Assessment) -> Column:
+    """Whether two ranges can hold transfers of one ring: amounts within the allowed ratio,
+    times within the allowed span."""
+    days = F.lit(timedelta(days=_days(cfg)))
+    return (
+        (F.col(f"{one}.a_min") <= _ratio(cfg) * F.col(f"{other}.a_max"))
+        & (F.col(f"{other}.a_min") <= _ratio(cfg) * F.col(f"{one}.a_max"))
+        & (F.col(f"{one}.t_min") <= F.col(f"{other}.t_max") + days)
+        & (F.col(f"{other}.t_min") <= F.col(f"{one}.t_max") + days)
     )
 
 
@@ -152,10 +185,10 @@ def link_triangles(hung: DataFrame, cfg: Assessment) -> DataFrame:
     )
     closing = hung.select(*at, F.col("src").alias("y"), F.col("dst").alias("z"), F.col("r").alias("yz"))
     open_pairs = leaving.join(entering, [*at, "x"]).filter(
-        (F.col("y") != F.col("z")) & _similar("xy", "zx", cfg)
+        (F.col("y") != F.col("z")) & _compatible("xy", "zx", cfg)
     )
     return open_pairs.join(closing, [*at, "y", "z"]).filter(
-        _similar("xy", "yz", cfg) & _similar("yz", "zx", cfg)
+        _compatible("xy", "yz", cfg) & _compatible("yz", "zx", cfg)
     )
 
 
@@ -264,7 +297,8 @@ def assemble(candidates: DataFrame, cfg: Assessment) -> DataFrame:
 def cycles(transfers: DataFrame, cfg: Assessment, stage: Staging) -> DataFrame:
     """All rings, with finding_id by time of the first hop and then by transfer ids."""
     hops = ring_transfers(transfers, cfg)
-    hung = stage(hung_links(hops), "hung-links")
+    active = stage(activity(hops), "activity")
+    hung = stage(hung_links(hops, active), "hung-links")
     searches = stage(hop_searches(link_triangles(hung, cfg), cfg), "hop-searches")
     candidates = stage(candidate_hops(hops, searches, cfg), "candidate-hops")
     order = ["ts_hop1", "hop1_id", "hop2_id", "hop3_id"]
