@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Runtime re-planning does the heavy lifting: it coalesces small shuffle partitions,
@@ -27,6 +30,20 @@ def apply_engine_conf(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+def ensure_scratch(spark: SparkSession) -> None:
+    """Give a session without spark.checkpoint.dir a temporary folder, as tests need one.
+
+    A folder of one machine is of no use to a cluster, whose owner has to name a shared one.
+    """
+    if spark.sparkContext.getConf().contains("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir():
+        return
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    folder = tempfile.TemporaryDirectory(prefix="ringtrail-", ignore_cleanup_errors=True)
+    atexit.register(folder.cleanup)
+    spark.sparkContext.setCheckpointDir(folder.name)
+
+
 def local_session(cpus: str = "8", app: str = "ringtrail", **extra: str) -> SparkSession:
     """A single-JVM session for tests and the bench; clusters bring their own."""
     builder = (
@@ -43,4 +60,5 @@ def local_session(cpus: str = "8", app: str = "ringtrail", **extra: str) -> Spar
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ensure_scratch(spark)
     return spark

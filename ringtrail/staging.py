@@ -9,32 +9,21 @@ from __future__ import annotations
 
 import atexit
 import itertools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_root: list[tempfile.TemporaryDirectory] = []
-
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach: spark.checkpoint.dir.
-
-    Only a local master may fall back to a temporary folder of this machine.
-    """
+    """The folder every executor can reach: spark.checkpoint.dir."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured is None:
         configured = spark.sparkContext.getCheckpointDir()
-    if configured is not None:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if configured is None:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if not _local_root:
-        _local_root.append(tempfile.TemporaryDirectory(prefix="ringtrail-", ignore_cleanup_errors=True))
-        atexit.register(_local_root[0].cleanup)
-    return _local_root[0].name
+    return configured.rstrip("/")
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -55,8 +44,10 @@ def delete(spark: SparkSession, path: str) -> None:
 class Staging:
     """Writes frames below one unique folder and hands back readers of them."""
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None, *, sweep: bool = False):
         self.spark = spark
+        if sweep:  # the frames outlive the call that made them: deleted when the driver ends
+            atexit.register(self._sweep)
         self.root = f"{root or shared_root(spark)}/ringtrail-{uuid.uuid4().hex}"
         self._next = itertools.count()
 
@@ -68,3 +59,9 @@ class Staging:
     def clear(self) -> None:
         """Delete everything staged here; frames handed out before become unreadable."""
         delete(self.spark, self.root)
+
+    def _sweep(self) -> None:
+        try:
+            self.clear()
+        except Exception:  # the session is gone, and with it the way to its folder
+            return
