@@ -27,15 +27,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def staging(spark: SparkSession) -> Staging:
-    """Cut points below spark.checkpoint.dir, and batches small enough for long texts."""
+    """Cut points below spark.checkpoint.dir, in a session prepared for long texts."""
     ensure_scratch(spark)
-    set_batches(spark)
-    # Python workers import this package from where the driver has it, unless it is installed.
-    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    prepare(spark)
     return Staging(spark, sweep=True)
 
 
-def set_batches(spark: SparkSession) -> None:
+def prepare(spark: SparkSession) -> None:
+    """Small Arrow batches, as texts may be long, and this package for the Python workers."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not spark.sparkContext.getConf().contains(key):
         spark.conf.set(key, str(BATCH_ROWS))

@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ringtrail.llm import exact_dedup, mixing, simhash
-from ringtrail.llm.common import staging, table
+from ringtrail.llm import byte_bpe, exact_dedup, mixing, simhash, token_files, warc
+from ringtrail.llm.common import prepare, staging, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return token_files.token_round_trip(table(spark, sf_dir, "documents"), staging(spark), tokenizer)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), staging(spark))
 
@@ -20,11 +26,21 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), staging(spark))
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), staging(spark))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"), staging(spark))
+
+
 OP3_SQL = r"""
 WITH t AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -35,8 +51,11 @@ FROM t WINDOW g AS (PARTITION BY text_sha256)
 """
 
 
+QUERIES = (op2_token_files, op3_exact_dedup, op6_simhash, op8_byte_bpe, op9_mixing, op10_warc)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_exact_dedup, op6_simhash, op9_mixing)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
