@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ringtrail.llm import byte_bpe, exact_dedup, mixing, simhash, token_files, warc
+from ringtrail.llm import byte_bpe, embedding_dedup, exact_dedup, language_id, mixing, simhash, token_files, warc
 from ringtrail.llm.common import prepare, staging, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,16 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), staging(spark))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.learn(docs))
+
+
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), staging(spark))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), staging(spark))
 
@@ -51,7 +61,16 @@ FROM t WINDOW g AS (PARTITION BY text_sha256)
 """
 
 
-QUERIES = (op2_token_files, op3_exact_dedup, op6_simhash, op8_byte_bpe, op9_mixing, op10_warc)
+QUERIES = (
+    op2_token_files,
+    op3_exact_dedup,
+    op4_language_id,
+    op5_embedding_dedup,
+    op6_simhash,
+    op8_byte_bpe,
+    op9_mixing,
+    op10_warc,
+)
 
 
 def queries() -> dict[str, Query]:

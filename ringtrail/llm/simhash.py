@@ -112,3 +112,28 @@ def simhash_groups(
     named = stage(placed.join(smallest, "root").select("fp", "component_id"), "named")
     text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return rows.join(named, "fp").select(F.col("_id").alias(id_col), text.alias("fingerprint"), "component_id")
+
+
+def drop_near_copies(
+    docs: DataFrame,
+    stage: Staging,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = SHINGLE_WORDS,
+    radius: int = RADIUS,
+) -> DataFrame:
+    """One row of each component, with all columns of `docs`: that with the smallest id, null ids last.
+
+    `docs` must be a stored table: its rows are told apart by their place in it.
+    """
+    packed = docs.select(F.struct("*").alias("_doc"), F.monotonically_increasing_id().alias("_place"))
+    doc = packed["_doc"]
+    rows = packed.select("_place", doc[text_col].alias("_text"))
+    groups = simhash_groups(rows, stage, "_place", "_text", words, radius).select("_place", "component_id")
+    ids = packed.select(F.col("_place").alias("_row"), doc[id_col].alias("_id"))
+    order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))
+    placed = stage(groups.join(ids, F.col("_place") == F.col("_row")).select("component_id", "_id", "_row"), "members")
+    keep = placed.groupBy("component_id").agg(F.count(F.lit(1)).alias("n"), F.min(order)["row"].alias("_keep"))
+    keep = stage(keep.where("n > 1").select(F.col("component_id").alias("_group"), "_keep"), "keepers")
+    gone = placed.join(keep, F.col("component_id") == F.col("_group")).where("_row <> _keep").select("_row")
+    return packed.join(stage(gone, "dropped"), F.col("_place") == F.col("_row"), "left_anti").select("_doc.*")
