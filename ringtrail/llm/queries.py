@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ringtrail.llm import byte_bpe, embedding_dedup, exact_dedup, language_id, mixing, simhash, token_files, warc
+from ringtrail.llm import byte_bpe, embedding_dedup, exact_dedup, html_text, language_id, mixing, simhash, token_files, warc
 from ringtrail.llm.common import prepare, staging, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), staging(spark))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -67,6 +72,7 @@ QUERIES = (
     op4_language_id,
     op5_embedding_dedup,
     op6_simhash,
+    op7_html_text,
     op8_byte_bpe,
     op9_mixing,
     op10_warc,
