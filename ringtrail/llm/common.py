@@ -166,6 +166,12 @@ def put_file(uri: str, data: bytes, attempt: str) -> None:
     files.move(draft, path)
 
 
+def get_file(uri: str) -> bytes:
+    files, path = _file_system(uri)
+    with files.open_input_stream(path) as data:
+        return data.read()
+
+
 def read_files(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
     """(path, content) of the files written below a folder, one row each."""
     return spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folder).select("path", "content")

@@ -7,12 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ringtrail.llm import byte_bpe, embedding_dedup, exact_dedup, html_text, language_id, mixing, simhash, token_files, warc
+from ringtrail.llm import byte_bpe, embedding_dedup, exact_dedup, html_text, language_id, lm_scoring, mixing, simhash, token_files, warc
 from ringtrail.llm.common import prepare, staging, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return lm_scoring.score(table(spark, sf_dir, "documents"), staging(spark), ranks, public_tokenizers.PATTERN)
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return token_files.token_round_trip(table(spark, sf_dir, "documents"), staging(spark), tokenizer)
@@ -67,6 +72,7 @@ FROM t WINDOW g AS (PARTITION BY text_sha256)
 
 
 QUERIES = (
+    op1_lm_scoring,
     op2_token_files,
     op3_exact_dedup,
     op4_language_id,
