@@ -18,6 +18,7 @@ Steps 1 and 2 only rule out what cannot be a ring; step 3 decides.
 
 from __future__ import annotations
 
+import math
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
@@ -37,16 +38,10 @@ from ringtrail.operators.findings import (
 )
 from ringtrail.staging import Staging
 
+# Cells of the last joins, see _cells; rings with no more pairs of candidates than this need none.
+BANDS, SLICES = 8, 4
+COARSE_PAIRS = 10_000
 RANGES = ["t_min", "t_max", "first_min", "first_max", "a_min", "a_max"]
-RING_COLUMNS = [
-    "hop1_id", "hop2_id", "hop3_id",
-    "acct_a", "acct_b", "acct_c",
-    "ts_hop1", "ts_hop2", "ts_hop3",
-    "amt_hop1", "amt_hop2", "amt_hop3",
-    "currency",
-    "pf_hop1", "pf_hop2", "pf_hop3",
-    "amt_min", "amt_max",
-]
 
 
 def _days(cfg: Assessment) -> int:
@@ -265,32 +260,119 @@ def candidate_hops(hops: DataFrame, searches: DataFrame, cfg: Assessment) -> Dat
     )
 
 
-def _hop(candidates: DataFrame, n: int) -> DataFrame:
-    renamed = {"fin_txn_id": f"hop{n}_id", "ts": f"ts_hop{n}", "amount": f"amt_hop{n}", "payment_format": f"pf_hop{n}"}
-    return candidates.filter(F.col("hop") == n).drop("hop").withColumnsRenamed(renamed)
+def _cells(lo: Column, hi: Column, amount_lo: Column, amount_hi: Column, cfg: Assessment) -> Column:
+    """The cells that a span of times and amounts reaches, as an array of (band, slice).
+
+    A band is 1 / BANDS of the allowed ratio, a slice 1 / SLICES of the allowed span. Rings with
+    few candidates have one cell, number 0, for everything.
+    """
+    bands = F.sequence(_band(amount_lo, cfg, -1e-6), _band(amount_hi, cfg, 1e-6))
+    slices = F.sequence(_slice(lo, cfg), _slice(hi, cfg))
+    fine = F.flatten(
+        F.transform(bands, lambda b: F.transform(slices, lambda t: F.struct(b.alias("band"), t.alias("slice"))))
+    )
+    one = F.array(F.struct(F.lit(0).cast("long").alias("band"), F.lit(0).cast("long").alias("slice")))
+    empty = (lo > hi) | (amount_lo > amount_hi)
+    return F.when(empty, F.filter(one, lambda _: F.lit(False))).when(F.col("fine"), fine).otherwise(one)
+
+
+def _band(amount: Column, cfg: Assessment, slack: float = 0.0) -> Column:
+    width = math.log(float(cfg.params["max_amount_ratio"])) / BANDS
+    return F.floor(F.ln(amount.cast("double")) / F.lit(width) + F.lit(slack))
 
 
-def assemble(candidates: DataFrame, cfg: Assessment) -> DataFrame:
-    """Rings with the exact conditions, from the candidate transfers of each possible ring."""
+def _slice(ts: Column, cfg: Assessment) -> Column:
+    start = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
+    return F.floor(F.timestamp_diff("SECOND", start, ts) / F.lit(_days(cfg) * 86400 // SLICES))
+
+
+def _reach(known: list[Column], hop: Column, cfg: Assessment) -> dict[str, Column]:
+    """Times and amounts that a hop may have, given other hops of its ring."""
     days = F.lit(timedelta(days=_days(cfg)))
+    los = [F.when(k["hop"] < hop, k["ts"]).otherwise(k["ts"] - days) for k in known]
+    his = [F.when(k["hop"] < hop, k["ts"] + days).otherwise(k["ts"]) for k in known]
+    amounts = [k["amount"] for k in known]
+    most, least = (F.greatest(*amounts), F.least(*amounts)) if len(known) > 1 else (amounts[0], amounts[0])
+    many = len(known) > 1
+    return {
+        "t_lo": F.greatest(*los) if many else los[0],
+        "t_hi": F.least(*his) if many else his[0],
+        # Compared without a division, which would round.
+        "top": most,
+        "bottom": least,
+    }
+
+
+def assemble(candidates: DataFrame, cfg: Assessment, stage: Staging) -> DataFrame:
+    """Rings with the exact conditions, from the candidate transfers of each possible ring.
+
+    The hop with the fewest candidates goes first, the one with the most last. Where a ring has
+    many, hops meet by cells of amount and time, so that next to no pairs are formed that break a
+    condition, and the work of a busy ring spreads over tasks.
+    """
     ring = ["currency", "w", "a", "b", "c"]
-    ts1, ts2, ts3 = (F.col(f"ts_hop{n}") for n in (1, 2, 3))
-    amounts = [F.col(f"amt_hop{n}") for n in (1, 2, 3)]
-    first_two = _hop(candidates, 1).join(_hop(candidates, 2), ring).filter(
-        (ts1 <= ts2)
-        & (ts2 <= ts1 + days)
-        & (F.greatest(*amounts[:2]) <= _ratio(cfg) * F.least(*amounts[:2]))
+    sizes = candidates.groupBy(*ring).agg(*[F.count_if(F.col("hop") == n).alias(f"n{n}") for n in (1, 2, 3)])
+    by_size = F.array_sort(F.array(*[F.struct(F.col(f"n{n}").alias("n"), F.lit(n).alias("hop")) for n in (1, 2, 3)]))
+    sizes = sizes.filter("n1 > 0 AND n2 > 0 AND n3 > 0").withColumn("o", by_size)
+    turns = stage(
+        sizes.select(
+            *ring,
+            *[F.col("o")[k]["hop"].alias(name) for k, name in enumerate(("few", "some", "most"))],
+            (F.col("o")[1]["n"] * F.col("o")[2]["n"] > COARSE_PAIRS).alias("fine"),
+        ),
+        "ring-sizes",
     )
-    return (
-        first_two.join(_hop(candidates, 3), ring)
-        .filter(
-            (ts2 <= ts3)
-            & (ts3 <= ts1 + days)
-            & (F.greatest(*amounts) <= _ratio(cfg) * F.least(*amounts))
+    hop = F.struct("hop", "fin_txn_id", "ts", "amount", "payment_format")
+    ranked = stage(
+        candidates.join(turns, ring).select(*ring, "few", "some", "most", "fine", hop.alias("h")), "ranked-candidates"
+    )
+
+    def of(turn: str, name: str) -> DataFrame:
+        h = F.col("h")
+        band = F.when(F.col("fine"), _band(h["amount"], cfg)).otherwise(F.lit(0))
+        cut = F.when(F.col("fine"), _slice(h["ts"], cfg)).otherwise(F.lit(0))
+        chosen = ranked.filter(h["hop"] == F.col(turn))
+        return chosen.select(*ring, h.alias(name), band.alias("band"), cut.alias("slice"))
+
+    def meet(left: DataFrame, known: list[str], turn: str, name: str) -> DataFrame:
+        ratio = _ratio(cfg)
+        reach = _reach([F.col(k) for k in known], F.col(turn), cfg)
+        spread = left.withColumns(reach)
+        cells = _cells(
+            F.col("t_lo"), F.col("t_hi"),
+            F.col("top").cast("double") / ratio.cast("double"), F.col("bottom").cast("double") * ratio.cast("double"), cfg,
+        )
+        spread = spread.select("*", F.inline(cells))
+        amount, ts = F.col(name)["amount"], F.col(name)["ts"]
+        return (
+            spread.join(of(turn, name), [*ring, "band", "slice"])
+            .filter(
+                ts.between(F.col("t_lo"), F.col("t_hi"))
+                & (F.greatest(F.col("top"), amount) <= ratio * F.least(F.col("bottom"), amount))
+            )
+            .drop("band", "slice", *reach)
         )
-        .withColumnsRenamed({"a": "acct_a", "b": "acct_b", "c": "acct_c"})
-        .withColumns({"amt_min": F.least(*amounts), "amt_max": F.greatest(*amounts)})
-        .select(*RING_COLUMNS)
+
+    first = ranked.filter(F.col("h")["hop"] == F.col("few")).withColumnRenamed("h", "x")
+    met = meet(meet(first, ["x"], "some", "y"), ["x", "y"], "most", "z")
+    hops = F.array_sort(F.array("x", "y", "z"))
+    found = met.select(*ring, *[hops[n - 1].alias(f"h{n}") for n in (1, 2, 3)])
+    days = F.lit(timedelta(days=_days(cfg)))
+    h = [F.col(f"h{n}") for n in (1, 2, 3)]
+    amounts = [x["amount"] for x in h]
+    return found.filter(
+        (h[0]["ts"] <= h[1]["ts"]) & (h[1]["ts"] <= h[2]["ts"]) & (h[2]["ts"] <= h[0]["ts"] + days)
+    ).select(
+        *[x["fin_txn_id"].alias(f"hop{n}_id") for n, x in enumerate(h, 1)],
+        F.col("a").alias("acct_a"),
+        F.col("b").alias("acct_b"),
+        F.col("c").alias("acct_c"),
+        *[x["ts"].alias(f"ts_hop{n}") for n, x in enumerate(h, 1)],
+        *[x["amount"].alias(f"amt_hop{n}") for n, x in enumerate(h, 1)],
+        "currency",
+        *[x["payment_format"].alias(f"pf_hop{n}") for n, x in enumerate(h, 1)],
+        F.least(*amounts).alias("amt_min"),
+        F.greatest(*amounts).alias("amt_max"),
     )
 
 
@@ -302,7 +384,7 @@ def cycles(transfers: DataFrame, cfg: Assessment, stage: Staging) -> DataFrame:
     searches = stage(hop_searches(link_triangles(hung, cfg), cfg), "hop-searches")
     candidates = stage(candidate_hops(hops, searches, cfg), "candidate-hops")
     order = ["ts_hop1", "hop1_id", "hop2_id", "hop3_id"]
-    return global_rank(assemble(candidates, cfg), order, "finding_id", stage)
+    return global_rank(assemble(candidates, cfg, stage), order, "finding_id", stage)
 
 
 def closable_paths(rings: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Ring detection: boundary cases by hand and random graphs against brute force."""
 
 import random
+import time
 from datetime import datetime, timedelta
 from decimal import Decimal
 from itertools import permutations
@@ -207,6 +208,40 @@ def test_a_hub_does_not_multiply_links(spark, stage):
     assert circular_flow.cycles(transfers_frame(spark, rows), CIRCULAR_FLOW, stage).count() == len(brute_force(rows))
 
 
+def busy_ring(n):
+    """n transfers on two sides of a ring, of which almost no two fit, and one that closes it."""
+    rows = [transfer(i, "B1:a", "B1:b", hours(1), 1600 if i == 0 else 1500) for i in range(n)]
+    rows += [transfer(n + i, "B1:b", "B1:c", hours(2), 2200 if i == 0 else 2390) for i in range(n)]
+    return [*rows, transfer(2 * n, "B1:c", "B1:a", hours(3), 1900)]
+
+
+def test_a_busy_ring_forms_no_product(spark, stage):
+    """Of n * n pairs 2n - 1 are rings: the joins before the last conditions stay linear."""
+    n = 20_000
+    frame = transfers_frame(spark, busy_ring(n))
+    began = time.monotonic()
+    rings = circular_flow.cycles(frame, CIRCULAR_FLOW, stage)
+    assert rings.count() == 2 * n - 1
+    assert time.monotonic() - began < 120
+
+
+@pytest.mark.parametrize("sides", [(60, 70, 3), (3, 60, 70), (70, 3, 60)])
+def test_fine_cells_equal_brute_force(spark, stage, sides, monkeypatch):
+    """Amounts and times around the limits, with every ring large enough for cells."""
+    monkeypatch.setattr(circular_flow, "COARSE_PAIRS", 5)
+    rng = random.Random(sum(sides[:2]))
+    rows, accounts = [], ["B1:a", "B1:b", "B1:c"]
+    for k, n in enumerate(sides):
+        for _ in range(n):
+            amount = rng.choice([1500, 1600, 1999.9999, 2000, 2250, 2250.0001, 2399, 2400, 2400.0001, 3000])
+            when = timedelta(hours=rng.choice([0, 1, 83, 84, 85, 335, 336, 337, 400]))
+            rows.append(transfer(len(rows) + 1, accounts[k], accounts[(k + 1) % 3], when, amount))
+    rings = circular_flow.cycles(transfers_frame(spark, rows), CIRCULAR_FLOW, stage).collect()
+    got = [(r["hop1_id"], r["hop2_id"], r["hop3_id"]) for r in rings]
+    expected = brute_force(rows)
+    assert len(expected) > 20 and len(got) == len(set(got)) and set(got) == expected
+
+
 def test_unsupported_shape_is_refused():
     from dataclasses import replace
 
