@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ringtrail.operators import reads
 from ringtrail.operators.findings import severity_breakdown
@@ -43,6 +43,13 @@ def parser() -> argparse.ArgumentParser:
     return ap
 
 
+def print_rows(df: DataFrame) -> None:
+    """All rows, tab-separated below their names; fetched one partition at a time."""
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("" if value is None else str(value) for value in row))
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     builder = SparkSession.builder.appName(f"ringtrail-{args.command}")
@@ -65,16 +72,16 @@ def main(argv: list[str] | None = None) -> None:
             "publish": p.publish,
         }[args.step]()
     elif args.command == "list":
-        reads.list_findings(p.table("gold/finding"), args.severity, args.limit).show(args.limit, truncate=False)
+        print_rows(reads.list_findings(p.table("gold/finding"), args.severity, args.limit))
     elif args.command == "breakdown":
-        severity_breakdown(p.table("silver/finding")).show()
+        print_rows(severity_breakdown(p.table("silver/finding")))
     elif args.command == "show":
         detail = reads.finding_detail(p.table("gold/finding"), args.finding_id)
         if detail.isEmpty():
             raise SystemExit(f"finding {args.finding_id} not found")
         detail.show(truncate=False, vertical=True)
         for part in reads.finding_graph(p.table("gold/finding_entity"), p.table("gold/finding_edge"), args.finding_id):
-            part.show(1000, truncate=False)
+            print_rows(part)
     for report in p.reports:
         print(report)
 

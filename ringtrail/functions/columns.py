@@ -9,7 +9,8 @@ from ringtrail import constants as K
 
 
 def account_key(bank: str, account: str) -> Column:
-    return F.concat_ws(":", F.col(bank), F.col(account))
+    """NULL if a part is: half a key would name another account."""
+    return F.concat(F.col(bank), F.lit(":"), F.col(account))
 
 
 def whole_hours(start: str, end: str) -> Column:

@@ -41,6 +41,15 @@ from ringtrail.staging import Staging
 # Cells of the last joins, see _cells; rings with no more pairs of candidates than this need none.
 BANDS, SLICES = 8, 4
 COARSE_PAIRS = 10_000
+RING_COLUMNS = [
+    "hop1_id", "hop2_id", "hop3_id",
+    "acct_a", "acct_b", "acct_c",
+    "ts_hop1", "ts_hop2", "ts_hop3",
+    "amt_hop1", "amt_hop2", "amt_hop3",
+    "currency",
+    "pf_hop1", "pf_hop2", "pf_hop3",
+    "amt_min", "amt_max",
+]
 RANGES = ["t_min", "t_max", "first_min", "first_max", "a_min", "a_max"]
 
 

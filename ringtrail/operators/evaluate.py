@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ringtrail import constants as K
 
+DETECTORS = ("circular_flow", "mule_hub", "laundering_exposure")
 GRAPH_NATIVE = "graph_native"
 
 
@@ -30,7 +31,7 @@ def _is_labelled():
 def base_rate(labels: DataFrame) -> DataFrame:
     return labels.agg(
         F.count(F.lit(1)).alias("transactions"), F.count_if(_is_labelled()).alias("labeled")
-    ).withColumn("base_rate", F.col("labeled") / F.col("transactions"))
+    ).withColumn("base_rate", F.try_divide("labeled", "transactions"))
 
 
 def flagged(edges: DataFrame, labels: DataFrame) -> DataFrame:
@@ -49,29 +50,37 @@ def precision(edges: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def recall(edges: DataFrame, labels: DataFrame) -> DataFrame:
-    """Share of labelled transfers each detector captured, and both graph detectors together."""
-    total = labels.filter(_is_labelled()).count()
+    """Share of labelled transfers each detector captured, and both graph detectors together.
+
+    Every detector has a row, at zero too; the share is NULL where nothing is labelled.
+    """
     hits = flagged(edges, labels).filter(_is_labelled()).select("fin_txn_id", "detector")
     native = (
         hits.filter(F.col("detector").isin("circular_flow", "mule_hub"))
         .select("fin_txn_id", F.lit(GRAPH_NATIVE).alias("detector"))
         .distinct()
     )
-    return (
-        hits.unionByName(native)
-        .groupBy("detector")
-        .agg(F.count(F.lit(1)).alias("labeled_captured"))
-        .withColumn("labeled_total", F.lit(total).cast("long"))
-        .withColumn("recall_pct", F.round(100.0 * F.col("labeled_captured") / F.col("labeled_total"), 2))
+    captured = hits.unionByName(native).groupBy("detector").agg(F.count(F.lit(1)).alias("labeled_captured"))
+    # One row per detector from the totals' one row.
+    names = F.explode(F.array(*[F.lit(d) for d in (*DETECTORS, GRAPH_NATIVE)]))
+    total = labels.agg(F.count_if(_is_labelled()).alias("labeled_total")).select(names.alias("detector"), "labeled_total")
+    return total.join(captured, "detector", "left").select(
+        "detector",
+        F.coalesce("labeled_captured", F.lit(0)).alias("labeled_captured"),
+        "labeled_total",
+        F.round(
+            F.try_divide(100.0 * F.coalesce("labeled_captured", F.lit(0)), F.col("labeled_total")), 2
+        ).alias("recall_pct"),
     )
 
 
 def lift(edges: DataFrame, labels: DataFrame) -> DataFrame:
-    """Precision relative to drawing transfers blindly."""
-    base = base_rate(labels).first()
+    """Precision relative to drawing transfers blindly; NULL where nothing is labelled."""
+    names = F.explode(F.array(*[F.lit(d) for d in DETECTORS]))
+    base = base_rate(labels).select(names.alias("detector"), "transactions", "labeled")
     share = F.col("labeled_txns") / F.col("flagged_txns")
-    return precision(edges, labels).select(
-        "detector", F.round(share * base["transactions"] / base["labeled"], 2).alias("lift")
+    return precision(edges, labels).join(base, "detector").select(
+        "detector", F.round(F.try_divide(share * F.col("transactions"), F.col("labeled")), 2).alias("lift")
     )
 
 
@@ -96,7 +105,8 @@ def ring_overlap(edges: DataFrame, labels: DataFrame) -> DataFrame:
 def account_signal(entities: DataFrame, transfers: DataFrame, labels: DataFrame) -> DataFrame:
     """Labelled share of the transfers that touch an account named in a mule-hub finding.
 
-    A transfer of an account to itself touches it once.
+    A transfer of an account to itself touches it once. Touches are counted from the transfers
+    alone; only labelled ones are looked up.
     """
     accounts = (
         entities.filter((F.col("assessment_id") == K.MULE_HUB) & (F.col("entity_type") == K.ACCOUNT))
@@ -106,9 +116,9 @@ def account_signal(entities: DataFrame, transfers: DataFrame, labels: DataFrame)
     ends = F.array_distinct(F.array("from_account_key", "to_account_key"))
     touches = transfers.select("fin_txn_id", F.explode(ends).alias("account_key")).join(accounts, "account_key")
     per_account = (
-        touches.join(labels, "fin_txn_id")
+        touches.join(labels.filter(_is_labelled()).select("fin_txn_id", F.lit(1).alias("hit")), "fin_txn_id", "left")
         .groupBy("account_key")
-        .agg(F.count(F.lit(1)).alias("touched"), F.count_if(_is_labelled()).alias("labeled"))
+        .agg(F.count(F.lit(1)).alias("touched"), F.count("hit").alias("labeled"))
     )
     return per_account.agg(
         F.count(F.lit(1)).alias("accounts"),

@@ -11,7 +11,7 @@ from ringtrail import constants as K
 from ringtrail import schemas
 from ringtrail.config import Assessment
 from ringtrail.functions.columns import account_key, whole_hours
-from ringtrail.functions.ranking import dominant_value, global_rank
+from ringtrail.functions.ranking import global_rank
 from ringtrail.operators.findings import (
     account_entities,
     both_sides,
@@ -57,8 +57,9 @@ def candidates(labeled: DataFrame, cfg: Assessment, stage: Staging) -> DataFrame
     """Accounts over the threshold, ranked; a self-transfer counts on both sides."""
     touches = both_sides(labeled, "fin_txn_id", "amount", "currency", "event_timestamp", "copies")
     # One row per account and transfer first, so that counting them needs no second shuffle
-    # of distinct values and a busy account is split over its transfers.
-    per_transfer = touches.groupBy("account_key", "fin_txn_id").agg(
+    # of distinct values and a busy account is split over its transfers; then per currency,
+    # so that the dominant one comes out of the same sums.
+    per_transfer = touches.groupBy("account_key", "currency", "fin_txn_id").agg(
         F.sum("copies").alias("edges"),
         F.sum(F.col("amount") * F.col("copies")).alias("total"),
         F.min("amount").alias("amt_min"),
@@ -66,23 +67,31 @@ def candidates(labeled: DataFrame, cfg: Assessment, stage: Staging) -> DataFrame
         F.min("event_timestamp").alias("ts_first"),
         F.max("event_timestamp").alias("ts_last"),
     )
+    per_currency = per_transfer.groupBy("account_key", "currency").agg(
+        F.sum("edges").alias("edges"),
+        F.count(F.lit(1)).alias("txns"),
+        F.sum("total").alias("total"),
+        F.min("amt_min").alias("amt_min"),
+        F.max("amt_max").alias("amt_max"),
+        F.min("ts_first").alias("ts_first"),
+        F.max("ts_last").alias("ts_last"),
+    )
     per_account = (
-        per_transfer.groupBy("account_key")
+        per_currency.groupBy("account_key")
         .agg(
             F.sum("edges").alias("labeled_edges"),
-            F.count(F.lit(1)).alias("distinct_labeled_txns"),
+            F.sum("txns").alias("distinct_labeled_txns"),
             F.sum("total").cast(schemas.MONEY_TOTAL).alias("labeled_amount_total"),
             F.min("amt_min").alias("amt_min"),
             F.max("amt_max").alias("amt_max"),
             F.min("ts_first").alias("ts_first"),
             F.max("ts_last").alias("ts_last"),
+            F.min_by("currency", F.struct(-F.col("edges"), "currency")).alias("currency"),
         )
         .filter(F.col("labeled_edges") >= cfg.params["min_labeled_edges"])
     )
-    ranked = global_rank(per_account, [F.col("labeled_edges").desc(), F.col("account_key")], "finding_id", stage)
-    touched = touches.join(ranked.select("finding_id", "account_key"), "account_key")
-    currency = dominant_value(touched, "finding_id", "currency", F.col("copies"))
-    return stage(ranked.join(currency, "finding_id", "left"), "exposure-candidates")
+    # Ranked and stored in one.
+    return global_rank(per_account, [F.col("labeled_edges").desc(), F.col("account_key")], "finding_id", stage)
 
 
 def findings(cands: DataFrame, cfg: Assessment, run_ts: datetime) -> DataFrame:

@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 from ringtrail import config, schemas
 from ringtrail.operators import circular_flow, evaluate, exposure, findings, mule_hub, publish, quality, reads
 from ringtrail.plans.workspace import Workspace, workspace
-from ringtrail.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,16 +94,15 @@ def queries() -> dict[str, Query]:
 # --- sources ------------------------------------------------------------------------
 
 
-def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat(fixtures.derived_transactions(spark, sf_dir))
+@_query("bronze")
+def bronze_transactions(w: Workspace) -> DataFrame:
+    """As loaded from the CSV drop."""
+    return flat(w.table("bronze/transactions_raw"))
 
 
-def bronze_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat(fixtures.derived_accounts(spark, sf_dir))
-
-
-_queries["bronze_transactions"] = bronze_transactions
-_queries["bronze_accounts"] = bronze_accounts
+@_query("bronze")
+def bronze_accounts(w: Workspace) -> DataFrame:
+    return flat(w.table("bronze/accounts_raw"))
 
 
 @_query("gold")
@@ -209,7 +207,7 @@ def kg_is_held_at(w: Workspace) -> DataFrame:
 
 
 @_query("circular_flow")
-def temporal_two_hop(w: Workspace) -> DataFrame:
+def closable_paths(w: Workspace) -> DataFrame:
     return flat(circular_flow.closable_paths(w.frame("rings")))
 
 
@@ -251,12 +249,12 @@ def finding_breakdown(w: Workspace) -> DataFrame:
 
 @_query("silver")
 def account_out_degree(w: Workspace) -> DataFrame:
-    return flat(mule_hub.degree_profile(mule_hub.pair_totals(w.table("silver/transfers_to")), "out"))
+    return flat(mule_hub.degree_profile(mule_hub.pair_totals(mule_hub.currency_totals(w.table("silver/transfers_to"))), "out"))
 
 
 @_query("silver")
 def account_in_degree(w: Workspace) -> DataFrame:
-    return flat(mule_hub.degree_profile(mule_hub.pair_totals(w.table("silver/transfers_to")), "in"))
+    return flat(mule_hub.degree_profile(mule_hub.pair_totals(mule_hub.currency_totals(w.table("silver/transfers_to"))), "in"))
 
 
 @_query("mule_hub")
@@ -267,7 +265,7 @@ def mule_hub_candidates(w: Workspace) -> DataFrame:
 @_query("mule_hub")
 def dominant_currency(w: Workspace) -> DataFrame:
     hubs = w.frame("hubs").select("finding_id", "account_key")
-    currency = mule_hub.dominant_currency(hubs, w.table("silver/transfers_to"))
+    currency = mule_hub.dominant_currency(hubs, w.frame("currency_totals"))
     return hubs.join(currency, "finding_id").drop("finding_id")
 
 
@@ -470,13 +468,13 @@ def dq_gold_matches_silver(w: Workspace) -> DataFrame:
     return quality.counts_match(w.table("silver/finding"), w.table("gold/finding"))
 
 
-@_query("silver")
+@_query("gold")
 def dq_label_isolation(w: Workspace) -> DataFrame:
     """Rows and label columns of every graph table; the label table is the only one with a label."""
     rows = quality.layer_counts(
         {n: w.table(n) for n in schemas.TABLES if n.startswith(("label/", "silver/")) and "finding" not in n and "config" not in n}
     )
-    tables = {n: w.table(n) for n in schemas.TABLES}
+    tables = {n: w.stored(n) for n in schemas.TABLES}
     labelled = quality.columns_named(tables, "is_laundering")
     count = F.lit(0)
     for name, columns in labelled.items():

@@ -689,7 +689,7 @@ def _statements() -> dict[str, tuple[str, str]]:
         ),
         "kg_has_account": ("owns", "SELECT party_id, account_key, CAST(NULL AS VARCHAR) AS relationship, source FROM owns"),
         "kg_is_held_at": ("acct", "SELECT account_key, bank_id AS fse_id FROM acct"),
-        "temporal_two_hop": (
+        "closable_paths": (
             "ring",
             "SELECT i1 AS hop1_id, i2 AS hop2_id, a AS acct_a, b AS acct_b, c AS acct_c, ccy AS currency, t1::VARCHAR AS ts_hop1, "
             "t2::VARCHAR AS ts_hop2, count(*) AS closing_transfers FROM ring GROUP BY ALL",
@@ -809,10 +809,11 @@ def _statements() -> dict[str, tuple[str, str]]:
         ),
         "eval_recall": (
             "flag xfer",
-            "SELECT detector, count(DISTINCT id) AS labeled_captured, (SELECT count(*) FROM xfer WHERE lab = 1) AS labeled_total, "
+            "SELECT d.detector, count(DISTINCT id) AS labeled_captured, (SELECT count(*) FROM xfer WHERE lab = 1) AS labeled_total, "
             "round(100.0::DOUBLE * count(DISTINCT id) / (SELECT count(*) FROM xfer WHERE lab = 1), 2) AS recall_pct FROM "
+            "(VALUES ('circular_flow'), ('mule_hub'), ('laundering_exposure'), ('graph_native')) d(detector) LEFT JOIN "
             "(SELECT * FROM flag UNION ALL SELECT id, 'graph_native', lab FROM flag WHERE detector IN ('circular_flow', 'mule_hub')) f "
-            "WHERE lab = 1 GROUP BY detector",
+            "ON f.detector = d.detector AND lab = 1 GROUP BY d.detector",
         ),
         "eval_lift": (
             "flag xfer",

@@ -6,6 +6,7 @@ executor costs only the tasks it held.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -23,9 +24,28 @@ from ringtrail.sources import csv_files
 from ringtrail.sources.tables import WriteReport, overwrite_table, read_table, replace_assessment
 from ringtrail.staging import Staging, delete, exists
 
+def _by_finding(df: DataFrame) -> DataFrame:
+    """Ordered by finding across and within files, so that a read of one finding skips the others."""
+    return df.repartitionByRange("finding_id").sortWithinPartitions("finding_id")
+
+
 FINDING_TABLES = ["silver/finding", "silver/finding_entity", "silver/finding_edge"]
 
 
+def _tidy(step):
+    """A step of the pipeline that leaves no scratch behind when it raises."""
+
+    @functools.wraps(step)
+    def run(self, *args, **kwargs):
+        try:
+            return step(self, *args, **kwargs)
+        except BaseException:
+            self.clear_scratch()
+            raise
+
+    return run
+
+
 @dataclass
 class Pipeline:
     """Tables below `root`, a shared folder. `keep_scratch` leaves the staged
@@ -39,6 +59,7 @@ class Pipeline:
     parallel_jobs: int = 4
     frames: dict[str, DataFrame] = field(default_factory=dict)
     reports: list[WriteReport] = field(default_factory=list)
+    _open: list[Staging] = field(default_factory=list, repr=False)
 
     def __post_init__(self) -> None:
         apply_engine_conf(self.spark)
@@ -60,13 +81,21 @@ class Pipeline:
         self._together(*[lambda n=n, df=df: self._save(f"silver/{n}", df) for n, df in tables.items()])
 
     def _staging(self) -> Staging:
-        return Staging(self.spark, f"{self.root}/_scratch")
+        stage = Staging(self.spark, f"{self.root}/_scratch")
+        self._open.append(stage)
+        return stage
 
     def _done(self, stage: Staging, **frames: DataFrame) -> None:
         if self.keep_scratch:
             self.frames.update(frames)
+            self._open.remove(stage)
         else:
-            stage.clear()
+            self.clear_scratch()
+
+    def clear_scratch(self) -> None:
+        """Delete what steps have staged and not kept."""
+        while self._open:
+            self._open.pop().clear()
 
     # --- bronze -------------------------------------------------------------------
 
@@ -87,6 +116,7 @@ class Pipeline:
 
     # --- silver -------------------------------------------------------------------
 
+    @_tidy
     def build_silver(self) -> None:
         """Rebuild the graph. Findings refer to it, so they are emptied."""
         stage = self._staging()
@@ -117,6 +147,7 @@ class Pipeline:
 
     # --- detectors -----------------------------------------------------------------
 
+    @_tidy
     def save_config(self) -> None:
         """Upsert the assessment rows; known ones keep their created_at."""
         new = config_frame(self.spark, self.run_ts, list(self.assessments.values()))
@@ -125,6 +156,7 @@ class Pipeline:
             new = stage(upsert_config(self.table("silver/assessment_config"), new), "config")
         self._save("silver/assessment_config", new.coalesce(1))
         stage.clear()
+        self._open.remove(stage)
 
     def clear_findings(self) -> None:
         for name in FINDING_TABLES:
@@ -144,8 +176,15 @@ class Pipeline:
         finding = self.table("silver/finding")
         return with_id_offset(ranked, finding.filter(finding.assessment_id != assessment_id))
 
+    def _detector(self, assessment_id: str) -> Assessment:
+        """The assessment, whose row a finding refers to: it is saved before the first findings."""
+        if not exists(self.spark, f"{self.root}/silver/assessment_config"):
+            self.save_config()
+        return self.assessments[assessment_id]
+
+    @_tidy
     def detect_circular_flow(self) -> None:
-        cfg, stage = self.assessments[K.CIRCULAR_FLOW], self._staging()
+        cfg, stage = self._detector(K.CIRCULAR_FLOW), self._staging()
         rings = circular_flow.cycles(self.table("silver/transfers_to"), cfg, stage)
         rings = self._with_ids(rings, cfg.assessment_id)
         self._save_findings(
@@ -158,11 +197,13 @@ class Pipeline:
         )
         self._done(stage, rings=rings)
 
+    @_tidy
     def detect_mule_hub(self) -> None:
-        cfg, stage = self.assessments[K.MULE_HUB], self._staging()
+        cfg, stage = self._detector(K.MULE_HUB), self._staging()
         transfers = self.table("silver/transfers_to")
-        pairs = stage(mule_hub.pair_totals(transfers), "pair-totals")
-        hubs = mule_hub.candidates(pairs, transfers, cfg, stage)
+        totals = stage(mule_hub.currency_totals(transfers), "currency-totals")
+        pairs = stage(mule_hub.pair_totals(totals), "pair-totals")
+        hubs = mule_hub.candidates(pairs, totals, cfg, stage)
         hubs_with_ids = self._with_ids(hubs, cfg.assessment_id)
         self._save_findings(
             cfg.assessment_id,
@@ -172,10 +213,11 @@ class Pipeline:
             ),
             finding_edge=lambda: mule_hub.edges(hubs_with_ids, transfers, cfg),
         )
-        self._done(stage, pair_totals=pairs, hubs=hubs_with_ids)
+        self._done(stage, currency_totals=totals, pair_totals=pairs, hubs=hubs_with_ids)
 
+    @_tidy
     def detect_exposure(self) -> None:
-        cfg, stage = self.assessments[K.LAUNDERING_EXPOSURE], self._staging()
+        cfg, stage = self._detector(K.LAUNDERING_EXPOSURE), self._staging()
         labeled = exposure.labeled_edges(
             self.table("silver/transfers_to"), self.table("bronze/transactions_raw"), stage
         )
@@ -211,12 +253,12 @@ class Pipeline:
         )
 
         def entities_then_findings() -> None:
-            self._save("gold/finding_entity", entity)
+            self._save("gold/finding_entity", _by_finding(entity))
             published = publish.gold_finding(self.table("silver/finding"), self.table("gold/finding_entity"))
-            self._save("gold/finding", published)
+            self._save("gold/finding", _by_finding(published))
 
         edges = publish.gold_edge(self.table("silver/finding_edge"), account)
-        self._together(entities_then_findings, lambda: self._save("gold/finding_edge", edges))
+        self._together(entities_then_findings, lambda: self._save("gold/finding_edge", _by_finding(edges)))
 
     def run(self, data_dir: str) -> None:
         self.load_csv(data_dir)

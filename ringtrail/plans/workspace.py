@@ -31,16 +31,15 @@ class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.pipeline = Pipeline(spark, Staging(spark).root, run_ts=RUN_TS, keep_scratch=True)
+        self.stage = Staging(spark, sweep=True)
+        self.pipeline = Pipeline(spark, self.stage.root, run_ts=RUN_TS, keep_scratch=True)
         self._done: set[str] = set()
 
     def _run(self, step: str) -> None:
         p = self.pipeline
         if step == "bronze":
-            p.load_frames(
-                fixtures.derived_transactions(self.spark, self.sf_dir),
-                fixtures.derived_accounts(self.spark, self.sf_dir),
-            )
+            fixtures.write_csv(self.spark, self.sf_dir, f"{p.root}/csv")
+            p.load_csv(f"{p.root}/csv")
         else:
             {
                 "silver": p.build_silver,
@@ -60,6 +59,16 @@ class Workspace:
             self._done.add(step)
         return self
 
+    def close(self) -> None:
+        """Delete all tables of this workspace; also done when the driver ends."""
+        self.stage.clear()
+        for key in [k for k, w in _workspaces.items() if w is self]:
+            del _workspaces[key]
+
+    def stored(self, name: str) -> DataFrame:
+        """A table with the columns its files have, not those it should have."""
+        return self.spark.read.option("mergeSchema", True).parquet(f"{self.pipeline.root}/{name}")
+
     def table(self, name: str) -> DataFrame:
         return self.pipeline.table(name)
 

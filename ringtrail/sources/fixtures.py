@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringtrail import schemas
+from ringtrail.sources import csv_files
 
 # --- fixed values: shape of the derived data -------------------------------------------
 BANKS = 25
@@ -122,3 +123,13 @@ def derived_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("E"), owner).alias("entity_id"),
         F.concat(F.lit("Entity #"), owner).alias("entity_name"),
     )
+
+
+def write_csv(spark: SparkSession, sf_dir: str, out: str) -> None:
+    """The derived rows as the two CSV drops below a folder."""
+    options = {"header": True, "timestampNTZFormat": csv_files.TIMESTAMP_FORMAT}
+    for frame, name in (
+        (derived_transactions(spark, sf_dir), csv_files.TRANSACTIONS_FILE),
+        (derived_accounts(spark, sf_dir), csv_files.ACCOUNTS_FILE),
+    ):
+        frame.write.options(**options).csv(f"{out}/{name}")

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ringtrail.staging import switch
+
 PARTITION_COLUMN = "assessment_id"
 
 
@@ -60,7 +63,11 @@ def replace_assessment(df: DataFrame, path: str, assessment_id: str, name: str =
 
 
 def _write(df: DataFrame, path: str, name: str) -> WriteReport:
+    """Writes into a hidden folder beside the table, which takes its place once it is whole."""
     seen = Observation()
     started = time.perf_counter()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    parent, _, _ = path.rstrip("/").rpartition("/")
+    fresh = f"{parent}/_new-{uuid.uuid4().hex}"
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(fresh)
+    switch(df.sparkSession, fresh, path)
     return WriteReport(name, seen.get["rows"], time.perf_counter() - started)

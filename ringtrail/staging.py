@@ -41,6 +41,16 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def switch(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put a finished folder in the place of another: the old one goes only when the new one is whole."""
+    fs, target = _file_system(spark, path)
+    _, source = _file_system(spark, fresh)
+    fs.mkdirs(target.getParent())
+    fs.delete(target, True)
+    if not fs.rename(source, target):
+        raise OSError(f"cannot move {fresh} to {path}")
+
+
 class Staging:
     """Writes frames below one unique folder and hands back readers of them."""
 

@@ -4,6 +4,7 @@ from datetime import datetime
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from conftest import SMALL
 
 from ringtrail import constants as K
@@ -13,6 +14,7 @@ from ringtrail.operators import circular_flow, evaluate, exposure, findings, mul
 from ringtrail.plans import catalogue, oracle
 from ringtrail.plans.pipeline import Pipeline
 from ringtrail.sources import fixtures
+from ringtrail.sources.tables import overwrite_table
 
 RUN_TS = datetime(2024, 1, 1)
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -87,7 +89,7 @@ def test_graph_detectors_never_see_the_label(done):
     assert "is_laundering" not in analyzed(transfers)
     cfg = ASSESSMENTS[K.CIRCULAR_FLOW]
     hops = circular_flow.ring_transfers(transfers, cfg)
-    steps = [circular_flow.hung_links(hops, circular_flow.activity(hops)), mule_hub.pair_totals(transfers), done.frames["rings"], done.frames["hubs"]]
+    steps = [circular_flow.hung_links(hops, circular_flow.activity(hops)), mule_hub.pair_totals(mule_hub.currency_totals(transfers)), done.frames["rings"], done.frames["hubs"]]
     assert all("is_laundering" not in analyzed(step) for step in steps)
 
 
@@ -115,7 +117,7 @@ def test_plans_have_no_cross_join_or_one_task_window(done):
     plans = [
         hung,
         circular_flow.link_triangles(hung, cfg),
-        mule_hub.pair_totals(done.table("silver/transfers_to")),
+        mule_hub.pair_totals(mule_hub.currency_totals(done.table("silver/transfers_to"))),
         mule_hub.edges(done.frames["hubs"], done.table("silver/transfers_to"), ASSESSMENTS[K.MULE_HUB]),
     ]
     for df in plans:
@@ -162,10 +164,71 @@ def test_command_line_from_csv_to_reads(spark, done, tmp_path, capfd):
     out = capfd.readouterr().out
     assert "[bronze/accounts_raw] 50 rows" in out and "transactions_raw" not in out
     main(["list", "--root", root, "--severity", "HIGH", "--limit", "3"])
-    assert capfd.readouterr().out.count("|HIGH") == 3
+    assert capfd.readouterr().out.count("\tHIGH\t") == 3
     main(["show", "--root", root, "1"])
     assert "ring_member" in capfd.readouterr().out
     with pytest.raises(SystemExit, match="not found"):
         main(["show", "--root", root, "100000"])
     main(["breakdown", "--root", root])
     assert "MULE_HUB" in capfd.readouterr().out
+    # A finding with very many entities is shown whole.
+    wide = again.table("gold/finding_entity").filter("finding_id = 1").limit(1)
+    wide = wide.withColumn("entity_id", F.explode(F.transform(F.sequence(F.lit(1), F.lit(1500)), lambda n: F.format_string("N%05d", n))))
+    overwrite_table(wide, f"{root}/gold/finding_entity")
+    main(["show", "--root", root, "1"])
+    shown = capfd.readouterr().out
+    assert all(f"N{n:05d}" in shown for n in range(1, 1501))
+
+
+def test_a_single_detector_leaves_no_broken_reference(spark, done, tmp_path):
+    """On a root without assessments a detector saves them first."""
+    p = Pipeline(spark, str(tmp_path), run_ts=RUN_TS)
+    p.load_frames(done.table("bronze/transactions_raw"), done.table("bronze/accounts_raw"))
+    p.build_silver()
+    p.detect_exposure()
+    config = p.table("silver/assessment_config").select("assessment_id")
+    assert p.table("silver/finding").join(config, "assessment_id", "left_anti").count() == 0
+    assert p.table("silver/finding").count() > 0
+
+
+def test_scratch_is_gone_after_a_failed_step(spark, done, tmp_path, monkeypatch):
+    p = Pipeline(spark, str(tmp_path), run_ts=RUN_TS)
+    p.load_frames(done.table("bronze/transactions_raw"), done.table("bronze/accounts_raw"))
+    p.build_silver()
+
+    def fail(*_, **__):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(exposure, "candidates", fail)
+    with pytest.raises(RuntimeError, match="stopped"):
+        p.detect_exposure()
+    assert not list((tmp_path / "_scratch").glob("*"))
+
+
+def test_point_reads_skip_files(spark, done):
+    """Gold is ordered by finding, so that the files' ranges of ids hardly overlap."""
+    rows = done.table("gold/finding_edge").select("finding_id", F.input_file_name().alias("file"))
+    spans = rows.groupBy("file").agg(F.min("finding_id").alias("a"), F.max("finding_id").alias("b")).orderBy("a").collect()
+    assert all(x["b"] < y["a"] for x, y in zip(spans, spans[1:], strict=False))
+
+
+def test_label_check_sees_stored_columns(spark, tmp_path):
+    """A label column in the files is found, though the declared schema lacks it."""
+    from ringtrail.operators.quality import columns_named
+    from ringtrail.sources.tables import read_table
+
+    path = str(tmp_path / "account")
+    spark.range(2).selectExpr("cast(id as string) account_key", "1 as is_laundering").write.parquet(path)
+    assert columns_named({"a": read_table(spark, path, schemas.ACCOUNT)}, "is_laundering") == {}
+    assert columns_named({"a": spark.read.parquet(path)}, "is_laundering") == {"a": ["is_laundering"]}
+
+
+def test_evaluation_without_hits_or_labels(spark, done):
+    edges = done.table("silver/finding_edge").filter("finding_type = 'MULE_HUB'" if "finding_type" in done.table("silver/finding_edge").columns else "assessment_id like 'mule%'")
+    labels = done.table("label/txn_label")
+    none = labels.withColumn("is_laundering", F.lit(0).cast("short"))
+    got = {r["detector"]: r for r in evaluate.recall(edges, none).collect()}
+    assert set(got) == {"circular_flow", "mule_hub", "laundering_exposure", "graph_native"}
+    assert all(r["labeled_captured"] == 0 and r["recall_pct"] is None for r in got.values())
+    assert [r["lift"] for r in evaluate.lift(edges, none).collect()] == [None]
+    assert evaluate.base_rate(labels.limit(0)).first()["base_rate"] is None

@@ -36,6 +36,21 @@ def test_malformed_row_fails_the_load(spark, tmp_path):
         csv_files.read_transactions(spark, str(path)).collect()
 
 
+@pytest.mark.parametrize("row", ["2022/09/01 00:20,B1,,B2,2,5,Euro,5,Euro,ACH,0", "2022/09/01 00:20,B1,1,B2,2,,Euro,5,Euro,ACH,0"])
+def test_a_missing_value_fails_the_load(spark, tmp_path, row):
+    path = tmp_path / "t.csv"
+    path.write_text("h\n" + row + "\n")
+    with pytest.raises(Exception, match="NULL in column"):
+        csv_files.read_transactions(spark, str(path)).collect()
+
+
+def test_half_a_key_is_no_key(spark):
+    from ringtrail.functions.columns import account_key
+
+    rows = spark.createDataFrame([("B1", None), (None, "1"), ("B1", "1")], "b string, a string")
+    assert [r[0] for r in rows.select(account_key("b", "a")).collect()] == [None, None, "B1:1"]
+
+
 def test_missing_file_is_reported(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         csv_files.read_accounts(spark, str(tmp_path / "absent.csv"))
