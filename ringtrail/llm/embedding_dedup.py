@@ -21,7 +21,7 @@ THRESHOLD = 0.93
 TABLES = 4
 SEED = 5
 # Rows of a bucket compared at once; larger buckets are cut into blocks, and all pairs of blocks compared.
-BLOCK = 512
+BLOCK = 256
 PROBES = 3
 BUCKETS = TABLES * PROBES
 
@@ -190,9 +190,8 @@ def near_duplicates(
         "vectors",
     )
     bad = F.exists("_vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
-    norm = F.sqrt(F.aggregate("_vector", F.lit(0.0), lambda s, x: s + x * x))
-    usable = F.col("_id").isNotNull() & F.col("_label").isNotNull() & (F.size("_vector") > 0) & ~bad
-    valid = rows.where(usable).withColumn("_norm", norm).where("_norm > 0 AND _norm < double('infinity')")
+    usable = F.col("_id").isNotNull() & F.col("_label").isNotNull() & ~bad & F.exists("_vector", lambda x: x != 0)
+    valid = rows.where(usable)
     groups = stage(
         valid.groupBy("_label", "_vector").agg(F.min("_id").alias("_rep"), F.count(F.lit(1)).alias("_copies")), "distinct"
     )
