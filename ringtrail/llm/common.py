@@ -161,14 +161,14 @@ def put_file(uri: str, data: bytes, attempt: str) -> None:
     files, path = _file_system(uri)
     files.create_dir(os.path.dirname(path), recursive=True)
     draft = f"{os.path.dirname(path)}/.{os.path.basename(path)}.{attempt}"
-    with files.open_output_stream(draft) as out:
+    with files.open_output_stream(draft, compression=None) as out:
         out.write(data)
     files.move(draft, path)
 
 
 def get_file(uri: str) -> bytes:
     files, path = _file_system(uri)
-    with files.open_input_stream(path) as data:
+    with files.open_input_stream(path, compression=None) as data:
         return data.read()
 
 
