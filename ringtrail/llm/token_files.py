@@ -13,6 +13,8 @@ u64; per rule left u32, right u32, length u32; then the symbols.
 from __future__ import annotations
 
 import os
+import re
+import string
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -198,6 +200,18 @@ class Shard:
 # --- writing and reading --------------------------------------------------------------------
 
 
+_PLAIN = re.compile(r"( ?)([A-Za-z]+)([.,;:!?]*)")
+
+
+def _cuts_plain(tokenizer) -> bool:
+    """Whether the library cuts a plain piece into its word, with the space, and its marks, and changes neither."""
+    letters, marks = string.ascii_letters, ".,;:!?"
+    cuts = tokenizer.pre_tokenizer and [x for x, _ in tokenizer.pre_tokenizer.pre_tokenize_str(f" {letters}{marks}")]
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values() if not t.special]
+    whole = not any(set(x) <= set(f" {letters}{marks}") for x in added)
+    return tokenizer.normalizer is None and cuts == [f"Ġ{letters}", marks] and whole
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> tuple[ChunkTable, int]:
     """The table of pieces and the size of the vocabulary; one per worker."""
@@ -206,9 +220,24 @@ def _encoder(path: str) -> tuple[ChunkTable, int]:
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    model, plain = tokenizer.model, _cuts_plain(tokenizer)
+
+    @lru_cache(maxsize=4096)
+    def marks_ids(marks: str) -> list[int]:
+        return [t.id for t in model.tokenize(marks)] if marks else []
 
     def encode(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        """Plain words go to the library's model as the one or two pre-tokens they are, the rest to all of the library."""
+        out: list[list[int] | None] = []
+        for text in texts:
+            m = _PLAIN.fullmatch(text) if plain else None
+            word = m and ("Ġ" if m[1] else "") + m[2]
+            out.append(m and [t.id for t in model.tokenize(word)] + marks_ids(m[3]))
+        rest = [n for n, ids in enumerate(out) if ids is None]
+        coded = tokenizer.encode_batch_fast([texts[n] for n in rest], add_special_tokens=False)
+        for n, e in zip(rest, coded, strict=True):
+            out[n] = e.ids
+        return out
 
     return ChunkTable(encode), tokenizer.get_vocab_size()
 
