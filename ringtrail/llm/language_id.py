@@ -111,7 +111,9 @@ class Parser:
                 for s, to in targets.items():
                     table[state, s] = (begin + to) * self.width * 2
             restart = np.where(table[0] >= 0, table[0], begin * self.width * 2) | 1
-            tables.append(np.where(table >= 0, table, restart))
+            table = np.where(table >= 0, table, restart)
+            table[0] = restart  # nothing of a phrase is read yet: the next character begins one
+            tables.append(table)
             self.roots.append(begin * self.width)
             begin += len(move)
         self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int64)
@@ -133,8 +135,7 @@ class Parser:
         order = np.argsort(-lengths, kind="stable")
         start, lengths = start[order], lengths[order]
         state = np.tile(np.array(self.roots, np.int64), (len(order), 1))
-        # The last phrase of a section is not ended by a break.
-        count = np.ones(state.shape, np.int64)
+        count = np.zeros(state.shape, np.int64)
         # How many sections are longer than t, for every t.
         active = len(lengths) - np.searchsorted(lengths[::-1], np.arange(lengths[0]), "right")
         for t, k in enumerate(active.tolist()):
