@@ -22,7 +22,7 @@ TOLERANCE = 1e-6
 # Sources still open after so many safeguarded steps are as near as doubles bring them.
 MAX_STEPS = 60
 # Documents per source, size class and direction that the last correction may change.
-SPARES = 4
+SPARES = 32
 SALT = 9
 
 
@@ -191,8 +191,8 @@ def _corrections(rated: DataFrame, limit: float) -> DataFrame:
     # The rank is cut to SPARES rows per group in each map task before the shuffle.
     place = Window.partitionBy("_source", "class", "step").orderBy(F.xxhash64(F.lit(SALT), "_id"), "_row")
     few = spare.withColumn("k", F.row_number().over(place)).where(F.col("k") <= SPARES)
-    few = few.select(F.col("_source").alias("_s"), "_row", "size", "step")
-    entry = F.struct(F.col("size"), F.col("_row").alias("row"), F.col("step"))
+    few = few.select(F.col("_source").alias("_s"), "_row", "size", "step", F.xxhash64(F.lit(SALT), "_id").alias("hash"))
+    entry = F.struct("size", "hash", F.col("_row").alias("row"), "step")
     lists = few.groupBy("_s").agg(F.sort_array(F.collect_list(entry), asc=False).alias("spares"))
     start = F.struct(F.col("gap").alias("gap"), F.array().cast("array<struct<row:bigint,step:int>>").alias("done"))
 
