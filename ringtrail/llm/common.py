@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Sequence
-from itertools import repeat
+from itertools import chain, repeat
 from pathlib import Path
 
 import numpy as np
@@ -48,7 +48,8 @@ def remainder(id_col: str, modulus: int) -> Column:
 
 # --- tokens --------------------------------------------------------------------------------
 
-_RISKY = re.compile(r"\s | \s|^ | $")
+# A space next to other white space or at either end; the literal first character makes the search fast.
+_RISKY = re.compile(r" (?:(?=\s|\Z)|(?<=\s )|(?<=\A ))")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -84,7 +85,7 @@ class ChunkTable:
     def _add(self, names: list[str], index: dict[str, int], prefix: str) -> None:
         encoded = self.encode_many([prefix + x for x in names] if prefix else names)
         lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter((i for ids in encoded for i in ids), np.int32, int(lengths.sum()))
+        flat = np.fromiter(chain.from_iterable(encoded), np.int32, int(lengths.sum()))
         while self.used + len(flat) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while self.count + len(names) + 1 > len(self.start):
