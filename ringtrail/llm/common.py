@@ -46,6 +46,13 @@ def remainder(id_col: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % modulus
 
 
+def byte_table(kept: bytes) -> bytes:
+    """For bytes.translate: A-Z in lower case, other ASCII characters outside `kept` as a space; bytes of
+    other characters stay. Splitting at white space then gives the words of a text."""
+    low = bytes(range(128)).lower()
+    return bytes(c if c in kept else 32 for c in low) + bytes(range(128, 256))
+
+
 # --- tokens --------------------------------------------------------------------------------
 
 # A space next to other white space or at either end; the literal first character makes the search fast.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ringtrail.llm import byte_bpe, embedding_dedup, exact_dedup, html_text, language_id, lm_scoring, mixing, simhash, token_files, warc
+from ringtrail.llm import byte_bpe, embedding_dedup, exact_dedup, html_text, language_id, lm_scoring, mixing, resampling, simhash, token_files, warc
 from ringtrail.llm.common import prepare, staging, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"), staging(spark))
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return resampling.resample(docs, target, staging(spark))
+
+
 OP3_SQL = r"""
 WITH t AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -70,6 +75,49 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM t WINDOW g AS (PARTITION BY text_sha256)
 """
 
+OP12_SQL = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+b AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+w AS (SELECT doc_id, unnest(words) AS word FROM d),
+seen AS (SELECT word FROM w UNION SELECT word FROM b),
+bytes AS (SELECT word, hex(encode(word)) AS x FROM seen),
+hashed AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(x) // 2),
+      lambda k: ('0x' || substr(x, 2 * k + 1, 2))::BIGINT)),
+    lambda c, y: xor(c >> 8, tab[(xor(c, y) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM bytes, crc),
+dw AS (SELECT doc_id, bucket FROM w JOIN hashed USING (word)),
+bw AS (SELECT bucket FROM b JOIN hashed USING (word)),
+gains AS (
+  SELECT g.bucket, floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM dw) + 10000.0::DOUBLE)
+    / ((coalesce(s, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM bw) + 10000.0::DOUBLE))))::BIGINT AS gain
+  FROM (SELECT unnest(range(10000)) AS bucket) g
+    LEFT JOIN (SELECT bucket, count(*) AS s FROM dw GROUP BY bucket) USING (bucket)
+    LEFT JOIN (SELECT bucket, count(*) AS t FROM bw GROUP BY bucket) USING (bucket)),
+weights AS (
+  SELECT doc_id, count(*) AS n, sum(gain)::BIGINT AS total FROM dw JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce((total - ((total % n) + n) % n) // n, 0)::BIGINT AS weight,
+    ('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT AS h
+  FROM d LEFT JOIN weights USING (doc_id)),
+final AS (
+  SELECT doc_id, n_features, weight,
+    weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score FROM scored),
+placed AS (
+  SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS place
+  FROM final)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN place <= (SELECT count(*) FROM final WHERE n_features >= 20) * 10 // 100 THEN place END AS rank
+FROM placed
+"""
+
 
 QUERIES = (
     op1_lm_scoring,
@@ -82,6 +130,7 @@ QUERIES = (
     op8_byte_bpe,
     op9_mixing,
     op10_warc,
+    op12_resampling,
 )
 
 
@@ -90,4 +139,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": OP3_SQL}
+    return {"op3_exact_dedup": OP3_SQL, "op12_resampling": OP12_SQL}
