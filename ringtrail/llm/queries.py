@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ringtrail.llm import byte_bpe, embedding_dedup, exact_dedup, html_text, language_id, lm_scoring, mixing, resampling, simhash, token_files, warc
+from ringtrail.llm import (
+    byte_bpe, embedding_dedup, exact_dedup, html_text, language_id, lexical_search, lm_scoring, mixing, resampling, simhash,
+    token_files, warc,
+)
 from ringtrail.llm.common import prepare, staging, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +64,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"), staging(spark))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return lexical_search.search(docs, items, staging(spark))
+
+
 def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return resampling.resample(docs, target, staging(spark))
@@ -75,6 +83,29 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM t WINDOW g AS (PARTITION BY text_sha256)
 """
 
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+lengths AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM d WHERE term IN (SELECT term FROM q) GROUP BY doc_id, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tf, whole GROUP BY term, docs),
+impacts AS (
+  SELECT tf.doc_id, term, (1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms)) AS x
+  FROM tf JOIN lengths ON lengths.doc_id = tf.doc_id, whole),
+scored AS (
+  SELECT item_id, doc_id, sum(w * x)::BIGINT AS score
+  FROM q JOIN weights USING (term) JOIN impacts USING (term) GROUP BY item_id, doc_id)
+SELECT item_id, (row_number() OVER g)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 WINDOW g AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY rank <= 10
+"""
+
 OP12_SQL = r"""
 WITH crc AS (
   SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
@@ -130,6 +161,7 @@ QUERIES = (
     op8_byte_bpe,
     op9_mixing,
     op10_warc,
+    op11_lexical_search,
     op12_resampling,
 )
 
@@ -139,4 +171,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": OP3_SQL, "op12_resampling": OP12_SQL}
+    return {"op3_exact_dedup": OP3_SQL, "op11_lexical_search": OP11_SQL, "op12_resampling": OP12_SQL}
