@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ringtrail.llm import (
-    byte_bpe, embedding_dedup, exact_dedup, html_text, language_id, lexical_search, lm_scoring, mixing, resampling, simhash,
-    token_files, warc,
+    byte_bpe, embedding_dedup, exact_dedup, html_text, language_id, lexical_search, lm_scoring, mixing, nearest,
+    resampling, simhash, token_files, warc,
 )
 from ringtrail.llm.common import prepare, staging, table
 
@@ -74,6 +74,10 @@ def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(docs, target, staging(spark))
 
 
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(table(spark, sf_dir, "embeddings"), staging(spark))
+
+
 OP3_SQL = r"""
 WITH t AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -163,6 +167,7 @@ QUERIES = (
     op10_warc,
     op11_lexical_search,
     op12_resampling,
+    op13_nearest,
 )
 
 
