@@ -180,6 +180,14 @@ def get_file(uri: str) -> bytes:
         return data.read()
 
 
+def get_range(uri: str, offset: int, length: int) -> bytes:
+    """Some bytes of a file, without the rest of it."""
+    files, path = _file_system(uri)
+    with files.open_input_file(path) as data:
+        data.seek(offset)
+        return data.read(length)
+
+
 def read_files(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
     """(path, content) of the files written below a folder, one row each."""
     return spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folder).select("path", "content")

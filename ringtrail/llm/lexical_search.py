@@ -13,15 +13,18 @@ All scores are sums of 64-bit integers, so bounds and results are exact.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ringtrail.llm.common import byte_table
+from ringtrail.llm.common import byte_table, get_range, put_file
 from ringtrail.staging import Staging
 
 TOP = 10
@@ -35,6 +38,9 @@ SHARD_DOCS = 2048
 SHARD_CELLS = 1 << 23
 # Terms of queries, repeats included, that go to the tasks at once; more queries are taken in turns.
 QUERY_TERMS = 400_000
+# Bytes of an index file before it is closed, and shards that one task of a search reads, one after another.
+FILE_BYTES = 32 << 20
+TASK_SHARDS = 8
 # Numbers per document that decide its cluster.
 SKETCH = 32
 
@@ -99,7 +105,10 @@ class Shard:
     doc: np.ndarray
     summary: np.ndarray
 
-    BINARY = ("row_end", "row_term", "row_impact", "list_end", "doc_end", "doc", "summary")
+    ARRAYS = {
+        "row_end": np.int64, "row_term": np.int32, "row_impact": np.int32, "list_end": np.int64,
+        "doc_end": np.int64, "doc": np.int32, "summary": np.int32,
+    }
 
     @classmethod
     def build(cls, ids: list, rows: list[tuple[np.ndarray, np.ndarray]], asked: Asked, block: int = BLOCK) -> Shard:
@@ -124,7 +133,7 @@ class Shard:
             docs.append(members)
             ends.append(at + np.append(starts[1:], len(members)))
             at += len(members)
-            summaries.append(np.maximum.reduceat(table[members][:, near], starts, axis=0).ravel())
+            summaries.append(np.maximum.reduceat(table[np.ix_(members, near)], starts, axis=0).ravel())
         if docs:
             made.doc, made.doc_end = np.concatenate(docs).astype(np.int32), np.concatenate(ends)
             made.summary = np.concatenate(summaries)
@@ -137,13 +146,19 @@ class Shard:
         out[np.repeat(np.arange(len(self.ids)), np.diff(self.row_end, prepend=0)), self.row_term] = self.row_impact
         return out
 
-    def to_row(self) -> list:
-        return [np.asarray(getattr(self, n), np.int64 if n in ("row_end", "list_end", "doc_end") else np.int32).tobytes() for n in self.BINARY]
+    def to_bytes(self) -> bytes:
+        """Length and content of each array, compressed together."""
+        parts = [np.asarray(getattr(self, n), kind).tobytes() for n, kind in self.ARRAYS.items()]
+        sizes = np.array([len(p) for p in parts], np.int64).tobytes()
+        return zstandard.ZstdCompressor(level=1).compress(sizes + b"".join(parts))
 
     @classmethod
-    def from_row(cls, ids: list, parts: list[bytes]) -> Shard:
-        kinds = [np.int64 if n in ("row_end", "list_end", "doc_end") else np.int32 for n in cls.BINARY]
-        return cls(ids, *[np.frombuffer(p, k) for p, k in zip(parts, kinds, strict=True)])
+    def from_bytes(cls, ids, data: bytes) -> Shard:
+        data = zstandard.ZstdDecompressor().decompress(data)
+        ends = 8 * len(cls.ARRAYS) + np.cumsum(np.frombuffer(data, np.int64, len(cls.ARRAYS)))
+        starts = np.append(8 * len(cls.ARRAYS), ends[:-1])
+        parts = zip(starts.tolist(), ends.tolist(), cls.ARRAYS.values(), strict=True)
+        return cls(ids, *[np.frombuffer(data[begin:end], kind) for begin, end, kind in parts])
 
 
 def cluster(members: np.ndarray, sketch: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
@@ -236,37 +251,59 @@ def _bags(docs: DataFrame, id_col: str, text_col: str, vocabulary: dict[bytes, i
     return rows.mapInArrow(run, f"_id {kind}, n bigint, term array<int>, tf array<bigint>")
 
 
-def build_index(bags: DataFrame, asked: Asked, docs: int, all_terms: int) -> DataFrame:
-    """One row per shard; shards are cut from the rows of a task as they come, so no text or bag is shuffled."""
+def build_index(bags: DataFrame, asked: Asked, folder: str, docs: int, all_terms: int) -> DataFrame:
+    """Writes the shards into files when evaluated; (ids, path, offset, length) of each. Evaluate once.
+
+    Shards are cut from the rows of a task as they come, so no text or bag is shuffled. A repeated task
+    writes files of its own, and only those are named whose task is the one that counts.
+    """
     width = len(asked.vocabulary)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        attempt, number = task.taskAttemptId(), 0
         ids, rows, cells = [], [], 0
+        held: list[bytes] = []
+        named: list[tuple] = []
+        id_type = pa.int64()
+
+        def close_shard() -> None:
+            nonlocal ids, rows, cells
+            data = Shard.build(ids, rows, asked).to_bytes()
+            path = f"{folder}/{task.partitionId():06d}-{number:06d}-{attempt}.shards"
+            named.append((ids_sorted(ids), path, sum(map(len, held)), len(data)))
+            held.append(data)
+            ids, rows, cells = [], [], 0
+
+        def close_file() -> pa.RecordBatch:
+            nonlocal number, held, named
+            put_file(named[0][1], b"".join(held), str(attempt))
+            kinds = (pa.list_(id_type), pa.string(), pa.int64(), pa.int64())
+            columns = [pa.array(c, k) for c, k in zip(zip(*named, strict=True), kinds, strict=True)]
+            number, held, named = number + 1, [], []
+            return pa.RecordBatch.from_arrays(columns, ["ids", "path", "offset", "length"])
 
-        def shard() -> pa.RecordBatch:
-            parts = Shard.build(ids, rows, asked).to_row()
-            columns = [pa.array([ids_sorted(ids)], pa.list_(id_type)), *[pa.array([p], pa.binary()) for p in parts]]
-            return pa.RecordBatch.from_arrays(columns, ["ids", *Shard.BINARY])
-
-        id_type = None
         for batch in batches:
             id_type = batch.schema.field(0).type
-            columns = [c.to_pylist() if k in (0, 1) else c for k, c in enumerate(batch.columns)]
+            names, totals = (c.to_pylist() for c in batch.columns[:2])
             for k in range(len(batch)):
-                term = columns[2][k].values.to_numpy()
+                term = batch.column(2)[k].values.to_numpy()
                 if not len(term):
                     continue
-                ids.append(columns[0][k])
-                rows.append((term, impact(columns[3][k].values.to_numpy(), columns[1][k], docs, all_terms)))
+                ids.append(names[k])
+                rows.append((term, impact(batch.column(3)[k].values.to_numpy(), totals[k], docs, all_terms)))
                 cells += len(term)
                 if len(ids) == SHARD_DOCS or len(ids) * min(width, cells) >= SHARD_CELLS:
-                    yield shard()
-                    ids, rows, cells = [], [], 0
+                    close_shard()
+                    if sum(map(len, held)) >= FILE_BYTES:
+                        yield close_file()
         if ids:
-            yield shard()
+            close_shard()
+        if held:
+            yield close_file()
 
     kind = bags.schema["_id"].dataType.simpleString()
-    return bags.mapInArrow(run, f"ids array<{kind}>, " + ", ".join(f"{n} binary" for n in Shard.BINARY))
+    return bags.mapInArrow(run, f"ids array<{kind}>, path string, offset bigint, length bigint")
 
 
 def ids_sorted(ids: list) -> list:
@@ -281,8 +318,8 @@ def _search(index: DataFrame, asked: Asked, weights: np.ndarray, thresholds: dic
         for batch in batches:
             for k in range(len(batch)):
                 ids = batch.column(0)[k].values
-                shard = Shard.from_row(ids, [c[k].as_py() for c in batch.columns[1:]])
-                searcher = Searcher(shard, asked, weights)
+                path, offset, length = (c[k].as_py() for c in batch.columns[1:])
+                searcher = Searcher(Shard.from_bytes(ids, get_range(path, offset, length)), asked, weights)
                 name, at, score = [], [], []
                 for q, known in enumerate(asked.names):
                     limit = None if thresholds is None else thresholds.get(known, 1)
@@ -305,7 +342,9 @@ def _turn(docs: DataFrame, asked: Asked, stage: Staging, id_col: str, text_col:
         return bags.select(F.lit(0).cast("long").alias("_q"), "_id", F.lit(0).cast("long").alias("score")).limit(0)
     holding = {r["t"]: r["count"] for r in bags.select(F.explode("term").alias("t")).groupBy("t").count().collect()}
     weights = np.array([weight_of(row["docs"], holding.get(t, 0)) for t in range(len(asked.vocabulary))], np.int64)
-    index = stage(build_index(bags, asked, row["docs"], row["terms"]), "index")
+    index = stage(build_index(bags, asked, f"{stage.root}/{uuid.uuid4().hex}", row["docs"], row["terms"]), "index")
+    # Few rows that each stand for much work.
+    index = index.repartition(max(1, math.ceil(index.count() / TASK_SHARDS)))
     best = Window.partitionBy("_q").orderBy(F.col("score").desc())
     first = _search(index, asked, weights, None, top).withColumn("place", F.row_number().over(best)).where(F.col("place") == top)
     thresholds = {r["_q"]: r["score"] for r in first.select("_q", "score").collect()}
