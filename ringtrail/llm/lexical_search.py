@@ -73,7 +73,7 @@ class Asked:
         for terms in self.terms:
             for t in terms.tolist():
                 together[t].append(terms)
-        self.near = [np.unique(np.concatenate(x)) for x in together]
+        self.near = [np.unique(np.concatenate([np.zeros(0, np.int64), *x])) for x in together]
 
     @classmethod
     def of(cls, rows) -> Asked:

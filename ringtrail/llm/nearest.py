@@ -168,7 +168,7 @@ def fit_probes(groups: DataFrame, sample: list, top: int = TOP, recall: float =
                     continue
                 for k, j, d in zip(*[v.tolist() for v in nearest(x, q, None, top + 1)], strict=True):
                     if d > 0:  # the vector itself is in the same bucket anyway
-                        best.setdefault((x.shape[1], k), []).append((d, x[j]))
+                        best.setdefault((x.shape[1], k), []).append((d, x[j].copy()))  # a view would hold its batch
                 for key in [key for key, found in best.items() if len(found) > 4 * top]:
                     best[key] = sorted(best[key], key=lambda f: f[0])[:top]
         rows = [(w, k, d, v) for (w, k), found in best.items() for d, v in sorted(found, key=lambda f: f[0])[:top]]
