@@ -124,16 +124,25 @@ def drop_near_copies(
 ) -> DataFrame:
     """One row of each component, with all columns of `docs`: that with the smallest id, null ids last.
 
-    `docs` must be a stored table: its rows are told apart by their place in it.
+    Rows are told apart by what they hold, id and text, and never by where they lie: a later read of
+    the same table may be split otherwise. Of rows that repeat both, the one with the smallest hash of
+    all its columns may stay.
     """
-    packed = docs.select(F.struct("*").alias("_doc"), F.monotonically_increasing_id().alias("_place"))
-    doc = packed["_doc"]
-    rows = packed.select("_place", doc[text_col].alias("_text"))
-    groups = simhash_groups(rows, stage, "_place", "_text", words, radius).select("_place", "component_id")
-    ids = packed.select(F.col("_place").alias("_row"), doc[id_col].alias("_id"))
-    order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))
-    placed = stage(groups.join(ids, F.col("_place") == F.col("_row")).select("component_id", "_id", "_row"), "members")
-    keep = placed.groupBy("component_id").agg(F.count(F.lit(1)).alias("n"), F.min(order)["row"].alias("_keep"))
-    keep = stage(keep.where("n > 1").select(F.col("component_id").alias("_group"), "_keep"), "keepers")
-    gone = placed.join(keep, F.col("component_id") == F.col("_group")).where("_row <> _keep").select("_row")
-    return packed.join(stage(gone, "dropped"), F.col("_place") == F.col("_row"), "left_anti").select("_doc.*")
+    text = F.col(text_col)
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text).alias("h"))
+    groups = stage(
+        simhash_groups(docs.select(key.alias("_key"), text.alias("_text")), stage, "_key", "_text", words, radius)
+        .select("_key", "component_id"),
+        "members",
+    )
+    gone = stage(groups.where("_key <> component_id").select(F.col("_key").alias("_gone")).distinct(), "dropped")
+    packed = docs.select(F.struct("*").alias("_doc"), key.alias("_key"))
+    left = packed.join(gone, F.col("_key").eqNullSafe(F.col("_gone")), "left_anti")
+    again = groups.where("_key = component_id").groupBy("_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = stage(again.select(F.col("_key").alias("_again")), "repeated")
+    if again.isEmpty():
+        return left.select("_doc.*")
+    met = F.col("_key").eqNullSafe(F.col("_again"))
+    first = Window.partitionBy("_key").orderBy(F.xxhash64("_doc"))
+    one = left.join(again, met, "left_semi").withColumn("_n", F.row_number().over(first)).where("_n = 1")
+    return left.join(again, met, "left_anti").select("_doc.*").unionByName(one.select("_doc.*"))

@@ -33,7 +33,6 @@ MAGIC = b"REPAIR01"
 SUFFIX = ".repair"
 END_ID = 2
 SHARD_TOKENS = 2_000_000
-ROUNDS = 6
 RULES_PER_ROUND = 2048
 # A rule takes 12 bytes, a use saves one symbol of 2.
 MIN_USES = 8
@@ -69,9 +68,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
     rules: list[np.ndarray] = []
     free = max(0, (1 << 16 if base < 1 << 16 else 1 << 32) - base)
     made = 0
-    for _ in range(ROUNDS):
-        if len(seq) < 2 or made >= free:
-            break
+    while len(seq) > 1 and made < free:
         keys = (seq[:-1] << kind(half)) | seq[1:]
         inside = ~last[:-1]
         chosen = _frequent(keys[inside], min(RULES_PER_ROUND, free - made))
@@ -207,7 +204,7 @@ def _cuts_plain(tokenizer) -> bool:
     """Whether the library cuts a plain piece into its word, with the space, and its marks, and changes neither."""
     letters, marks = string.ascii_letters, ".,;:!?"
     cuts = tokenizer.pre_tokenizer and [x for x, _ in tokenizer.pre_tokenizer.pre_tokenize_str(f" {letters}{marks}")]
-    added = [t.content for t in tokenizer.get_added_tokens_decoder().values() if not t.special]
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     whole = not any(set(x) <= set(f" {letters}{marks}") for x in added)
     return tokenizer.normalizer is None and cuts == [f"Ġ{letters}", marks] and whole
 
@@ -219,7 +216,6 @@ def _encoder(path: str) -> tuple[ChunkTable, int]:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
     model, plain = tokenizer.model, _cuts_plain(tokenizer)
 
     @lru_cache(maxsize=4096)

@@ -155,6 +155,28 @@ def test_simhash_odd_inputs(spark, stage):
     assert 7 in [r["doc_id"] for r in kept.collect()] and 8 not in [r["doc_id"] for r in kept.collect()]
 
 
+def test_near_copies_do_not_depend_on_how_files_are_split(spark, stage):
+    """The same documents stay where executors come or go between building the plan and running it."""
+    rows = [(k % 200, f"document {k % 200} copy {k // 200} " + ("shared words " * 12 if k % 20 == 0 else f"own{k} words{k} x{k}")) for k in range(400)]
+    rows += [(7, "again and again")] * 3 + [(None, "again and again")]
+    source = stage(docs(spark, rows).repartition(40), "docs")
+    prints = [slow_fingerprint(t) for _, t in rows]
+    root = classes(len(rows), [(a, b) for a in range(len(rows)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 2])
+    key = "spark.sql.leafNodeDefaultParallelism"
+    try:
+        spark.conf.set(key, "4")
+        kept = simhash.drop_near_copies(source, stage)
+        spark.conf.set(key, "64")
+        got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    finally:
+        spark.conf.unset(key)
+    assert len(got) == len(set(root)) == len(set(got))
+    best = {}
+    for k, (i, t) in enumerate(rows):
+        best[root[k]] = min(best.get(root[k], (True, 0)), (i is None, i or 0))
+    assert sorted(i for i, _ in got) == sorted(i for _, i in best.values())
+
+
 def test_components_of_a_chain_and_a_star(spark, stage):
     pairs = [(n, n + 1) for n in range(300)] + [(1000, n) for n in range(1001, 1400)] + [(5, 5), (1, 0)]
     rows = components.components(spark.createDataFrame(pairs, "a bigint, b bigint"), stage).collect()

@@ -88,7 +88,6 @@ def test_a_full_table_changes_nothing(library):
 @given(st.lists(TEXT | st.from_regex(r" ?[A-Za-z]{1,9}[.,;:!?]{0,3}", fullmatch=True), max_size=8).map(" ".join))
 def test_pieces_equal_the_library(text):
     tokenizer = Tokenizer.from_file(BPE)
-    tokenizer.encode_special_tokens = True
     assert token_files._cuts_plain(tokenizer)
     ids, lengths = token_files._encoder(BPE)[0].encode([text, ""])
     assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids and lengths.tolist() == [len(ids), 0]
@@ -112,6 +111,17 @@ def test_grammar_round_trip(documents, base):
         assert len(shard.symbols) < len(ids) / 2
 
 
+def test_grammar_goes_on_until_no_pair_pays():
+    ids = np.random.default_rng(3).zipf(1.3, 6_000) % 50
+    ids = np.tile(np.append(ids, 2), 20).astype(np.int32)
+    ends = np.arange(1, 21) * 6_001
+    symbols, symbol_ends, rules = token_files.compress(ids, ends, 60)
+    cuts = set((symbol_ends - 1).tolist())
+    keys = np.array([(a << 16) | b for k, (a, b) in enumerate(zip(symbols[:-1].tolist(), symbols[1:].tolist(), strict=True)) if k not in cuts], np.uint32)
+    assert not len(token_files._frequent(keys, 10)) or len(rules) == (1 << 16) - 60
+    assert token_files.rule_lengths(rules, 60).max() > 64
+
+
 def test_rules_expand_to_their_lengths():
     ids = np.array([1, 2, 3, 4] * 5000 + [2], np.int32)
     shard = token_files.Shard.build([1], ids, np.array([len(ids)]), 10)
@@ -125,7 +135,6 @@ def test_files_equal_the_library(spark, stage, monkeypatch):
     frame = spark.createDataFrame([(i, t, 1, "p") for i, t in ROWS], "doc_id bigint, text string, part int, shard string")
     got = token_files.token_round_trip(frame, stage, BPE).collect()
     tokenizer = Tokenizer.from_file(BPE)
-    tokenizer.encode_special_tokens = True
     start, want = 0, []
     for i, t in sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
         ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2]
