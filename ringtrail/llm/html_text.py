@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -36,9 +37,10 @@ CLOSES_P = frozenset(
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre td dd dt figcaption".split())
 # Words in class, id or role. The first always speak against a block, the others only where no
 # article or main element lies between: wrappers of a whole page carry such names too.
-AGAINST = frozenset(
-    "ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promotion promoted"
-    " comment comments commentlist reply replies respond disqus cookie cookies consent gdpr alert alertdialog"
+ADVERTS = frozenset("ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors promoted".split())
+REPLIES = frozenset("comment comments commentlist reply replies respond disqus".split())
+AGAINST = ADVERTS | REPLIES | frozenset(
+    "promo promotion cookie cookies consent gdpr alert alertdialog"
     " popup modal overlay newsletter subscribe subscription share sharing social complementary contentinfo".split()
 )
 AGAINST_OUTSIDE = frozenset(
@@ -49,12 +51,17 @@ AGAINST_OUTSIDE = frozenset(
 ARTICLE_NAMES = frozenset("article post entry story content body text".split())
 AWAY_NAMES = frozenset("nav menu sidebar widget widgets related recommended form footer notice search copyright".split())
 LAYOUT_NAMES = frozenset("has with no layout wrapper wrap container".split())
+PAGE_NAMES = frozenset("page site layout wrapper root app outer".split())
 EDGE_NAMES = frozenset("header footer nav menu banner notice".split())
+# A name that tells a state, not what an element is: "no-ads", "has-comments", "modal-open".
+BEFORE_STATE = frozenset("has have no not non with without is are hide show shows allow allows enable disable".split())
+AFTER_STATE = frozenset("enabled disabled open opened closed active inactive on off free visible loaded ready allowed count status".split())
 
-# Costs, in nats.
+# Costs, in nats. What a block itself says lies between about -9 and 5; a tie between neighbours is of the
+# size of a sentence more or less, so that in pages without telling names the cut decides by the neighbours.
 FAR_AGAINST = 12.0
 IN_MAIN = 4.0
-TIE = 1.0
+TIE = 2.0
 
 _TOKEN = re.compile(
     r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*?)>""", re.S
@@ -67,47 +74,75 @@ _WORDS = re.compile(r"\S+")
 _RIGHTS = re.compile(r"(?:©|\(c\)|copyright\b|all rights reserved)", re.I)
 
 
-@dataclass
+@dataclass(eq=False)
 class Element:
     name: str
+    parent: Element | None = field(default=None, repr=False)
+    depth: int = 0
     against: float = 0.0
     main: bool = False
-    depth: int = 0
-    serial: int = 0
+    # Whether the cost holds for an article below as well.
+    fixed: bool = False
 
 
 @dataclass
 class Block:
     text: str
     linked: int
-    path: tuple[Element, ...] = field(repr=False)
-
-
-def _judge(name: str, attributes: str, under: Element | None) -> tuple[float, bool]:
-    """(cost of what lies in an element being called content, whether it is in the main part)."""
-    against, main = (under.against, under.main) if under else (0.0, False)
-    if against >= FAR_AGAINST:
-        return against, main
-    names: set[str] = set()
-    if attributes:
-        for m in _ATTRIBUTE.finditer(attributes):
-            key, value = m[1].lower(), (m[2] or "").strip("\"'")
-            if key in ("class", "id", "role"):
-                names.update(w.lower() for w in _NAME.findall(value))
-            elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and _HIDDEN.search(value)):
-                return FAR_AGAINST, main
-    if name in AWAY or names & AGAINST:
-        return FAR_AGAINST, main
+    under: Element | None = field(repr=False)
+
+
+def _names(value: str) -> Iterator[set[str]]:
+    """The words of each whole name of an attribute; names of a state have none."""
+    for token in value.split():
+        words = [w.lower() for w in _NAME.findall(token)]
+        if len(words) > 1 and (words[0] in BEFORE_STATE or words[-1] in AFTER_STATE):
+            continue
+        yield set(words)
+
+
+def _judge(name: str, attributes: str, under: Element | None) -> Element:
+    """The element with the cost of what lies in it being called content, and whether it is in the main part."""
+    made = Element(name, under, under.depth + 1 if under else 0)
+    if under:
+        made.against, made.main, made.fixed = under.against, under.main, under.fixed
+    if made.fixed and made.against >= FAR_AGAINST:
+        return made
+    tokens: list[set[str]] = []
+    for m in _ATTRIBUTE.finditer(attributes or ""):
+        key, value = m[1].lower(), (m[2] or "").strip("\"'")
+        if key in ("class", "id", "role"):
+            tokens += _names(value)
+        elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and _HIDDEN.search(value)):
+            made.against, made.fixed = FAR_AGAINST, True
+            return made
+    names = set().union(*tokens)
+    if name in AWAY:
+        made.against, made.fixed = FAR_AGAINST, True
+        return made
+    if name in ("html", "body"):
+        return made
+    told = ADVERTS | REPLIES
+    if name == "article" and any(t & told for t in tokens):
+        # A reader's comment may be an article of its own, and so may an advert.
+        made.against, made.fixed = FAR_AGAINST, True
+        return made
     if name in MAIN or "main" in names:
-        # A wrapper's names above the main part say nothing about it.
-        return 0.0, True
-    if name in ("html", "body") or (name == "header" and main) or (names & LAYOUT_NAMES and not names & EDGE_NAMES):
-        return against, main
-    if names & ARTICLE_NAMES and not names & AWAY_NAMES:
-        return 0.0, main
-    if name in WRAPPING or names & AGAINST_OUTSIDE:
-        return (FAR_AGAINST if main else FAR_AGAINST / 2), main
-    return against, main
+        # Names of wrappers above the main part say nothing about it.
+        made.against, made.main = 0.0, True
+        return made
+    if made.against >= FAR_AGAINST:
+        return made
+    page_wide = not made.main and any(t & PAGE_NAMES and not t & (AGAINST | EDGE_NAMES) for t in tokens)
+    if names & (told if page_wide else AGAINST):
+        made.against, made.fixed = FAR_AGAINST, bool(names & told)
+    elif (name == "header" and made.main) or page_wide or (names & LAYOUT_NAMES and not names & EDGE_NAMES):
+        pass
+    elif names & ARTICLE_NAMES and not names & AWAY_NAMES:
+        made.against = 0.0
+    elif name in WRAPPING or names & AGAINST_OUTSIDE:
+        made.against = FAR_AGAINST if made.main else FAR_AGAINST / 2
+    return made
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -117,17 +152,25 @@ def blocks_of(page: str) -> list[Block]:
     pieces: list[str] = []
     linked = 0
     in_link = unseen = 0
-    serial = 0
+    open_names: Counter[str] = Counter()
 
     def end_block() -> None:
         nonlocal linked
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                out.append(Block(text, linked, tuple(stack)))
+                out.append(Block(text, linked, stack[-1] if stack else None))
             pieces.clear()
         linked = 0
 
+    def leave(first: int) -> None:
+        """Close the elements of the stack from a place on."""
+        nonlocal unseen
+        for e in stack[first:]:
+            open_names[e.name] -= 1
+            unseen -= e.name in UNSEEN
+        del stack[first:]
+
     def say(text: str) -> None:
         nonlocal linked
         if text and not unseen:
@@ -162,15 +205,11 @@ def blocks_of(page: str) -> list[Block]:
                 in_link = 0
             if name in INLINE:
                 continue
-            if name in ("br", "p") and not any(e.name == name for e in stack):
+            if open_names[name]:
+                end_block()
+                leave(next(k for k in range(len(stack) - 1, -1, -1) if stack[k].name == name))
+            elif name in ("br", "p"):
                 end_block()
-                continue
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].name == name:
-                    end_block()
-                    unseen -= sum(e.name in UNSEEN for e in stack[k:])
-                    del stack[k:]
-                    break
             continue
         if name in RAW:
             if not m[3].endswith("/") or name in RAW:
@@ -188,17 +227,13 @@ def blocks_of(page: str) -> list[Block]:
         if name in VOID:
             continue
         if name in CLOSES_P and stack and stack[-1].name == "p":
-            stack.pop()
+            leave(len(stack) - 1)
         elif name in ("li", "td", "th", "tr", "dd", "dt", "option") and stack and stack[-1].name == name:
-            unseen -= stack[-1].name in UNSEEN
-            stack.pop()
-        elif name == "body":
-            unseen -= sum(e.name in UNSEEN for e in stack)
-            stack[:] = [e for e in stack if e.name not in UNSEEN]
-        under = stack[-1] if stack else None
-        against, main = _judge(name, m[3], under)
-        serial += 1
-        stack.append(Element(name, against, main, len(stack), serial))
+            leave(len(stack) - 1)
+        elif name == "body" and unseen:
+            leave(next(k for k, e in enumerate(stack) if e.name in UNSEEN))
+        stack.append(_judge(name, m[3], stack[-1] if stack else None))
+        open_names[name] += 1
         unseen += name in UNSEEN
     end_block()
     return out
@@ -206,7 +241,7 @@ def blocks_of(page: str) -> list[Block]:
 
 def evidence(block: Block) -> float:
     """Cost of calling a block boilerplate, less that of calling it content."""
-    under = block.path[-1] if block.path else None
+    under = block.under
     words = len(_WORDS.findall(block.text))
     share = min(1.0, block.linked / max(len(block.text), 1))
     value = min(3.0, (words - 8) / 8) - 6.0 * share * (1.0 if words < 40 else 0.5)
@@ -220,33 +255,35 @@ def evidence(block: Block) -> float:
         value -= 4.0
     if under:
         value += IN_MAIN * under.main - under.against
-        if under.main and under.against < FAR_AGAINST:
-            # Short paragraphs of an article are as much part of it; only a list of links is not.
-            value = max(value, 1.0) if share < 0.8 or words > 5 else value
     return value
 
 
-def _distance(a: Block, b: Block) -> int:
-    """Steps in the document tree between the elements of two blocks."""
-    common = 0
-    for x, y in zip(a.path, b.path, strict=False):
-        if x.serial != y.serial:
-            break
-        common += 1
-    return len(a.path) + len(b.path) - 2 * common
+def _distance(a: Element | None, b: Element | None) -> int:
+    """Steps in the document tree between two elements."""
+    steps = 0
+    while a is not b:
+        if b is None or (a is not None and a.depth >= b.depth):
+            a = a.parent
+        else:
+            b = b.parent
+        steps += 1
+    return steps
 
 
 def edges_of(blocks: list[Block]) -> list[tuple[int, int, float]]:
-    """Ties between neighbours in page order, and between a block and the next in the same parent."""
+    """Ties between neighbours in page order, and between a block and the next in the same parent.
+
+    All steps between neighbours together are no more than the tags of the page.
+    """
     out = []
     last: dict[int, int] = {}
     for k, block in enumerate(blocks):
         if k:
-            out.append((k - 1, k, TIE / (1 + 0.5 * _distance(blocks[k - 1], block))))
-        parent = block.path[-2].serial if len(block.path) > 1 else 0
+            out.append((k - 1, k, TIE / (1 + 0.5 * _distance(blocks[k - 1].under, block.under))))
+        parent = id(block.under.parent) if block.under and block.under.parent else 0
         before = last.get(parent)
         if before is not None and before != k - 1:
-            out.append((before, k, TIE / (1 + 0.5 * _distance(blocks[before], block))))
+            out.append((before, k, TIE / (1 + 0.5 * _distance(blocks[before].under, block.under))))
         last[parent] = k
     return out
 
@@ -341,7 +378,8 @@ def main_text(page: str | None) -> str:
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Per row: (id, url, text, n_chars); null and empty pages have empty text. Rows that repeat are kept."""
+    """Per row: (id, url, text, n_chars); null and empty pages have empty text. Rows that repeat are kept.
+    The work on a page grows with its length, also where it is one element in another thousands of times."""
 
     def run(batches):
         for batch in batches:

@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -189,6 +190,56 @@ def test_main_text_of_a_page():
     assert html_text.main_text(PAGE) == want
 
 
+ARTICLE = "<h1>Tides and moons</h1><p>The sea rises twice a day, and every harbour keeps a table of it.</p><p>Short.</p>"
+ARTICLE_TEXT = "Tides and moons The sea rises twice a day, and every harbour keeps a table of it. Short."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body class='single no-ads'><article>%s</article></body>",
+        "<body class='newsletter-popup-enabled'><article>%s</article></body>",
+        "<html class='modal-open'><body><article>%s</article></body></html>",
+        "<div class='layout with-share-bar'><article>%s</article></div>",
+        "<article class='post has-comments'>%s</article>",
+        "<main class='overlay-open'>%s</main>",
+        "<div class='page-wrapper share'><main><article>%s</article></main></div>",
+    ],
+)
+@pytest.mark.parametrize(
+    "rest",
+    [
+        "",
+        "<div class='comments'><article class='comment'><p>I think this is very good and have read it twice.</p></article></div>",
+        "<div class='ad-container'><article><p>Buy one of these today, you will never regret it, they say.</p></article></div>",
+        "<aside><article><p>Another story that many people read is told on another page.</p></article></aside>",
+        "<div class='share-bar'><p>Tell all your friends about it, and your family too.</p></div>",
+    ],
+)
+def test_names_of_wrappers_are_not_names_of_what_they_hold(page, rest):
+    assert html_text.main_text(page % ARTICLE + rest) == ARTICLE_TEXT
+
+
+def test_ties_decide_where_no_names_tell():
+    """In a page of plain divisions a short paragraph between long ones is content and a sentence among
+    links is not; each block alone says the opposite."""
+    long = "This is one of the sentences that an ordinary story has, and there are many more like it in every part."
+    links = "".join(f"<div><a href='{k}'>Section number {k}</a></div>" for k in range(4))
+    page = f"<div>{links}<div>See all of our parts here today.</div>{links}</div><div><div>{long}</div><div>Not so.</div><div>{long}</div></div>"
+    blocks = html_text.blocks_of(page)
+    alone = " ".join(b.text for b in blocks if html_text.evidence(b) > 0)
+    assert "Not so." not in alone and "See all" in alone
+    assert html_text.main_text(page) == f"{long} Not so. {long}"
+
+
+def test_deep_and_broken_pages_take_linear_time():
+    began = time.process_time()
+    assert html_text.main_text("<div>word " * 100_000) == ""
+    html_text.main_text("<div><p>word </p></x>" * 20_000 + "</p></br>" * 20_000)
+    assert html_text.main_text("<article>" + "<div>" * 50_000 + "one two three four five." + "</div>" * 50_000) == "one two three four five."
+    assert time.process_time() - began < 30
+
+
 def test_pages_of_all_kinds(spark, stage):
     rows = [(1, "u", None), (2, None, ""), (3, "u", PAGE), (3, "u", PAGE), (None, "u", "<p>"), (4, "u", "<" * 5000 + "a<b c='"),
             (5, "u", "<div>" * 3000 + "deep text that stays" + "</div>" * 3000), (6, "u", "<article>" + "<p>word " * 50_000)]
