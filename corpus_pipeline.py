@@ -14,7 +14,8 @@ from ringtrail.llm.common import prepare, staging, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: null texts and texts without a letter."""
+    """Documents without a language go, null texts and texts without a letter, and documents whose text is
+    clearly in another language than their label."""
     prepare(spark)
     return language_id.keep_identified(docs, language_id.learn(docs))
 
@@ -30,12 +31,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: 0, 1 or 2 rows."""
+    """Each document as often as the mix takes it: 0, 1 or 2 rows. Null texts have no words, a null source is
+    a source of its own."""
     return mixing.repeat_documents(docs, staging(spark))
 
 
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of the text decoded from them, a row per document taken."""
+    """Token counts and digests of the ids and of the text decoded from them, a row per document taken;
+    a null text is empty."""
     prepare(spark)
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)

@@ -29,6 +29,8 @@ SAMPLE_DOCS = 48
 SAMPLE_PIECE = 300
 SAMPLE_CHARS = 12_000
 SECTION = 2048
+# Score from which a prediction overrules a label.
+CERTAIN = 0.5
 
 _TOP = 0x110000
 
@@ -228,16 +230,31 @@ def identify(
     return rows.mapInArrow(run, schema)
 
 
-def keep_identified(docs: DataFrame, sample: tuple[tuple[str, str], ...], text_col: str = "text") -> DataFrame:
-    """The rows of `docs` whose text has a language, with all their columns."""
+def keep_identified(
+    docs: DataFrame,
+    sample: tuple[tuple[str, str], ...],
+    text_col: str = "text",
+    lang_col: str = "lang",
+    certain: float = CERTAIN,
+) -> DataFrame:
+    """The rows of `docs` in a language, and in that of their label, with all their columns.
+
+    Rejected are null texts and texts without a letter, and texts that fit another language than their
+    label so much better that the prediction's score is `certain` or more. A null label agrees with
+    every prediction. Rows that repeat are judged each, all alike.
+    """
     packed = docs.select(F.struct("*").alias("_doc"))
 
     def run(batches):
         coder = parser(sample)
         for batch in batches:
             rows = batch.column(0)
-            names, _, _ = score_texts(coder, rows.field(text_col).to_pylist())
-            keep = pa.array([name != UNDEFINED for name in names], pa.bool_())
-            yield pa.RecordBatch.from_arrays([rows.filter(keep)], ["_doc"])
+            names, score, _ = score_texts(coder, rows.field(text_col).to_pylist())
+            labels = rows.field(lang_col).to_pylist()
+            keep = [
+                name != UNDEFINED and (label is None or label == name or s < certain)
+                for name, label, s in zip(names, labels, score.tolist(), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([rows.filter(pa.array(keep, pa.bool_()))], ["_doc"])
 
     return packed.mapInArrow(run, packed.schema).select("_doc.*")

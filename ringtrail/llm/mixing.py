@@ -128,6 +128,29 @@ def mix(
     by a hash of the id, so reruns agree. What rounding leaves open per source is closed by a few
     documents of each size class, changed by one copy. Rows that repeat count each.
     """
+    _, rated, changed = _solve(docs, stage, id_col, source_col, text_col, weights, share, limit)
+    copies = F.col("copies") + F.coalesce("step", F.lit(0))
+    return rated.join(changed, F.col("_row") == F.col("_changed"), "left").select(
+        F.col("_id").alias(id_col),
+        F.col("_source").alias(source_col),
+        "size",
+        "source_size",
+        "target",
+        "rate",
+        copies.alias("copies"),
+        (copies * F.col("size")).alias("taken"),
+    )
+
+
+def _copies(limit: float) -> tuple[Column, Column]:
+    """(rate, copies) from `_id` and `size` of a row and what its source's solution holds."""
+    rate = F.coalesce(_rate(F.col("lam"), F.col("size"), F.col("mean"), limit), F.lit(limit))
+    chance = F.pmod(F.xxhash64(F.lit(SALT), "_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return rate, (F.floor(rate) + (chance < rate - F.floor(rate)).cast("long")).cast("long")
+
+
+def _solve(docs, stage, id_col, source_col, text_col, weights=WEIGHTS, share=SHARE, limit=LIMIT):
+    """(solution per source, rows with rates and copies, the few rows to change by one copy)."""
     rows = stage(
         docs.select(
             F.col(id_col).alias("_id"),
@@ -139,43 +162,41 @@ def mix(
     )
     sizes = stage(rows.groupBy("_source", "size").agg(F.count(F.lit(1)).alias("n")), "histogram")
     solved = tilt(sizes, source_targets(sizes, stage, weights, share, limit), stage, limit)
-    solved = solved.withColumnRenamed("_source", "_s")
-    rate = F.coalesce(_rate(F.col("lam"), F.col("size"), F.col("mean"), limit), F.lit(limit))
-    chance = F.pmod(F.xxhash64(F.lit(SALT), "_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    solved = stage(solved.withColumnRenamed("_source", "_s"), "solution")
+    rate, copies = _copies(limit)
     rated = stage(
-        rows.join(solved, F.col("_source").eqNullSafe(F.col("_s")))
-        .select("_id", "_row", "_source", "size", "source_size", "target", rate.alias("rate"))
-        .withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).cast("long")),
+        rows.join(solved, F.col("_source").eqNullSafe(F.col("_s"))).select(
+            "_id", "_row", "_source", "size", "source_size", "target", rate.alias("rate"), copies.alias("copies")
+        ),
         "rated",
     )
-    changed = stage(_corrections(rated, limit), "corrections").withColumnRenamed("_row", "_changed")
-    copies = F.col("copies") + F.coalesce("step", F.lit(0))
-    return rated.join(changed, F.col("_row") == F.col("_changed"), "left").select(
-        F.col("_id").alias(id_col),
-        F.col("_source").alias(source_col),
-        "size",
-        "source_size",
-        "target",
-        "rate",
-        copies.alias("copies"),
-        (copies * F.col("size")).alias("taken"),
-    )
+    return solved, rated, stage(_corrections(rated, limit), "corrections").withColumnRenamed("_row", "_changed")
 
 
 def repeat_documents(docs: DataFrame, stage: Staging, id_col="doc_id", source_col="source", text_col="text") -> DataFrame:
     """The documents of the mix, each as often as it is taken, with all columns of `docs`.
 
-    Rows that agree in id, source and size are taken equally often.
+    Copies follow from id, size and the source's solution, so no text is shuffled: the solutions, and the
+    few documents that close what rounding leaves open, are joined to the documents. Rows that agree in
+    id, source and size are taken equally often, as often as the one taken most. Null texts and texts
+    without a word have size 0 and stay as often as their rate, that of the smallest documents, says;
+    null ids and null sources are values like others.
     """
-    mixed = mix(docs, stage, id_col, source_col, text_col)
-    keys = [F.col(id_col).alias("_i"), F.col(source_col).alias("_s"), F.col("size").alias("_n")]
-    times = stage(mixed.groupBy(*keys).agg(F.max("copies").alias("_times")).where("_times > 0"), "times")
+    solved, rated, changed = _solve(docs, stage, id_col, source_col, text_col)
+    key = ["_id", "_source", "size"]
+    steps = rated.join(changed, F.col("_row") == F.col("_changed")).groupBy(*key).agg(F.max("step").alias("step"), F.count(F.lit(1)).alias("k"))
+    steps = stage(steps.withColumnsRenamed({"_id": "_i", "_source": "_t", "size": "_n"}), "steps")
+    same = F.col("_id").eqNullSafe(F.col("_i")) & F.col("_source").eqNullSafe(F.col("_t")) & (F.col("size") == F.col("_n"))
+    # A row that only some of its like leave is taken as often as the others.
+    met = rated.join(steps, same).groupBy(*key).agg(F.count(F.lit(1)).alias("rows"), F.first("k").alias("k"), F.first("step").alias("step"))
+    step = F.when(F.col("k") < F.col("rows"), F.greatest("step", F.lit(0))).otherwise(F.col("step"))
+    steps = stage(met.select(F.col("_id").alias("_i"), F.col("_source").alias("_t"), F.col("size").alias("_n"), step.alias("step")), "steps-of-keys")
     packed = docs.select(F.struct("*").alias("_doc"))
     doc = packed["_doc"]
-    size = n_words(doc[text_col])
-    same = doc[id_col].eqNullSafe(times._i) & doc[source_col].eqNullSafe(times._s) & (size == times._n)
-    taken = packed.join(times, same)
-    return taken.select("_doc", F.explode(F.expr("sequence(1, _times)"))).select("_doc.*")
+    packed = packed.select("_doc", doc[id_col].alias("_id"), doc[source_col].alias("_source"), n_words(doc[text_col]).alias("size"))
+    taken = packed.join(solved, F.col("_source").eqNullSafe(F.col("_s"))).join(steps, same, "left")
+    times = (_copies(LIMIT)[1] + F.coalesce("step", F.lit(0))).cast("int")
+    return taken.select("_doc", F.explode(F.array_repeat(F.lit(0), times))).select("_doc.*")
 
 
 def _corrections(rated: DataFrame, limit: float) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import sys
+import zlib
 from collections import Counter
 from pathlib import Path
 
@@ -10,10 +11,11 @@ import tiktoken
 from test_dedup import classes, normal, slow_fingerprint
 
 import corpus_pipeline
-from ringtrail.llm import byte_bpe
+from ringtrail.llm import byte_bpe, language_id, mixing
 from ringtrail.llm.common import prepare, table
 
 from ringtrail.session import ensure_scratch
+from ringtrail.staging import Staging
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -25,6 +27,11 @@ def test_every_stage_equals_brute_force(spark, tmp_path):
     schema = table(spark, SMALL, "documents").schema
     odd = [None, "", " \n", "123 !", "only one copy of this", "only  one copy\tof this", "word " * 30_000]
     rows += [(top + 1 + k, t, None, None, 0) for k, t in enumerate(odd)] + [(None, "no id at all", None, "s", None), rows[0]]
+    # Labels that say another language than the text.
+    told = [r for r in rows if r[2] and len(r[1] or "") > 400][:12]
+    unlearned = [i for i in range(top + 100, top + 400) if zlib.crc32(str(i).encode()) % 4 == 2]
+    wrong = {i: {"en": "fr", "fr": "de", "de": "es", "es": "en"}[r[2]] for i, r in zip(unlearned, told, strict=False)}
+    rows += [(i, f"{r[1]} {i}", wrong[i], r[3], r[4]) for i, r in zip(wrong, told, strict=True)]
     folder = str(tmp_path)
     ensure_scratch(spark)
     prepare(spark)
@@ -38,7 +45,10 @@ def test_every_stage_equals_brute_force(spark, tmp_path):
         out.write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
         if name == "language_id":
-            kept = [r for r in kept if any(c.isalpha() for c in r[1] or "")]
+            found = language_id.identify(table(spark, folder, "documents"), language_id.learn(table(spark, folder, "documents")))
+            other = {r["doc_id"]: r["lang_pred"] for r in found.collect() if r["score"] >= language_id.CERTAIN}
+            kept = [r for r in kept if any(c.isalpha() for c in r[1] or "") and (r[2] is None or other.get(r[0], r[2]) == r[2])]
+            assert not {r[0] for r in kept} & set(wrong) and len(kept) > 0.95 * (len(rows) - len(wrong) - 4)
         elif name == "exact_dedup":
             groups = {}
             for r in kept:
@@ -54,6 +64,8 @@ def test_every_stage_equals_brute_force(spark, tmp_path):
             kept = list(groups.values())
         else:
             times = Counter(r["doc_id"] for r in docs.collect())
+            mixed = mixing.mix(spark.read.parquet(f"{folder}/simhash"), Staging(spark, f"{folder}/mixed")).collect()
+            assert times == Counter({r["doc_id"]: r["copies"] for r in mixed if r["copies"]})
             assert set(times) <= {r[0] for r in kept} and max(times.values()) <= 2
             continue
         assert sorted(repr((r["doc_id"], r["text"])) for r in docs.collect()) == sorted(repr((r[0], r[1])) for r in kept), name
