@@ -36,6 +36,8 @@ SHARD_TOKENS = 2_000_000
 RULES_PER_ROUND = 2048
 # A rule takes 12 bytes, a use saves one symbol of 2.
 MIN_USES = 8
+# Pieces of text whose ids a worker remembers.
+PIECES = 400_000
 
 
 # --- grammar -------------------------------------------------------------------------------
@@ -197,16 +199,26 @@ class Shard:
 # --- writing and reading --------------------------------------------------------------------
 
 
-_PLAIN = re.compile(r"( ?)([A-Za-z]+)([.,;:!?]*)")
+# Latin letters, in one pre-token with the space before them, and marks, in another.
+_PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
+
+
+def _byte_signs() -> dict[int, int]:
+    """The sign that stands for each byte in a byte-level vocabulary: printable bytes for themselves, the
+    others, in order, for the code points from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printable]
+    return {b: b for b in printable} | {b: 256 + k for k, b in enumerate(rest)}
 
 
 def _cuts_plain(tokenizer) -> bool:
     """Whether the library cuts a plain piece into its word, with the space, and its marks, and changes neither."""
-    letters, marks = string.ascii_letters, ".,;:!?"
+    letters, marks = string.ascii_letters + "éÿɏ", ".,;:!?"
     cuts = tokenizer.pre_tokenizer and [x for x, _ in tokenizer.pre_tokenizer.pre_tokenize_str(f" {letters}{marks}")]
     added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    whole = not any(set(x) <= set(f" {letters}{marks}") for x in added)
-    return tokenizer.normalizer is None and cuts == [f"Ġ{letters}", marks] and whole
+    whole = not any(_PLAIN.fullmatch(x) for x in added)
+    signs = f" {letters}".encode().decode("latin-1").translate(_byte_signs())
+    return tokenizer.normalizer is None and cuts == [signs, marks] and whole
 
 
 @lru_cache(maxsize=2)
@@ -216,26 +228,24 @@ def _encoder(path: str) -> tuple[ChunkTable, int]:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    model, plain = tokenizer.model, _cuts_plain(tokenizer)
+    model, plain, signs = tokenizer.model, _cuts_plain(tokenizer), _byte_signs()
 
-    @lru_cache(maxsize=4096)
-    def marks_ids(marks: str) -> list[int]:
-        return [t.id for t in model.tokenize(marks)] if marks else []
+    @lru_cache(maxsize=200_000)
+    def token_ids(word: str) -> list[int]:
+        signed = word.replace(" ", "Ġ") if word.isascii() else word.encode().decode("latin-1").translate(signs)
+        return [t.id for t in model.tokenize(signed)] if word else []
 
     def encode(texts: list[str]) -> list[list[int]]:
         """Plain words go to the library's model as the one or two pre-tokens they are, the rest to all of the library."""
-        out: list[list[int] | None] = []
-        for text in texts:
-            m = _PLAIN.fullmatch(text) if plain else None
-            word = m and ("Ġ" if m[1] else "") + m[2]
-            out.append(m and [t.id for t in model.tokenize(word)] + marks_ids(m[3]))
+        found = map(_PLAIN.fullmatch, texts) if plain else [None] * len(texts)
+        out = [m and token_ids(m[1]) + token_ids(m[2]) for m in found]
         rest = [n for n, ids in enumerate(out) if ids is None]
         coded = tokenizer.encode_batch_fast([texts[n] for n in rest], add_special_tokens=False)
         for n, e in zip(rest, coded, strict=True):
             out[n] = e.ids
         return out
 
-    return ChunkTable(encode), tokenizer.get_vocab_size()
+    return ChunkTable(encode, PIECES), tokenizer.get_vocab_size()
 
 
 def write_tokens(
