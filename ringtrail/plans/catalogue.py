@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ringtrail import config, schemas
-from ringtrail.operators import circular_flow, evaluate, exposure, findings, mule_hub, publish, quality, reads
+from ringtrail.operators import circular_flow, evaluate, exposure, findings, mule_hub, publish, quality, reads, two_hop
 from ringtrail.plans.workspace import Workspace, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -206,6 +206,12 @@ def kg_is_held_at(w: Workspace) -> DataFrame:
 # --- circular flow -------------------------------------------------------------------
 
 
+@_query("silver")
+def two_hop_path_counts(w: Workspace) -> DataFrame:
+    hops = circular_flow.ring_transfers(w.table("silver/transfers_to"), config.CIRCULAR_FLOW)
+    return flat(two_hop.two_hop_path_counts(hops, config.CIRCULAR_FLOW, w.stage))
+
+
 @_query("circular_flow")
 def closable_paths(w: Workspace) -> DataFrame:
     return flat(circular_flow.closable_paths(w.frame("rings")))

@@ -689,6 +689,18 @@ def _statements() -> dict[str, tuple[str, str]]:
         ),
         "kg_has_account": ("owns", "SELECT party_id, account_key, CAST(NULL AS VARCHAR) AS relationship, source FROM owns"),
         "kg_is_held_at": ("acct", "SELECT account_key, bank_id AS fse_id FROM acct"),
+        "two_hop_path_counts": (
+            "xfer",
+            "SELECT account_key, currency, arrivals, departures, paths::DOUBLE AS paths, returning_paths::DOUBLE AS returning_paths, "
+            "(paths - returning_paths)::DOUBLE AS open_paths FROM "
+            "(SELECT y.src AS account_key, y.ccy AS currency, count(*) AS paths, count(*) FILTER (x.src = y.dst) AS returning_paths "
+            "FROM xfer x JOIN xfer y ON y.src = x.dst AND y.ccy = x.ccy AND y.ts BETWEEN x.ts AND x.ts + INTERVAL 14 DAY "
+            "WHERE x.amt > 1000 AND y.amt > 1000 AND x.src <> x.dst AND y.src <> y.dst GROUP BY ALL) p "
+            "JOIN (SELECT dst AS account_key, ccy AS currency, count(*) AS arrivals FROM xfer WHERE amt > 1000 AND src <> dst GROUP BY ALL) i "
+            "USING (account_key, currency) "
+            "JOIN (SELECT src AS account_key, ccy AS currency, count(*) AS departures FROM xfer WHERE amt > 1000 AND src <> dst GROUP BY ALL) o "
+            "USING (account_key, currency)",
+        ),
         "closable_paths": (
             "ring",
             "SELECT i1 AS hop1_id, i2 AS hop2_id, a AS acct_a, b AS acct_b, c AS acct_c, ccy AS currency, t1::VARCHAR AS ts_hop1, "
