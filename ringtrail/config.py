@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -123,6 +123,19 @@ LAUNDERING_EXPOSURE = Assessment(
     sla_hours=48,
 )
 
+# Rings of other lengths, as queries look for them: longer ones over a wider span and ratio.
+OTHER_RINGS = {
+    2: {},
+    4: {"max_time_span_days": 180, "max_amount_ratio": Decimal("5")},
+    5: {"max_time_span_days": 180, "max_amount_ratio": Decimal("5")},
+}
+
+
+def rings_of(hops: int) -> Assessment:
+    """The circular-flow assessment for rings of another number of hops."""
+    return replace(CIRCULAR_FLOW, params=CIRCULAR_FLOW.params | {"hops": hops} | OTHER_RINGS[hops])
+
+
 ASSESSMENTS = {a.assessment_id: a for a in (CIRCULAR_FLOW, MULE_HUB, LAUNDERING_EXPOSURE)}
 
 

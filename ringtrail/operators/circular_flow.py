@@ -1,4 +1,4 @@
-"""Three-hop rings A -> B -> C -> A: close in time, one currency, similar amounts.
+"""Rings A -> B -> ... -> A of a set number of hops: close in time, one currency, similar amounts.
 
 A direct self-join of the transfers pairs every incoming with every outgoing transfer
 of an account, which explodes at busy accounts. Instead:
@@ -13,12 +13,20 @@ of an account, which explodes at busy accounts. Instead:
 3. The few link triangles whose ranges could hold a ring pick the transfers to look at,
    and only these are joined into rings with the exact conditions.
 
+Three hops are the configured case. Other numbers take the same way, with cycles of links in place of
+triangles: two half-paths leave the busiest account of the cycle, one along and one against the links,
+and meet in the middle, so that a busy account is only ever an end. Before that, links that no closed
+walk of so many steps can use are peeled off (`operators/cyclic_core.py`).
+
 Steps 1 and 2 only rule out what cannot be a ring; step 3 decides.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
 import math
+import operator
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,6 +36,7 @@ from ringtrail import constants as K
 from ringtrail.config import Assessment
 from ringtrail.functions.columns import rounded_ratio, whole_hours
 from ringtrail.functions.ranking import global_rank
+from ringtrail.operators.cyclic_core import cyclic_core
 from ringtrail.operators.findings import (
     account_entities,
     edge_rows,
@@ -41,24 +50,42 @@ from ringtrail.staging import Staging
 # Cells of the last joins, see _cells; rings with no more pairs of candidates than this need none.
 BANDS, SLICES = 8, 4
 COARSE_PAIRS = 10_000
-RING_COLUMNS = [
-    "hop1_id", "hop2_id", "hop3_id",
-    "acct_a", "acct_b", "acct_c",
-    "ts_hop1", "ts_hop2", "ts_hop3",
-    "amt_hop1", "amt_hop2", "amt_hop3",
-    "currency",
-    "pf_hop1", "pf_hop2", "pf_hop3",
-    "amt_min", "amt_max",
-]
 RANGES = ["t_min", "t_max", "first_min", "first_max", "a_min", "a_max"]
 
 
+def letters(hops: int) -> list[str]:
+    """Names of the accounts of a ring in travel order."""
+    return list("abcdefghijklmnopqrstuvwxyz"[:hops])
+
+
+def ring_columns(hops: int) -> list[str]:
+    per_hop = [[f"{name}{n}" for n in range(1, hops + 1)] for name in ("ts_hop", "amt_hop", "pf_hop")]
+    ids = [f"hop{n}_id" for n in range(1, hops + 1)]
+    accounts = [f"acct_{c}" for c in letters(hops)]
+    return [*ids, *accounts, *per_hop[0], *per_hop[1], "currency", *per_hop[2], "amt_min", "amt_max"]
+
+
+def _hops(cfg: Assessment) -> int:
+    hops = int(cfg.params["hops"])
+    if not 2 <= hops <= 26 or not cfg.params["same_currency"]:
+        raise ValueError("circular flow is defined for two to 26 hops in one currency")
+    if cfg.params["min_amount"] < 0:
+        raise ValueError("circular flow is defined for amounts above zero: min_amount must not be negative")
+    return hops
+
+
 def _days(cfg: Assessment) -> int:
-    if cfg.params["hops"] != 3 or not cfg.params["same_currency"]:
-        raise ValueError("circular flow is defined for three hops in one currency")
     return int(cfg.params["max_time_span_days"])
 
 
+def _most(*columns: Column) -> Column:
+    return F.greatest(*columns) if len(columns) > 1 else columns[0]
+
+
+def _least(*columns: Column) -> Column:
+    return F.least(*columns) if len(columns) > 1 else columns[0]
+
+
 def _ratio(cfg: Assessment) -> Column:
     return F.lit(cfg.params["max_amount_ratio"])
 
@@ -66,6 +93,7 @@ def _ratio(cfg: Assessment) -> Column:
 def ring_transfers(transfers: DataFrame, cfg: Assessment) -> DataFrame:
     """Transfers that may be a hop: no dust, no self-transfers. `bucket` numbers the
     stretches of max_time_span_days, so a ring starting in bucket w ends by bucket w + 1."""
+    _hops(cfg)
     day = F.unix_date(F.col("event_timestamp").cast("date"))
     return transfers.filter(
         (F.col("amount") > F.lit(cfg.params["min_amount"]))
@@ -121,13 +149,14 @@ def activity(hops: DataFrame) -> DataFrame:
     )
 
 
-def hung_links(hops: DataFrame, active: DataFrame) -> DataFrame:
+def hung_links(hops: DataFrame, active: DataFrame, *, keep_busy: bool = False) -> DataFrame:
     """One row per currency, window and ordered pair of active accounts.
 
     `r` holds the ranges: times and amounts of the pair's transfers in the window, and
     as `first_*` the times of those in bucket w, the only ones that may start a ring of
     this window. Amounts are widened to whole units before the shuffles, which keeps the
-    ranges valid and the rows small. `hangs_on_src` marks the less busy end.
+    ranges valid and the rows small. `hangs_on_src` marks the less busy end; `keep_busy` keeps
+    how busy both are.
     """
 
     def of(end: str) -> DataFrame:
@@ -162,6 +191,7 @@ def hung_links(hops: DataFrame, active: DataFrame) -> DataFrame:
             "dst",
             F.struct(*RANGES).alias("r"),
             (F.struct("src_busy", "src") < F.struct("dst_busy", "dst")).alias("hangs_on_src"),
+            *(["src_busy", "dst_busy"] if keep_busy else []),
         )
     )
 
@@ -179,77 +209,112 @@ def _compatible(one: str, other: str, cfg: Assessment) -> Column:
 
 
 def link_triangles(hung: DataFrame, cfg: Assessment) -> DataFrame:
-    """Directed link triangles x -> y -> z -> x, each once, x being the least busy."""
+    """Directed link triangles v1 -> v2 -> v3 -> v1 with the ranges r1 to r3, each once, v1 being the least busy."""
     at = ["currency", "w"]
     leaving = hung.filter("hangs_on_src").select(
-        *at, F.col("src").alias("x"), F.col("dst").alias("y"), F.col("r").alias("xy")
+        *at, F.col("src").alias("v1"), F.col("dst").alias("v2"), F.col("r").alias("r1")
     )
     entering = hung.filter(~F.col("hangs_on_src")).select(
-        *at, F.col("dst").alias("x"), F.col("src").alias("z"), F.col("r").alias("zx")
-    )
-    closing = hung.select(*at, F.col("src").alias("y"), F.col("dst").alias("z"), F.col("r").alias("yz"))
-    open_pairs = leaving.join(entering, [*at, "x"]).filter(
-        (F.col("y") != F.col("z")) & _compatible("xy", "zx", cfg)
-    )
-    return open_pairs.join(closing, [*at, "y", "z"]).filter(
-        _compatible("xy", "yz", cfg) & _compatible("yz", "zx", cfg)
+        *at, F.col("dst").alias("v1"), F.col("src").alias("v3"), F.col("r").alias("r3")
     )
+    closing = hung.select(*at, F.col("src").alias("v2"), F.col("dst").alias("v3"), F.col("r").alias("r2"))
+    open_pairs = leaving.join(entering, [*at, "v1"]).filter((F.col("v2") != F.col("v3")) & _compatible("r1", "r3", cfg))
+    return open_pairs.join(closing, [*at, "v2", "v3"]).filter(_compatible("r1", "r2", cfg) & _compatible("r2", "r3", cfg))
 
 
-def hop_searches(triangles: DataFrame, cfg: Assessment) -> DataFrame:
-    """What to look for: per possible ring a, b, c and hop, the pair, bucket and ranges.
+def link_cycles(hung: DataFrame, cfg: Assessment) -> DataFrame:
+    """Directed cycles v1 -> ... -> vn -> v1 of links with the ranges r1 to rn, each once, v1 being the busiest.
 
-    Chronology decides which account is a, so all three rotations are tried.
+    Half-paths leave v1 along and against the links, through less busy accounts only, and meet.
     """
+    n, at = _hops(cfg), ["currency", "w"]
+    along = -(-n // 2)
+    root = F.struct("root_busy", "v1")
+
+    def compatible(name: str, others: list[str]) -> Column:
+        return functools.reduce(operator.and_, [_compatible(name, o, cfg) for o in others])
+
+    def fresh(name: str, others: list[str]) -> Column:
+        return functools.reduce(operator.and_, [F.col(name) != F.col(o) for o in ["v1", *others]])
+
+    there = hung.filter(~F.col("hangs_on_src")).select(
+        *at, F.col("src").alias("v1"), F.col("src_busy").alias("root_busy"), F.col("dst").alias("v2"), F.col("r").alias("r1")
+    )
+    for k in range(2, along + 1):
+        step = hung.select(*at, F.col("src").alias(f"v{k}"), F.col("dst").alias(f"v{k + 1}"), F.col("dst_busy").alias("busy"), F.col("r").alias(f"r{k}"))
+        there = there.join(step, [*at, f"v{k}"]).filter(
+            (F.struct("busy", f"v{k + 1}") < root)
+            & fresh(f"v{k + 1}", [f"v{j}" for j in range(2, k + 1)])
+            & compatible(f"r{k}", [f"r{j}" for j in range(1, k)])
+        ).drop("busy")
+    back = hung.filter("hangs_on_src").select(
+        *at, F.col("dst").alias("v1"), F.col("dst_busy").alias("root_busy"), F.col("src").alias(f"v{n}"), F.col("r").alias(f"r{n}")
+    )
+    for k in range(n - 1, along, -1):
+        step = hung.select(*at, F.col("dst").alias(f"v{k + 1}"), F.col("src").alias(f"v{k}"), F.col("src_busy").alias("busy"), F.col("r").alias(f"r{k}"))
+        back = back.join(step, [*at, f"v{k + 1}"]).filter(
+            (F.struct("busy", f"v{k}") < root)
+            & fresh(f"v{k}", [f"v{j}" for j in range(k + 1, n + 1)])
+            & compatible(f"r{k}", [f"r{j}" for j in range(k + 1, n + 1)])
+        ).drop("busy")
+    met = there.drop("root_busy").join(back.drop("root_busy"), [*at, "v1", f"v{along + 1}"])
+    pairs = [F.col(f"v{i}") != F.col(f"v{j}") for i in range(2, along + 1) for j in range(along + 2, n + 1)]
+    pairs += [_compatible(f"r{i}", f"r{j}", cfg) for i in range(1, along + 1) for j in range(along + 1, n + 1)]
+    return met.filter(functools.reduce(operator.and_, pairs))
+
+
+def hop_searches(found: DataFrame, cfg: Assessment) -> DataFrame:
+    """What to look for: per possible ring a, b, ... and hop, the pair, bucket and ranges.
+
+    Chronology decides which account is a, so all rotations are tried.
+    """
+    n = _hops(cfg)
     days = F.lit(timedelta(days=_days(cfg)))
-    x, y, z, xy, yz, zx = (F.col(c) for c in ("x", "y", "z", "xy", "yz", "zx"))
-    turns = [(x, y, z, xy, yz, zx), (y, z, x, yz, zx, xy), (z, x, y, zx, xy, yz)]
-    names = ("a", "b", "c", "p1", "p2", "p3")
-    rotated = triangles.select(
-        "currency",
-        "w",
-        F.explode(F.array(*[F.struct(*[v.alias(n) for v, n in zip(t, names)]) for t in turns])).alias("ring"),
-    ).select("currency", "w", "ring.*")
+    nodes, ranges = letters(n), [f"p{k}" for k in range(1, n + 1)]
+    turns = [
+        F.struct(
+            *[F.col(f"v{(k + turn) % n + 1}").alias(name) for k, name in enumerate(nodes)],
+            *[F.col(f"r{(k + turn) % n + 1}").alias(name) for k, name in enumerate(ranges)],
+        )
+        for turn in range(n)
+    ]
+    rotated = found.select("currency", "w", F.explode(F.array(*turns)).alias("ring")).select("currency", "w", "ring.*")
 
     def c(name: str) -> Column:
         return F.col(name)
 
     latest_start = c("p1.first_max") + days
-    possible = rotated.filter(
-        c("p1.first_min").isNotNull()
-        & (c("p1.first_min") <= c("p2.t_max"))
-        & (c("p1.first_min") <= c("p3.t_max"))
-        & (c("p2.t_min") <= c("p3.t_max"))
-        & (c("p2.t_min") <= latest_start)
-        & (c("p3.t_min") <= latest_start)
-    )
-
-    def search(hop: int, src: str, dst: str, t_lo: Column, t_hi: Column, others: tuple[str, str]) -> Column:
-        buckets = F.array(c("w")) if hop == 1 else F.array(c("w"), c("w") + 1)
+    later = range(2, n + 1)
+    fits = [c("p1.first_min").isNotNull()]
+    fits += [c("p1.first_min") <= c(f"p{k}.t_max") for k in later]
+    fits += [c(f"p{k}.t_min") <= latest_start for k in later]
+    fits += [c(f"p{j}.t_min") <= c(f"p{k}.t_max") for k in later for j in range(2, k)]
+    possible = rotated.filter(functools.reduce(operator.and_, fits))
+
+    def search(hop: int) -> Column:
+        others = [f"p{k}" for k in range(1, n + 1) if k != hop]
+        before = [c(f"p{k}.t_min") for k in range(2, hop)]
+        after = [c(f"p{k}.t_max") for k in range(hop + 1, n + 1)]
+        if hop == 1:
+            t_lo = F.greatest(c("p1.first_min"), _most(*[c(f"{o}.t_min") for o in others]) - days)
+            t_hi = F.least(c("p1.first_max"), *after)
+        else:
+            t_lo, t_hi = _most(c("p1.first_min"), *before), _least(latest_start, *after)
         return F.struct(
             F.lit(hop).alias("hop"),
-            c(src).alias("src"),
-            c(dst).alias("dst"),
-            buckets.alias("buckets"),
+            c(nodes[hop - 1]).alias("src"),
+            c(nodes[hop % n]).alias("dst"),
+            (F.array(c("w")) if hop == 1 else F.array(c("w"), c("w") + 1)).alias("buckets"),
             t_lo.alias("t_lo"),
             t_hi.alias("t_hi"),
-            F.greatest(*[c(f"{o}.a_min") for o in others]).alias("other_a_min"),
-            F.least(*[c(f"{o}.a_max") for o in others]).alias("other_a_max"),
+            _most(*[c(f"{o}.a_min") for o in others]).alias("other_a_min"),
+            _least(*[c(f"{o}.a_max") for o in others]).alias("other_a_max"),
         )
 
-    searches = F.array(
-        search(
-            1, "a", "b",
-            F.greatest(c("p1.first_min"), F.greatest(c("p2.t_min"), c("p3.t_min")) - days),
-            F.least(c("p1.first_max"), c("p2.t_max"), c("p3.t_max")),
-            ("p2", "p3"),
-        ),
-        search(2, "b", "c", c("p1.first_min"), F.least(latest_start, c("p3.t_max")), ("p1", "p3")),
-        search(3, "c", "a", F.greatest(c("p1.first_min"), c("p2.t_min")), latest_start, ("p1", "p2")),
-    )
+    searches = F.array(*[search(hop) for hop in range(1, n + 1)])
     return (
-        possible.select("currency", "w", "a", "b", "c", F.explode(searches).alias("s"))
-        .select("currency", "w", "a", "b", "c", "s.*")
+        possible.select("currency", "w", *nodes, F.explode(searches).alias("s"))
+        .select("currency", "w", *nodes, "s.*")
         .withColumn("bucket", F.explode("buckets"))
         .drop("buckets")
     )
@@ -265,7 +330,7 @@ def candidate_hops(hops: DataFrame, searches: DataFrame, cfg: Assessment) -> Dat
             & (F.col("amount") <= _ratio(cfg) * F.col("other_a_max"))
             & (F.col("other_a_min") <= _ratio(cfg) * F.col("amount"))
         )
-        .select("currency", "w", "a", "b", "c", "hop", "fin_txn_id", "ts", "amount", "payment_format")
+        .select("currency", "w", *letters(_hops(cfg)), "hop", "fin_txn_id", "ts", "amount", "payment_format")
     )
 
 
@@ -319,21 +384,24 @@ def assemble(candidates: DataFrame, cfg: Assessment, stage: Staging) -> DataFram
     many, hops meet by cells of amount and time, so that next to no pairs are formed that break a
     condition, and the work of a busy ring spreads over tasks.
     """
-    ring = ["currency", "w", "a", "b", "c"]
-    sizes = candidates.groupBy(*ring).agg(*[F.count_if(F.col("hop") == n).alias(f"n{n}") for n in (1, 2, 3)])
-    by_size = F.array_sort(F.array(*[F.struct(F.col(f"n{n}").alias("n"), F.lit(n).alias("hop")) for n in (1, 2, 3)]))
-    sizes = sizes.filter("n1 > 0 AND n2 > 0 AND n3 > 0").withColumn("o", by_size)
+    n = _hops(cfg)
+    numbers = range(1, n + 1)
+    ring = ["currency", "w", *letters(n)]
+    turn_names = [f"turn{k}" for k in numbers]
+    sizes = candidates.groupBy(*ring).agg(*[F.count_if(F.col("hop") == k).alias(f"n{k}") for k in numbers])
+    by_size = F.array_sort(F.array(*[F.struct(F.col(f"n{k}").alias("n"), F.lit(k).alias("hop")) for k in numbers]))
+    sizes = sizes.filter(functools.reduce(operator.and_, [F.col(f"n{k}") > 0 for k in numbers])).withColumn("o", by_size)
     turns = stage(
         sizes.select(
             *ring,
-            *[F.col("o")[k]["hop"].alias(name) for k, name in enumerate(("few", "some", "most"))],
-            (F.col("o")[1]["n"] * F.col("o")[2]["n"] > COARSE_PAIRS).alias("fine"),
+            *[F.col("o")[k]["hop"].alias(name) for k, name in enumerate(turn_names)],
+            (F.col("o")[n - 2]["n"] * F.col("o")[n - 1]["n"] > COARSE_PAIRS).alias("fine"),
         ),
         "ring-sizes",
     )
     hop = F.struct("hop", "fin_txn_id", "ts", "amount", "payment_format")
     ranked = stage(
-        candidates.join(turns, ring).select(*ring, "few", "some", "most", "fine", hop.alias("h")), "ranked-candidates"
+        candidates.join(turns, ring).select(*ring, *turn_names, "fine", hop.alias("h")), "ranked-candidates"
     )
 
     def of(turn: str, name: str) -> DataFrame:
@@ -362,37 +430,36 @@ def assemble(candidates: DataFrame, cfg: Assessment, stage: Staging) -> DataFram
             .drop("band", "slice", *reach)
         )
 
-    first = ranked.filter(F.col("h")["hop"] == F.col("few")).withColumnRenamed("h", "x")
-    met = meet(meet(first, ["x"], "some", "y"), ["x", "y"], "most", "z")
-    hops = F.array_sort(F.array("x", "y", "z"))
-    found = met.select(*ring, *[hops[n - 1].alias(f"h{n}") for n in (1, 2, 3)])
+    found = ranked.filter(F.col("h")["hop"] == F.col("turn1")).withColumnRenamed("h", "x1")
+    for k in range(2, n + 1):
+        found = meet(found, [f"x{j}" for j in range(1, k)], f"turn{k}", f"x{k}")
+    hops = F.array_sort(F.array(*[f"x{k}" for k in numbers]))
+    found = found.select(*ring, *[hops[k - 1].alias(f"h{k}") for k in numbers])
     days = F.lit(timedelta(days=_days(cfg)))
-    h = [F.col(f"h{n}") for n in (1, 2, 3)]
+    h = [F.col(f"h{k}") for k in numbers]
     amounts = [x["amount"] for x in h]
-    return found.filter(
-        (h[0]["ts"] <= h[1]["ts"]) & (h[1]["ts"] <= h[2]["ts"]) & (h[2]["ts"] <= h[0]["ts"] + days)
-    ).select(
-        *[x["fin_txn_id"].alias(f"hop{n}_id") for n, x in enumerate(h, 1)],
-        F.col("a").alias("acct_a"),
-        F.col("b").alias("acct_b"),
-        F.col("c").alias("acct_c"),
-        *[x["ts"].alias(f"ts_hop{n}") for n, x in enumerate(h, 1)],
-        *[x["amount"].alias(f"amt_hop{n}") for n, x in enumerate(h, 1)],
-        "currency",
-        *[x["payment_format"].alias(f"pf_hop{n}") for n, x in enumerate(h, 1)],
-        F.least(*amounts).alias("amt_min"),
-        F.greatest(*amounts).alias("amt_max"),
-    )
+    in_order = [x["ts"] <= y["ts"] for x, y in itertools.pairwise(h)] + [h[-1]["ts"] <= h[0]["ts"] + days]
+    made = {f"hop{k}_id": x["fin_txn_id"] for k, x in enumerate(h, 1)}
+    made |= {f"acct_{c}": F.col(c) for c in letters(n)} | {"currency": F.col("currency")}
+    for name, field in (("ts_hop", "ts"), ("amt_hop", "amount"), ("pf_hop", "payment_format")):
+        made |= {f"{name}{k}": x[field] for k, x in enumerate(h, 1)}
+    made |= {"amt_min": F.least(*amounts), "amt_max": F.greatest(*amounts)}
+    return found.filter(functools.reduce(operator.and_, in_order)).select(*[made[c].alias(c) for c in ring_columns(n)])
 
 
 def cycles(transfers: DataFrame, cfg: Assessment, stage: Staging) -> DataFrame:
     """All rings, with finding_id by time of the first hop and then by transfer ids."""
+    n = _hops(cfg)
     hops = ring_transfers(transfers, cfg)
     active = stage(activity(hops), "activity")
-    hung = stage(hung_links(hops, active), "hung-links")
-    searches = stage(hop_searches(link_triangles(hung, cfg), cfg), "hop-searches")
+    hung = stage(hung_links(hops, active, keep_busy=n != 3), "hung-links")
+    if n == 3:
+        found = link_triangles(hung, cfg)
+    else:
+        found = link_cycles(cyclic_core(hung, n, stage), cfg)
+    searches = stage(hop_searches(found, cfg), "hop-searches")
     candidates = stage(candidate_hops(hops, searches, cfg), "candidate-hops")
-    order = ["ts_hop1", "hop1_id", "hop2_id", "hop3_id"]
+    order = ["ts_hop1", *[f"hop{k}_id" for k in range(1, n + 1)]]
     return global_rank(assemble(candidates, cfg, stage), order, "finding_id", stage)
 
 
@@ -404,16 +471,18 @@ def closable_paths(rings: DataFrame) -> DataFrame:
 
 
 def findings(rings: DataFrame, cfg: Assessment, run_ts: datetime) -> DataFrame:
-    one_format = (F.col("pf_hop1") == F.col("pf_hop2")) & (F.col("pf_hop2") == F.col("pf_hop3"))
+    n = _hops(cfg)
+    accounts, formats = [f"acct_{c}" for c in letters(n)], [f"pf_hop{k}" for k in range(1, n + 1)]
+    one_format = functools.reduce(operator.and_, [F.col(x) == F.col(y) for x, y in itertools.pairwise(formats)])
     tight = F.col("amt_max") <= F.lit(K.RING_HIGH_MAX_RATIO).cast("decimal(10,4)") * F.col("amt_min")
-    hours = whole_hours("ts_hop1", "ts_hop3")
+    hours = whole_hours("ts_hop1", f"ts_hop{n}")
     # Fixed texts: title and description as they appear in a finding.
     title = F.concat(
-        F.lit("3-hop circular fund flow: "),
-        F.concat_ws(" -> ", "acct_a", "acct_b", "acct_c", "acct_a"),
+        F.lit(f"{n}-hop circular fund flow: "),
+        F.concat_ws(" -> ", *accounts, accounts[0]),
     )
     description = F.concat(
-        F.lit("Ring of 3 distinct accounts returning funds to origin over "),
+        F.lit(f"Ring of {n} distinct accounts returning funds to origin over "),
         hours.cast("string"),
         F.lit(" hours. Amount range "),
         F.col("amt_min").cast("string"),
@@ -431,14 +500,14 @@ def findings(rings: DataFrame, cfg: Assessment, run_ts: datetime) -> DataFrame:
         title=title,
         description=description,
         summary=stats(
-            hops=F.lit(3),
+            hops=F.lit(n),
             currency=F.col("currency"),
             amount_min=F.col("amt_min"),
             amount_max=F.col("amt_max"),
             amount_ratio=rounded_ratio("amt_max", "amt_min"),
             time_span_hours=hours,
-            payment_formats=F.array("pf_hop1", "pf_hop2", "pf_hop3"),
-            accounts=F.array("acct_a", "acct_b", "acct_c"),
+            payment_formats=F.array(*formats),
+            accounts=F.array(*accounts),
         ),
         trigger="ts_hop1",
     )
@@ -446,15 +515,17 @@ def findings(rings: DataFrame, cfg: Assessment, run_ts: datetime) -> DataFrame:
 
 def entities(rings: DataFrame, cfg: Assessment, has_account: DataFrame, is_held_at: DataFrame) -> DataFrame:
     """Ring accounts, their owners and their banks, each once per finding."""
-    members = rings.select("finding_id", F.explode(F.array("acct_a", "acct_b", "acct_c")).alias("account_key"))
+    accounts = F.array(*[f"acct_{c}" for c in letters(_hops(cfg))])
+    members = rings.select("finding_id", F.explode(accounts).alias("account_key"))
     context = owners_and_banks(members, has_account, is_held_at)
     accounts = account_entities(members, "account_key", F.lit(K.RING_MEMBER))
     return entity_rows(accounts.unionByName(context).distinct(), cfg)
 
 
 def edges(rings: DataFrame, cfg: Assessment) -> DataFrame:
-    """Three hops per ring in travel order."""
-    route = [("acct_a", "acct_b"), ("acct_b", "acct_c"), ("acct_c", "acct_a")]
+    """The hops of each ring in travel order."""
+    accounts = [f"acct_{c}" for c in letters(_hops(cfg))]
+    route = zip(accounts, [*accounts[1:], accounts[0]], strict=True)
     hops = [
         F.struct(
             F.lit(n).alias("hop_order"),

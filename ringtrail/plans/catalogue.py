@@ -219,7 +219,24 @@ def closable_paths(w: Workspace) -> DataFrame:
 
 @_query("circular_flow")
 def circular_flow_cycles(w: Workspace) -> DataFrame:
-    return flat(w.frame("rings").select("finding_id", *circular_flow.RING_COLUMNS))
+    return flat(w.frame("rings").select("finding_id", *circular_flow.ring_columns(3)))
+
+
+def _rings_of(hops: int):
+    """Register the rings of another number of hops with what their findings say, over the same transfers."""
+
+    def rings(w: Workspace) -> DataFrame:
+        cfg = config.rings_of(hops)
+        found = w.stage(circular_flow.cycles(w.table("silver/transfers_to"), cfg, w.stage), f"rings-{hops}")
+        texts = circular_flow.findings(found, cfg, w.pipeline.run_ts).select("finding_id", "severity", "title", "description")
+        return flat(found.select("finding_id", *circular_flow.ring_columns(hops)).join(texts, "finding_id"))
+
+    rings.__name__ = f"circular_flow_{hops}_hops"
+    return _query("silver")(rings)
+
+
+for _hops in config.OTHER_RINGS:
+    _rings_of(_hops)
 
 
 @_query("circular_flow")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from ringtrail import constants as K
 from ringtrail import schemas
-from ringtrail.config import ASSESSMENTS, CIRCULAR_FLOW, LAUNDERING_EXPOSURE, MULE_HUB
+from ringtrail.config import ASSESSMENTS, CIRCULAR_FLOW, LAUNDERING_EXPOSURE, MULE_HUB, OTHER_RINGS, rings_of
 from ringtrail.operators import reads
 
 HOURS = "CAST((epoch_us({b}) - epoch_us({a}) + 1800000000) // 3600000000 AS BIGINT)"
@@ -849,6 +849,40 @@ def _statements() -> dict[str, tuple[str, str]]:
     }
 
 
+def _rings_sql(hops: int) -> str:
+    """Rings of so many hops by a recursive walk, hop by hop from the first."""
+    accounts = [f"acct_{c}" for c in "abcdefgh"[:hops]]
+    params = rings_of(hops).params
+    days, ratio = params["max_time_span_days"], params["max_amount_ratio"]
+
+    def each(field: str, name: str, kind: str) -> str:
+        return ", ".join(f"{field}[{k}]{kind} AS {name}{k}" for k in range(1, hops + 1))
+
+    order = ", ".join(["times[1]", *[f"ids[{k}]" for k in range(1, hops + 1)]])
+    return f"""
+, hop AS (SELECT * FROM xfer WHERE amt > 1000 AND src <> dst),
+walk AS (
+  SELECT [id] AS ids, [src] AS nodes, dst AS here, ccy, [ts] AS times, [amt] AS amounts, [pf] AS formats, amt AS lo, amt AS hi FROM hop
+  UNION ALL
+  SELECT list_append(ids, id), list_append(nodes, src), dst, walk.ccy, list_append(times, ts), list_append(amounts, amt),
+    list_append(formats, pf), least(lo, amt), greatest(hi, amt)
+  FROM walk JOIN hop ON hop.src = walk.here AND hop.ccy = walk.ccy AND hop.ts BETWEEN times[-1] AND times[1] + INTERVAL {days} DAY
+    AND greatest(hi, amt) <= {ratio} * least(lo, amt)
+  WHERE len(ids) < {hops} AND NOT list_contains(nodes, walk.here) AND (len(ids) < {hops - 1} OR hop.dst = nodes[1])),
+found AS (
+  SELECT *, row_number() OVER (ORDER BY {order}) AS finding_id, array_to_string(nodes, ' -> ')||' -> '||nodes[1] AS route
+  FROM walk WHERE len(ids) = {hops} AND here = nodes[1])
+SELECT finding_id, {", ".join(f"ids[{k}] AS hop{k}_id" for k in range(1, hops + 1))}, {", ".join(f"nodes[{k}] AS {a}" for k, a in enumerate(accounts, 1))},
+  {each("times", "ts_hop", "::VARCHAR")}, {each("amounts", "amt_hop", "::DOUBLE")}, ccy AS currency, {each("formats", "pf_hop", "")},
+  lo::DOUBLE AS amt_min, hi::DOUBLE AS amt_max,
+  CASE WHEN len(list_distinct(formats)) = 1 AND hi <= 1.2 * lo THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
+  '{hops}-hop circular fund flow: '||route AS title,
+  'Ring of {hops} distinct accounts returning funds to origin over '||{_hours("times[1]", f"times[{hops}]")}
+    ||' hours. Amount range '||lo::VARCHAR||'-'||hi::VARCHAR||' '||ccy||'.' AS description
+FROM found
+"""
+
+
 def _with_steps(names: list[str]) -> str:
     ordered: list[str] = []
 
@@ -864,4 +898,5 @@ def _with_steps(names: list[str]) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: f"WITH {_with_steps(steps.split())}\n{select}" for name, (steps, select) in _statements().items()}
+    plain = {name: f"WITH {_with_steps(steps.split())}\n{select}" for name, (steps, select) in _statements().items()}
+    return plain | {f"circular_flow_{n}_hops": f"WITH RECURSIVE {_with_steps(['xfer'])}{_rings_sql(n)}" for n in OTHER_RINGS}

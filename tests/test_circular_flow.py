@@ -2,6 +2,7 @@
 
 import random
 import time
+from dataclasses import replace
 from datetime import datetime, timedelta
 from decimal import Decimal
 from itertools import permutations
@@ -10,7 +11,7 @@ import pytest
 from conftest import START, hours, transfer, transfers_frame
 
 from ringtrail.config import CIRCULAR_FLOW
-from ringtrail.operators import circular_flow
+from ringtrail.operators import circular_flow, cyclic_core
 
 RUN_TS = datetime(2024, 1, 1)
 
@@ -242,12 +243,109 @@ def test_fine_cells_equal_brute_force(spark, stage, sides, monkeypatch):
     assert len(expected) > 20 and len(got) == len(set(got)) and set(got) == expected
 
 
-def test_unsupported_shape_is_refused():
-    from dataclasses import replace
+def shaped(**params):
+    return replace(CIRCULAR_FLOW, params=CIRCULAR_FLOW.params | params)
 
-    four = replace(CIRCULAR_FLOW, params={**CIRCULAR_FLOW.params, "hops": 4})
-    with pytest.raises(ValueError, match="three hops"):
-        circular_flow._days(four)
+
+@pytest.mark.parametrize("params", [{"hops": 1}, {"hops": 27}, {"same_currency": False}, {"min_amount": Decimal("-1")}])
+def test_unsupported_shape_is_refused(spark, stage, params):
+    with pytest.raises(ValueError, match="circular flow is defined for"):
+        circular_flow.cycles(transfers_frame(spark, []), shaped(**params), stage)
+
+
+def walks(rows, hops, days, ratio):
+    """All rings of so many hops by definition, as tuples of ids."""
+    by_src = {}
+    for r in rows:
+        if r[4] > 1000 and r[1] != r[2]:
+            by_src.setdefault((r[1], r[5]), []).append(r)
+    found = set()
+
+    def go(path):
+        first, last = path[0], path[-1]
+        if len(path) == hops:
+            if last[2] == first[1]:
+                found.add(tuple(r[0] for r in path))
+            return
+        for r in by_src.get((last[2], first[5]), ()):
+            amounts = [x[4] for x in path] + [r[4]]
+            nodes = [x[1] for x in path]
+            if last[3] <= r[3] <= first[3] + timedelta(days=days) and max(amounts) <= ratio * min(amounts) and r[1] not in nodes:
+                go([*path, r])
+
+    for group in by_src.values():
+        for r in group:
+            go([r])
+    return found
+
+
+@pytest.mark.parametrize(("hops", "accounts", "n"), [(2, 14, 900), (3, 14, 900), (4, 10, 800), (5, 9, 600), (6, 8, 500)])
+def test_rings_of_any_length_equal_brute_force(spark, stage, hops, accounts, n):
+    rng = random.Random(hops)
+    rows = []
+    for i in range(1, n):
+        hub = rng.random() < 0.3
+        src = "B:0" if hub and rng.random() < 0.5 else f"B:{rng.randrange(accounts)}"
+        dst = "B:0" if hub and src != "B:0" else f"B:{rng.randrange(accounts)}"
+        amount = rng.choice([999, 1001, 1500, 1501.5, 2000, 3000, 9000])
+        rows.append(transfer(i, src, dst, hours(rng.randrange(0, 24 * (90 if hops < 5 else 40), 6)), amount, rng.choice(["Euro", "Yen"])))
+    # A ring whose accounts all differ, at the ends of the span and the ratio.
+    for k in range(hops):
+        when = hours(0 if k == 0 else 20 * 24 if k == hops - 1 else 24)
+        rows.append(transfer(5000 + k, f"C:{k}", f"C:{(k + 1) % hops}", when, 2000 if k else 3000))
+    cfg = shaped(hops=hops, max_time_span_days=20)
+    rings = circular_flow.cycles(transfers_frame(spark, rows), cfg, stage)
+    assert rings.columns == ["finding_id", *circular_flow.ring_columns(hops)]
+    got = sorted(rings.collect(), key=lambda r: r["finding_id"])
+    ids = [tuple(r[f"hop{k}_id"] for k in range(1, hops + 1)) for r in got]
+    expected = walks(rows, hops, 20, Decimal("1.5"))
+    assert len(expected) > 20 and len(ids) == len(set(ids)) and set(ids) == expected
+    assert [(r["ts_hop1"], i) for r, i in zip(got, ids, strict=True)] == sorted((r["ts_hop1"], i) for r, i in zip(got, ids, strict=True))
+
+
+def test_findings_of_four_hops(spark, stage):
+    rows = [transfer(k, f"B1:{a}", f"B1:{b}", hours(k), 2000 + k) for k, (a, b) in enumerate(["pq", "qr", "rs", "sp"])]
+    cfg = shaped(hops=4)
+    rings = stage(circular_flow.cycles(transfers_frame(spark, rows), cfg, stage), "rings")
+    (found,) = circular_flow.findings(rings, cfg, RUN_TS).collect()
+    assert found["title"] == "4-hop circular fund flow: B1:p -> B1:q -> B1:r -> B1:s -> B1:p"
+    assert found["description"].startswith("Ring of 4 distinct accounts") and found["summary_stats"]["hops"] == 4
+    edges = sorted(circular_flow.edges(rings, cfg).collect(), key=lambda r: r["hop_order"])
+    assert [(e["from_entity"][-1], e["to_entity"][-1], e["fin_txn_id"]) for e in edges] == [("p", "q", 0), ("q", "r", 1), ("r", "s", 2), ("s", "p", 3)]
+    none = spark.createDataFrame([], "party_id string, account_key string")
+    held = spark.createDataFrame([("B1:p", "B1")], "account_key string, fse_id string")
+    assert circular_flow.entities(rings, cfg, none, held).count() == 5
+
+
+def links_frame(spark, pairs):
+    return spark.createDataFrame([("Euro", 0, a, b) for a, b in pairs], "currency string, w bigint, src string, dst string")
+
+
+@pytest.mark.parametrize("hops", [2, 3, 5])
+def test_the_core_holds_every_cycle(spark, stage, hops):
+    rng = random.Random(hops)
+    pairs = sorted({(f"n{a}", f"n{b}") for a, b in ((rng.randrange(40), rng.randrange(40)) for _ in range(70)) if a != b})
+    left = {(r["src"], r["dst"]) for r in cyclic_core.cyclic_core(stage(links_frame(spark, pairs), "links"), hops, stage).collect()}
+    after = {}
+    for a, b in pairs:
+        after.setdefault(a, []).append(b)
+
+    def closes(first, at, steps):
+        return at == first if steps == 0 else any(closes(first, b, steps - 1) for b in after.get(at, ()))
+
+    assert left >= {(a, b) for a, b in pairs if closes(a, b, hops - 1)}
+    assert left <= set(pairs)
+
+
+def test_nothing_of_a_graph_without_cycles_stays(spark, stage):
+    """A million transfers on one chain with side steps, too long to be trimmed from its ends."""
+    n = 1_000_000
+    rows = spark.range(n).selectExpr(
+        "'Euro' currency", "0L w", "concat('n', id div 2) src", "concat('n', id div 2 + 1 + id % 2 * 2) dst"
+    )
+    began = time.monotonic()
+    assert cyclic_core.cyclic_core(stage(rows, "links"), 4, stage).isEmpty()
+    assert time.monotonic() - began < 120
 
 
 def test_rotations_of_brute_force_are_distinct():
