@@ -7,8 +7,9 @@ executor costs only the tasks it held.
 from __future__ import annotations
 
 import functools
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
@@ -21,7 +22,8 @@ from ringtrail.operators import circular_flow, exposure, graph, mule_hub, publis
 from ringtrail.operators.findings import with_id_offset
 from ringtrail.session import apply_engine_conf
 from ringtrail.sources import csv_files
-from ringtrail.sources.tables import WriteReport, overwrite_table, read_table, replace_assessment
+from ringtrail.sources.switching import Change, commit, finish
+from ringtrail.sources.tables import WriteReport, read_table, write_fresh, write_fresh_partition
 from ringtrail.staging import Staging, delete, exists
 
 def _by_finding(df: DataFrame) -> DataFrame:
@@ -60,15 +62,42 @@ class Pipeline:
     frames: dict[str, DataFrame] = field(default_factory=dict)
     reports: list[WriteReport] = field(default_factory=list)
     _open: list[Staging] = field(default_factory=list, repr=False)
+    _changes: list[Change] | None = field(default=None, repr=False)
 
     def __post_init__(self) -> None:
         apply_engine_conf(self.spark)
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.root}/{name}", schemas.TABLES[name])
+        path, schema = f"{self.root}/{name}", schemas.TABLES[name]
+        for change in reversed(self._changes or []):  # what this step has written so far
+            if change.path == path and change.fresh is not None:
+                return self.spark.read.schema(schema).parquet(change.fresh)
+        return read_table(self.spark, path, schema, self.root)
+
+    @contextmanager
+    def _at_once(self) -> Iterator[None]:
+        """Tables saved inside change together when the block ends, and not at all if it raises."""
+        if self._changes is not None:  # part of a larger change
+            yield
+            return
+        finish(self.spark, self.root)
+        self._changes = []
+        try:
+            yield
+        except BaseException:
+            for change in self._changes:
+                if change.fresh is not None:
+                    delete(self.spark, change.fresh)
+            self._changes = None
+            raise
+        changes, self._changes = self._changes, None
+        commit(self.spark, self.root, changes)
 
     def _save(self, name: str, df: DataFrame) -> None:
-        self.reports.append(overwrite_table(df, f"{self.root}/{name}", name))
+        with self._at_once():
+            report, change = write_fresh(df, f"{self.root}/{name}", name)
+            self.reports.append(report)
+            self._changes.append(change)
 
     def _together(self, *jobs: Callable[[], object]) -> None:
         """Run independent jobs side by side, so that one's last tasks do not leave executors idle."""
@@ -103,26 +132,29 @@ class Pipeline:
         """Mirror the CSV drops; `only` is "trans" or "accounts"."""
         if only not in (None, "trans", "accounts"):
             raise ValueError(f"unknown source: {only}")
-        if only in (None, "trans"):
-            path = f"{data_dir}/{csv_files.TRANSACTIONS_FILE}"
-            self._save("bronze/transactions_raw", csv_files.read_transactions(self.spark, path))
-        if only in (None, "accounts"):
-            path = f"{data_dir}/{csv_files.ACCOUNTS_FILE}"
-            self._save("bronze/accounts_raw", csv_files.read_accounts(self.spark, path))
+        with self._at_once():
+            if only in (None, "trans"):
+                path = f"{data_dir}/{csv_files.TRANSACTIONS_FILE}"
+                self._save("bronze/transactions_raw", csv_files.read_transactions(self.spark, path))
+            if only in (None, "accounts"):
+                path = f"{data_dir}/{csv_files.ACCOUNTS_FILE}"
+                self._save("bronze/accounts_raw", csv_files.read_accounts(self.spark, path))
 
     def load_frames(self, txns: DataFrame, accounts: DataFrame) -> None:
-        self._save("bronze/transactions_raw", txns)
-        self._save("bronze/accounts_raw", accounts)
+        with self._at_once():
+            self._save("bronze/transactions_raw", txns)
+            self._save("bronze/accounts_raw", accounts)
 
     # --- silver -------------------------------------------------------------------
 
     @_tidy
     def build_silver(self) -> None:
-        """Rebuild the graph. Findings refer to it, so they are emptied."""
+        """Rebuild the graph. Findings refer to it, so they are emptied in the same change."""
         stage = self._staging()
-        self._together(lambda: self._build_transactions(stage), lambda: self._build_parties(stage))
+        with self._at_once():
+            self._together(lambda: self._build_transactions(stage), lambda: self._build_parties(stage))
+            self.clear_findings()
         self._done(stage)
-        self.clear_findings()
 
     def _build_transactions(self, stage: Staging) -> None:
         numbered = graph.number_transactions(self.table("bronze/transactions_raw"), stage)
@@ -159,15 +191,20 @@ class Pipeline:
         self._open.remove(stage)
 
     def clear_findings(self) -> None:
-        for name in FINDING_TABLES:
-            delete(self.spark, f"{self.root}/{name}")
+        with self._at_once():
+            self._changes.extend(Change(None, f"{self.root}/{name}") for name in FINDING_TABLES)
 
     def _save_findings(self, assessment_id: str, **tables: Callable[[], DataFrame]) -> None:
+        """The three tables of one assessment, in one change."""
+
         def save(name: str) -> None:
             df = tables[name.split("/")[1]]()
-            self.reports.append(replace_assessment(df, f"{self.root}/{name}", assessment_id, name))
+            report, change = write_fresh_partition(df, f"{self.root}/{name}", assessment_id, name)
+            self.reports.append(report)
+            self._changes.append(change)
 
-        self._together(*[lambda n=n: save(n) for n in FINDING_TABLES])
+        with self._at_once():
+            self._together(*[lambda n=n: save(n) for n in FINDING_TABLES])
 
     def _with_ids(self, ranked: DataFrame, assessment_id: str) -> DataFrame:
         """Continue behind the ids of the other assessments."""
@@ -178,6 +215,7 @@ class Pipeline:
 
     def _detector(self, assessment_id: str) -> Assessment:
         """The assessment, whose row a finding refers to: it is saved before the first findings."""
+        finish(self.spark, self.root)
         if not exists(self.spark, f"{self.root}/silver/assessment_config"):
             self.save_config()
         return self.assessments[assessment_id]
@@ -258,7 +296,8 @@ class Pipeline:
             self._save("gold/finding", _by_finding(published))
 
         edges = publish.gold_edge(self.table("silver/finding_edge"), account)
-        self._together(entities_then_findings, lambda: self._save("gold/finding_edge", _by_finding(edges)))
+        with self._at_once():
+            self._together(entities_then_findings, lambda: self._save("gold/finding_edge", _by_finding(edges)))
 
     def run(self, data_dir: str) -> None:
         self.load_csv(data_dir)

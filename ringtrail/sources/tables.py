@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import time
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ringtrail.staging import switch
+from ringtrail.sources.switching import Change, commit, fresh_folder, pending
+from ringtrail.staging import exists
 
 PARTITION_COLUMN = "assessment_id"
 
@@ -42,32 +42,65 @@ def add_missing_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read with the declared schema; columns that old files lack come back as NULL."""
-    return spark.read.schema(schema).parquet(path)
+def read_table(spark: SparkSession, path: str, schema: T.StructType, root: str | None = None) -> DataFrame:
+    """Read with the declared schema; columns that old files lack come back as NULL.
 
-
-def overwrite_table(df: DataFrame, path: str, name: str = "table") -> WriteReport:
-    """Full refresh: whatever was there is replaced."""
-    return _write(df, path, name)
+    What a commit below `root` (default: the folder around the table) has changed counts from the moment
+    of the commit, whether or not its folders have been moved.
+    """
+    base = path
+    added = []
+    for change in pending(spark, root or _parent(path)):
+        if change.path == path and change.fresh is not None:
+            base = change.fresh
+        elif change.path.startswith(f"{path}/{PARTITION_COLUMN}="):
+            added.append(change)
+    reader = spark.read.schema(schema)
+    if not added:
+        return reader.parquet(base)
+    df = reader.parquet(base) if exists(spark, base) else spark.createDataFrame([], schema)
+    for change in added:
+        value = change.path.rpartition("=")[2]
+        df = df.filter(F.col(PARTITION_COLUMN) != value)
+        if change.fresh is not None:
+            inner = T.StructType([f for f in schema.fields if f.name != PARTITION_COLUMN])
+            fresh = spark.read.schema(inner).parquet(change.fresh).withColumn(PARTITION_COLUMN, F.lit(value))
+            df = df.unionByName(fresh)
+    return df
+
+
+def _parent(path: str) -> str:
+    return path.rstrip("/").rpartition("/")[0]
+
+
+def write_fresh(df: DataFrame, path: str, name: str = "table") -> tuple[WriteReport, Change]:
+    """Write what is to take the place of a table, and say so; nothing changes before a commit."""
+    seen = Observation()
+    started = time.perf_counter()
+    fresh = fresh_folder(path)
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(fresh)
+    return WriteReport(name, seen.get["rows"], time.perf_counter() - started), Change(fresh, path)
 
 
-def replace_assessment(df: DataFrame, path: str, assessment_id: str, name: str = "table") -> WriteReport:
-    """Replace one assessment's rows and leave the others alone.
+def write_fresh_partition(df: DataFrame, path: str, assessment_id: str, name: str = "table") -> tuple[WriteReport, Change]:
+    """One assessment's rows in place of those it has.
 
     Each assessment is one partition directory, so replacing it with an empty result
     removes the old rows too (a dynamic partition overwrite would keep them).
     """
     rows = df.filter(F.col(PARTITION_COLUMN) == assessment_id).drop(PARTITION_COLUMN)
-    return _write(rows, f"{path}/{PARTITION_COLUMN}={assessment_id}", name)
+    return write_fresh(rows, f"{path}/{PARTITION_COLUMN}={assessment_id}", name)
 
 
-def _write(df: DataFrame, path: str, name: str) -> WriteReport:
-    """Writes into a hidden folder beside the table, which takes its place once it is whole."""
-    seen = Observation()
-    started = time.perf_counter()
-    parent, _, _ = path.rstrip("/").rpartition("/")
-    fresh = f"{parent}/_new-{uuid.uuid4().hex}"
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(fresh)
-    switch(df.sparkSession, fresh, path)
-    return WriteReport(name, seen.get["rows"], time.perf_counter() - started)
+def overwrite_table(df: DataFrame, path: str, name: str = "table") -> WriteReport:
+    """Full refresh of one table on its own: whatever was there is replaced."""
+    report, change = write_fresh(df, path, name)
+    commit(df.sparkSession, _parent(path), [change])
+    return report
+
+
+def replace_assessment(df: DataFrame, path: str, assessment_id: str, name: str = "table") -> WriteReport:
+    """Replace one assessment's rows of one table and leave the others alone."""
+    report, change = write_fresh_partition(df, path, assessment_id, name)
+    commit(df.sparkSession, _parent(path), [change])
+    return report

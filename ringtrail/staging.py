@@ -26,31 +26,22 @@ def shared_root(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it names it."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, target = _file_system(spark, path)
+    fs, target = file_system(spark, path)
     return fs.exists(target)
 
 
 def delete(spark: SparkSession, path: str) -> None:
-    fs, target = _file_system(spark, path)
+    fs, target = file_system(spark, path)
     fs.delete(target, True)
 
 
-def switch(spark: SparkSession, fresh: str, path: str) -> None:
-    """Put a finished folder in the place of another: the old one goes only when the new one is whole."""
-    fs, target = _file_system(spark, path)
-    _, source = _file_system(spark, fresh)
-    fs.mkdirs(target.getParent())
-    fs.delete(target, True)
-    if not fs.rename(source, target):
-        raise OSError(f"cannot move {fresh} to {path}")
-
-
 class Staging:
     """Writes frames below one unique folder and hands back readers of them."""
 
