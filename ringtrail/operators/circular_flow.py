@@ -110,6 +110,11 @@ def ring_transfers(transfers: DataFrame, cfg: Assessment) -> DataFrame:
     )
 
 
+def _account(end: str) -> Column:
+    """A number for an account in a currency."""
+    return F.xxhash64("currency", end)
+
+
 def activity(hops: DataFrame) -> DataFrame:
     """How busy each account is in the two windows a bucket belongs to.
 
@@ -117,17 +122,20 @@ def activity(hops: DataFrame) -> DataFrame:
     window starting with the bucket, `before` in the one ending with it; NULL where the
     account does not both pay and receive. Rows are counted per bucket first, so what is
     ordered per account is one row per bucket, however many transfers it has.
+
+    `acct` is a hash of currency and account. Should two ever share one, both count as busy as the
+    two together, which rules out less and changes no ring.
     """
     ends = [
-        F.struct(F.col(end).alias("acct"), F.lit(pays).alias("pays"), F.lit(1 - pays).alias("gets"))
+        F.struct(_account(end).alias("acct"), F.lit(pays).alias("pays"), F.lit(1 - pays).alias("gets"))
         for end, pays in (("src", 1), ("dst", 0))
     ]
     counts = (
-        hops.select("currency", "bucket", F.inline(F.array(*ends)))
-        .groupBy("currency", "acct", "bucket")
+        hops.select("bucket", F.inline(F.array(*ends)))
+        .groupBy("acct", "bucket")
         .agg(F.sum("pays").alias("pays"), F.sum("gets").alias("gets"))
     )
-    by_bucket = Window.partitionBy("currency", "acct").orderBy("bucket")
+    by_bucket = Window.partitionBy("acct").orderBy("bucket")
 
     def busy(neighbour: Column, distance: int) -> Column:
         """Own and neighbouring bucket together, if the neighbour really is adjacent."""
@@ -139,7 +147,6 @@ def activity(hops: DataFrame) -> DataFrame:
     return (
         counts.withColumns({"next": F.lead(row).over(by_bucket), "previous": F.lag(row).over(by_bucket)})
         .select(
-            "currency",
             "bucket",
             "acct",
             busy(F.col("next"), 1).alias("here"),
@@ -160,7 +167,7 @@ def hung_links(hops: DataFrame, active: DataFrame, *, keep_busy: bool = False) -
     """
 
     def of(end: str) -> DataFrame:
-        return active.withColumnsRenamed({"acct": end, "here": f"{end}_here", "before": f"{end}_before"})
+        return active.withColumnsRenamed({"acct": f"{end}_acct", "here": f"{end}_here", "before": f"{end}_before"})
 
     windows = F.array(
         *[
@@ -170,9 +177,12 @@ def hung_links(hops: DataFrame, active: DataFrame, *, keep_busy: bool = False) -
     )
     at_start = F.col("w") == F.col("bucket")
     return (
-        hops.select("currency", "bucket", "src", "dst", "ts", F.floor("amount").cast("long").alias("units"))
-        .join(of("src"), ["currency", "bucket", "src"])
-        .join(of("dst"), ["currency", "bucket", "dst"])
+        hops.select(
+            "currency", "bucket", "src", "dst", "ts", F.floor("amount").cast("long").alias("units"),
+            _account("src").alias("src_acct"), _account("dst").alias("dst_acct"),
+        )
+        .join(of("src"), ["bucket", "src_acct"])
+        .join(of("dst"), ["bucket", "dst_acct"])
         .select("currency", "bucket", "src", "dst", "ts", "units", F.inline(windows))
         .filter(F.col("src_busy").isNotNull() & F.col("dst_busy").isNotNull())
         .groupBy("currency", "w", "src", "dst", "src_busy", "dst_busy")

@@ -35,10 +35,10 @@ from ringtrail.staging import Staging
 ROLES = [K.HUB_ROLE, K.ACCOUNT_OWNER, K.CUSTODIAN_BANK, K.INBOUND_COUNTERPARTY, K.OUTBOUND_COUNTERPARTY]
 
 
-def currency_totals(transfers: DataFrame) -> DataFrame:
-    """Transfers between two accounts per currency: the one pass over all transfers that the degrees,
-    the currencies and the top counterparties come from."""
-    return transfers.groupBy("from_account_key", "to_account_key", "currency").agg(
+def pair_totals(transfers: DataFrame) -> DataFrame:
+    """Transfers between two accounts: the one pass over all transfers that the degrees and the top
+    counterparties come from."""
+    return transfers.groupBy("from_account_key", "to_account_key").agg(
         F.count(F.lit(1)).alias("transfers"),
         F.sum("amount").alias("total"),
         F.min("event_timestamp").alias("first_ts"),
@@ -46,16 +46,6 @@ def currency_totals(transfers: DataFrame) -> DataFrame:
     )
 
 
-def pair_totals(totals: DataFrame) -> DataFrame:
-    """Transfers between two accounts, summed over all currencies."""
-    return totals.groupBy("from_account_key", "to_account_key").agg(
-        F.sum("transfers").alias("transfers"),
-        F.sum("total").alias("total"),
-        F.min("first_ts").alias("first_ts"),
-        F.max("last_ts").alias("last_ts"),
-    )
-
-
 def degree_profile(pairs: DataFrame, side: str) -> DataFrame:
     """Per account: distinct counterparties, transfers, total, first and last time on one side."""
     key = {"out": "from_account_key", "in": "to_account_key"}[side]
@@ -89,16 +79,17 @@ def hubs(pairs: DataFrame, cfg: Assessment, stage: Staging) -> DataFrame:
     return global_rank(both, order, "finding_id", stage)
 
 
-def dominant_currency(hub: DataFrame, totals: DataFrame) -> DataFrame:
-    """Currency of most transfers touching each hub, by finding_id, from the totals per currency."""
+def dominant_currency(hub: DataFrame, transfers: DataFrame) -> DataFrame:
+    """Currency of most transfers touching each hub, by finding_id. Only transfers of hubs are counted,
+    per currency before they are shuffled."""
     anchors = hub.select("finding_id", "account_key")
-    touched = both_sides(totals, "currency", "transfers").join(anchors, "account_key")
-    return dominant_value(touched, "finding_id", "currency", F.col("transfers"))
+    touched = both_sides(transfers, "currency").join(anchors, "account_key")
+    return dominant_value(touched, "finding_id", "currency")
 
 
-def candidates(pairs: DataFrame, totals: DataFrame, cfg: Assessment, stage: Staging) -> DataFrame:
-    hub = hubs(pairs, cfg, stage)
-    return stage(hub.join(dominant_currency(hub, totals), "finding_id", "left"), "mule-candidates")
+def candidates(hub: DataFrame, transfers: DataFrame, stage: Staging) -> DataFrame:
+    """The hubs with their currency."""
+    return stage(hub.join(dominant_currency(hub, transfers), "finding_id", "left"), "mule-candidates")
 
 
 def findings(cands: DataFrame, cfg: Assessment, run_ts: datetime) -> DataFrame:

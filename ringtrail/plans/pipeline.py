@@ -239,19 +239,24 @@ class Pipeline:
     def detect_mule_hub(self) -> None:
         cfg, stage = self._detector(K.MULE_HUB), self._staging()
         transfers = self.table("silver/transfers_to")
-        totals = stage(mule_hub.currency_totals(transfers), "currency-totals")
-        pairs = stage(mule_hub.pair_totals(totals), "pair-totals")
-        hubs = mule_hub.candidates(pairs, totals, cfg, stage)
-        hubs_with_ids = self._with_ids(hubs, cfg.assessment_id)
+        pairs = stage(mule_hub.pair_totals(transfers), "pair-totals")
+        hubs = self._with_ids(mule_hub.hubs(pairs, cfg, stage), cfg.assessment_id)
+        found: dict[str, DataFrame] = {}
+
+        def findings() -> DataFrame:
+            # Only the finding itself names the currency; entities and edges need not wait for it.
+            found["hubs"] = mule_hub.candidates(hubs, transfers, stage)
+            return mule_hub.findings(found["hubs"], cfg, self.run_ts)
+
         self._save_findings(
             cfg.assessment_id,
-            finding=lambda: mule_hub.findings(hubs_with_ids, cfg, self.run_ts),
+            finding=findings,
             finding_entity=lambda: mule_hub.entities(
-                hubs_with_ids, pairs, cfg, self.table("silver/has_account"), self.table("silver/is_held_at")
+                hubs, pairs, cfg, self.table("silver/has_account"), self.table("silver/is_held_at")
             ),
-            finding_edge=lambda: mule_hub.edges(hubs_with_ids, transfers, cfg),
+            finding_edge=lambda: mule_hub.edges(hubs, transfers, cfg),
         )
-        self._done(stage, currency_totals=totals, pair_totals=pairs, hubs=hubs_with_ids)
+        self._done(stage, pair_totals=pairs, **found)
 
     @_tidy
     def detect_exposure(self) -> None:

@@ -46,8 +46,8 @@ ROWS = (
 def hubs(spark, tmp_path_factory):
     stage = Staging(spark, str(tmp_path_factory.mktemp("hubs")))
     transfers = stage(transfers_frame(spark, ROWS), "transfers")
-    pairs = stage(mule_hub.pair_totals(mule_hub.currency_totals(transfers)), "pairs")
-    return transfers, pairs, mule_hub.candidates(pairs, mule_hub.currency_totals(transfers), MULE_HUB, stage)
+    pairs = stage(mule_hub.pair_totals(transfers), "pairs")
+    return transfers, pairs, mule_hub.candidates(mule_hub.hubs(pairs, MULE_HUB, stage), transfers, stage)
 
 
 def test_bands_and_order(hubs):
