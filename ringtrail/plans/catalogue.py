@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ringtrail import config, schemas
-from ringtrail.operators import circular_flow, evaluate, exposure, findings, mule_hub, publish, quality, reads, two_hop
+from ringtrail.operators import circular_flow, evaluate, exposure, findings, lineage, mule_hub, publish, quality, reads, two_hop
+from ringtrail.plans.pipeline import FINDING_TABLES
 from ringtrail.plans.workspace import Workspace, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -491,6 +492,19 @@ def dq_gold_matches_silver(w: Workspace) -> DataFrame:
     return quality.counts_match(w.table("silver/finding"), w.table("gold/finding"))
 
 
+@_query("gold")
+def dq_label_lineage(w: Workspace) -> DataFrame:
+    """Per stored table: columns with values of the label, and whether it chose or ordered the rows. The
+    finding tables stand once per assessment, as the detectors differ in what they may read."""
+    skipped = ("bronze/accounts_raw", "silver/assessment_config", *FINDING_TABLES)
+    paths = [n for n in schemas.TABLES if n not in skipped]
+    paths += [f"{n}/assessment_id={a}" for n in FINDING_TABLES for a in config.ASSESSMENTS]
+    tables = {n: w.spark.read.parquet(f"{w.pipeline.root}/{n}") for n in paths}
+    uses = lineage.uses_of(tables, "is_laundering", w.pipeline.origins)
+    known = w.spark.createDataFrame(uses, "table_name string, label_columns string, label_chose boolean, label_ordered boolean")
+    return quality.layer_counts(tables).join(known, "table_name")
+
+
 @_query("gold")
 def dq_label_isolation(w: Workspace) -> DataFrame:
     """Rows and label columns of every graph table; the label table is the only one with a label."""

@@ -806,6 +806,7 @@ def _statements() -> dict[str, tuple[str, str]]:
             "SELECT (SELECT count(*) FROM finding) AS silver_findings, (SELECT count(*) FROM g_finding) AS gold_findings, "
             "(SELECT count(*) FROM finding) = (SELECT count(*) FROM g_finding) AS matches",
         ),
+        "dq_label_lineage": (f"txn xfer bank acct person owns finding entity edge {gold}", _lineage_sql()),
         "dq_label_isolation": (
             "xfer bank acct person owns",
             f"SELECT *, CASE table_name WHEN 'label/txn_label' THEN 1 ELSE 0 END::BIGINT AS label_columns FROM ({_counts(_GRAPH_COUNTS)}) c",
@@ -883,6 +884,25 @@ FROM found
 """
 
 
+def _lineage_sql() -> str:
+    """Rows of every table, and what each may owe to the label: the numbering of the transactions settles its
+    last ties by it, and only the labelled exposure, with what is published of it, is chosen by it."""
+    numbered = [n for n, step in _GRAPH_COUNTS if step == "xfer"]
+    layers = [("bronze/transactions_raw", "txn"), *_GRAPH_COUNTS]
+    layers += [("gold/finding", "g_finding"), ("gold/finding_entity", "g_entity"), ("gold/finding_edge", "g_edge")]
+    found = [
+        (f"silver/{table}/assessment_id={a}", f"(FROM {step} WHERE assessment_id = '{a}')")
+        for table, step in (("finding", "finding"), ("finding_entity", "entity"), ("finding_edge", "edge"))
+        for a in ASSESSMENTS
+    ]
+    ordered = " OR ".join(f"table_name = '{n}'" for n in numbered)
+    return (
+        "SELECT *, CASE WHEN table_name IN ('bronze/transactions_raw', 'label/txn_label') THEN 'is_laundering' ELSE '' END AS label_columns, "
+        f"table_name LIKE 'gold/%' OR table_name LIKE '%={K.LAUNDERING_EXPOSURE}' AS label_chose, "
+        f"{ordered} OR table_name LIKE 'gold/%' OR table_name LIKE '%assessment_id=%' AS label_ordered FROM ({_counts(layers + found)}) c"
+    )
+
+
 def _with_steps(names: list[str]) -> str:
     ordered: list[str] = []
 

@@ -58,6 +58,8 @@ class Pipeline:
     run_ts: datetime = field(default_factory=lambda: datetime.now(UTC).replace(tzinfo=None))
     assessments: dict[str, Assessment] = field(default_factory=lambda: dict(ASSESSMENTS))
     keep_scratch: bool = False
+    # Where given: notes the frame behind every path written, for `operators.lineage`.
+    origins: dict[str, DataFrame] | None = None
     parallel_jobs: int = 4
     frames: dict[str, DataFrame] = field(default_factory=dict)
     reports: list[WriteReport] = field(default_factory=list)
@@ -95,9 +97,13 @@ class Pipeline:
 
     def _save(self, name: str, df: DataFrame) -> None:
         with self._at_once():
-            report, change = write_fresh(df, f"{self.root}/{name}", name)
-            self.reports.append(report)
-            self._changes.append(change)
+            self._note(df, *write_fresh(df, f"{self.root}/{name}", name))
+
+    def _note(self, df: DataFrame, report: WriteReport, change: Change) -> None:
+        self.reports.append(report)
+        self._changes.append(change)
+        if self.origins is not None:
+            self.origins |= {change.path: df, change.fresh: df}
 
     def _together(self, *jobs: Callable[[], object]) -> None:
         """Run independent jobs side by side, so that one's last tasks do not leave executors idle."""
@@ -110,7 +116,7 @@ class Pipeline:
         self._together(*[lambda n=n, df=df: self._save(f"silver/{n}", df) for n, df in tables.items()])
 
     def _staging(self) -> Staging:
-        stage = Staging(self.spark, f"{self.root}/_scratch")
+        stage = Staging(self.spark, f"{self.root}/_scratch", origins=self.origins)
         self._open.append(stage)
         return stage
 
@@ -199,9 +205,7 @@ class Pipeline:
 
         def save(name: str) -> None:
             df = tables[name.split("/")[1]]()
-            report, change = write_fresh_partition(df, f"{self.root}/{name}", assessment_id, name)
-            self.reports.append(report)
-            self._changes.append(change)
+            self._note(df, *write_fresh_partition(df, f"{self.root}/{name}", assessment_id, name))
 
         with self._at_once():
             self._together(*[lambda n=n: save(n) for n in FINDING_TABLES])

@@ -32,7 +32,7 @@ class Workspace:
         self.spark = spark
         self.sf_dir = sf_dir
         self.stage = Staging(spark, sweep=True)
-        self.pipeline = Pipeline(spark, self.stage.root, run_ts=RUN_TS, keep_scratch=True)
+        self.pipeline = Pipeline(spark, self.stage.root, run_ts=RUN_TS, keep_scratch=True, origins={})
         self._done: set[str] = set()
 
     def _run(self, step: str) -> None:

@@ -45,8 +45,11 @@ def delete(spark: SparkSession, path: str) -> None:
 class Staging:
     """Writes frames below one unique folder and hands back readers of them."""
 
-    def __init__(self, spark: SparkSession, root: str | None = None, *, sweep: bool = False):
+    def __init__(
+        self, spark: SparkSession, root: str | None = None, *, sweep: bool = False, origins: dict[str, DataFrame] | None = None
+    ):
         self.spark = spark
+        self.origins = origins  # where given: the frame behind each path
         if sweep:  # the frames outlive the call that made them: deleted when the driver ends
             atexit.register(self._sweep)
         self.root = f"{root or shared_root(spark)}/ringtrail-{uuid.uuid4().hex}"
@@ -55,6 +58,8 @@ class Staging:
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{next(self._next):03d}-{name}"
         df.write.parquet(path)
+        if self.origins is not None:
+            self.origins[path] = df
         return self.spark.read.schema(df.schema).parquet(path)
 
     def clear(self) -> None:
