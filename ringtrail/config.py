@@ -131,6 +131,10 @@ OTHER_RINGS = {
 }
 
 
+# The day from which the query of appended loads counts a transfer to the second one.
+SECOND_LOAD = "1996-06-03"
+
+
 def rings_of(hops: int) -> Assessment:
     """The circular-flow assessment for rings of another number of hops."""
     return replace(CIRCULAR_FLOW, params=CIRCULAR_FLOW.params | {"hops": hops} | OTHER_RINGS[hops])

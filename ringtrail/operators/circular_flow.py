@@ -115,8 +115,27 @@ def _account(end: str) -> Column:
     return F.xxhash64("currency", end)
 
 
-def activity(hops: DataFrame) -> DataFrame:
-    """How busy each account is in the two windows a bucket belongs to.
+def as_links(hops: DataFrame) -> DataFrame:
+    """Each transfer as a link of its own: `n` transfers, the range of their times and of their amounts in
+    whole units, rounded down."""
+    units = F.floor("amount").cast("long")
+    return hops.select(
+        "currency", "bucket", "src", "dst", F.lit(1).alias("n"),
+        F.col("ts").alias("t_min"), F.col("ts").alias("t_max"), units.alias("a_min"), units.alias("a_max"),
+    )
+
+
+def link_summaries(hops: DataFrame) -> DataFrame:
+    """One row per currency, bucket and ordered pair of accounts. Summaries of several loads may stand side
+    by side: what is made of them adds counts and joins ranges."""
+    return as_links(hops).groupBy("currency", "bucket", "src", "dst").agg(
+        F.sum("n").alias("n"), F.min("t_min").alias("t_min"), F.max("t_max").alias("t_max"),
+        F.min("a_min").alias("a_min"), F.max("a_max").alias("a_max"),
+    )
+
+
+def activity(links: DataFrame) -> DataFrame:
+    """How busy each account is in the two windows a bucket belongs to, from `as_links` or `link_summaries`.
 
     Window w covers buckets w and w + 1. `here` counts an account's transfers in the
     window starting with the bucket, `before` in the one ending with it; NULL where the
@@ -127,11 +146,11 @@ def activity(hops: DataFrame) -> DataFrame:
     two together, which rules out less and changes no ring.
     """
     ends = [
-        F.struct(_account(end).alias("acct"), F.lit(pays).alias("pays"), F.lit(1 - pays).alias("gets"))
+        F.struct(_account(end).alias("acct"), (F.col("n") * pays).alias("pays"), (F.col("n") * (1 - pays)).alias("gets"))
         for end, pays in (("src", 1), ("dst", 0))
     ]
     counts = (
-        hops.select("bucket", F.inline(F.array(*ends)))
+        links.select("bucket", F.inline(F.array(*ends)))
         .groupBy("acct", "bucket")
         .agg(F.sum("pays").alias("pays"), F.sum("gets").alias("gets"))
     )
@@ -156,15 +175,16 @@ def activity(hops: DataFrame) -> DataFrame:
     )
 
 
-def hung_links(hops: DataFrame, active: DataFrame, *, keep_busy: bool = False) -> DataFrame:
+def hung_links(links: DataFrame, active: DataFrame, *, keep_busy: bool = False) -> DataFrame:
     """One row per currency, window and ordered pair of active accounts.
 
     `r` holds the ranges: times and amounts of the pair's transfers in the window, and
     as `first_*` the times of those in bucket w, the only ones that may start a ring of
     this window. Amounts are widened to whole units before the shuffles, which keeps the
     ranges valid and the rows small. `hangs_on_src` marks the less busy end; `keep_busy` keeps
-    how busy both are.
+    how busy both are. A column `fresh` of `links` comes back in `r`: whether any of them is.
     """
+    flags = ["fresh"] if "fresh" in links.columns else []
 
     def of(end: str) -> DataFrame:
         return active.withColumnsRenamed({"acct": f"{end}_acct", "here": f"{end}_here", "before": f"{end}_before"})
@@ -177,29 +197,31 @@ def hung_links(hops: DataFrame, active: DataFrame, *, keep_busy: bool = False) -
     )
     at_start = F.col("w") == F.col("bucket")
     return (
-        hops.select(
-            "currency", "bucket", "src", "dst", "ts", F.floor("amount").cast("long").alias("units"),
+        links.select(
+            "currency", "bucket", "src", "dst", "t_min", "t_max", "a_min", "a_max", *flags,
             _account("src").alias("src_acct"), _account("dst").alias("dst_acct"),
         )
         .join(of("src"), ["bucket", "src_acct"])
         .join(of("dst"), ["bucket", "dst_acct"])
-        .select("currency", "bucket", "src", "dst", "ts", "units", F.inline(windows))
+        .drop("src_acct", "dst_acct")
+        .select("currency", "bucket", "src", "dst", "t_min", "t_max", "a_min", "a_max", *flags, F.inline(windows))
         .filter(F.col("src_busy").isNotNull() & F.col("dst_busy").isNotNull())
         .groupBy("currency", "w", "src", "dst", "src_busy", "dst_busy")
         .agg(
-            F.min("ts").alias("t_min"),
-            F.max("ts").alias("t_max"),
-            F.min(F.when(at_start, F.col("ts"))).alias("first_min"),
-            F.max(F.when(at_start, F.col("ts"))).alias("first_max"),
-            F.min("units").alias("a_min"),
-            (F.max("units") + 1).alias("a_max"),
+            F.min("t_min").alias("t_min"),
+            F.max("t_max").alias("t_max"),
+            F.min(F.when(at_start, F.col("t_min"))).alias("first_min"),
+            F.max(F.when(at_start, F.col("t_max"))).alias("first_max"),
+            F.min("a_min").alias("a_min"),
+            (F.max("a_max") + 1).alias("a_max"),
+            *[F.max(flag).alias(flag) for flag in flags],
         )
         .select(
             "currency",
             "w",
             "src",
             "dst",
-            F.struct(*RANGES).alias("r"),
+            F.struct(*RANGES, *flags).alias("r"),
             (F.struct("src_busy", "src") < F.struct("dst_busy", "dst")).alias("hangs_on_src"),
             *(["src_busy", "dst_busy"] if keep_busy else []),
         )
@@ -457,16 +479,20 @@ def assemble(candidates: DataFrame, cfg: Assessment, stage: Staging) -> DataFram
     return found.filter(functools.reduce(operator.and_, in_order)).select(*[made[c].alias(c) for c in ring_columns(n)])
 
 
+def possible_cycles(hung: DataFrame, cfg: Assessment, stage: Staging) -> DataFrame:
+    """Cycles of links that could hold a ring."""
+    n = _hops(cfg)
+    return link_triangles(hung, cfg) if n == 3 else link_cycles(cyclic_core(hung, n, stage), cfg)
+
+
 def cycles(transfers: DataFrame, cfg: Assessment, stage: Staging) -> DataFrame:
     """All rings, with finding_id by time of the first hop and then by transfer ids."""
     n = _hops(cfg)
     hops = ring_transfers(transfers, cfg)
-    active = stage(activity(hops), "activity")
-    hung = stage(hung_links(hops, active, keep_busy=n != 3), "hung-links")
-    if n == 3:
-        found = link_triangles(hung, cfg)
-    else:
-        found = link_cycles(cyclic_core(hung, n, stage), cfg)
+    links = as_links(hops)
+    active = stage(activity(links), "activity")
+    hung = stage(hung_links(links, active, keep_busy=n != 3), "hung-links")
+    found = possible_cycles(hung, cfg, stage)
     searches = stage(hop_searches(found, cfg), "hop-searches")
     candidates = stage(candidate_hops(hops, searches, cfg), "candidate-hops")
     order = ["ts_hop1", *[f"hop{k}_id" for k in range(1, n + 1)]]

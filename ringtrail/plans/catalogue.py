@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ringtrail import config, schemas
-from ringtrail.operators import circular_flow, evaluate, exposure, findings, lineage, mule_hub, publish, quality, reads, two_hop
+from ringtrail.operators import appended_rings, circular_flow, evaluate, exposure, findings, lineage, mule_hub, publish, quality, reads, two_hop
 from ringtrail.plans.pipeline import FINDING_TABLES
 from ringtrail.plans.workspace import Workspace, workspace
 
@@ -240,6 +240,21 @@ for _hops in config.OTHER_RINGS:
     _rings_of(_hops)
 
 
+@_query("silver")
+def circular_flow_appended(w: Workspace) -> DataFrame:
+    """All rings over two loads: those of the transfers before a day, then those that the rest closes."""
+    cfg, transfers = config.CIRCULAR_FLOW, w.table("silver/transfers_to")
+    day = F.lit(config.SECOND_LOAD).cast("timestamp_ntz")
+    old, new = transfers.filter(F.col("event_timestamp") < day), transfers.filter(F.col("event_timestamp") >= day)
+    before = circular_flow.cycles(old, cfg, w.stage)
+    stored = w.stage(circular_flow.link_summaries(circular_flow.ring_transfers(old, cfg)), "link-summaries")
+    last = old.agg(F.coalesce(F.max("fin_txn_id"), F.lit(0)).alias("last")).first()["last"]
+    added = appended_rings.cycles_of_append(stored, old, new, last, cfg, w.stage)
+    added = findings.with_id_offset(added, before)
+    both = before.withColumn("load", F.lit(1)).unionByName(added.withColumn("load", F.lit(2)))
+    return flat(both.select("load", "finding_id", *circular_flow.ring_columns(3)))
+
+
 @_query("circular_flow")
 def circular_flow_findings(w: Workspace) -> DataFrame:
     rows = circular_flow.findings(w.frame("rings"), config.CIRCULAR_FLOW, w.pipeline.run_ts)

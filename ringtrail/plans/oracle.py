@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from ringtrail import constants as K
 from ringtrail import schemas
-from ringtrail.config import ASSESSMENTS, CIRCULAR_FLOW, LAUNDERING_EXPOSURE, MULE_HUB, OTHER_RINGS, rings_of
+from ringtrail.config import ASSESSMENTS, CIRCULAR_FLOW, LAUNDERING_EXPOSURE, MULE_HUB, OTHER_RINGS, SECOND_LOAD, rings_of
 from ringtrail.operators import reads
 
 HOURS = "CAST((epoch_us({b}) - epoch_us({a}) + 1800000000) // 3600000000 AS BIGINT)"
@@ -713,6 +713,14 @@ def _statements() -> dict[str, tuple[str, str]]:
             "m3::DOUBLE AS amt_hop3, ccy AS currency, p1 AS pf_hop1, p2 AS pf_hop2, p3 AS pf_hop3, lo::DOUBLE AS amt_min, "
             "hi::DOUBLE AS amt_max FROM ring",
         ),
+        "circular_flow_appended": (
+            "ring",
+            "SELECT load, row_number() OVER (ORDER BY load, t1, i1, i2, i3) AS finding_id, i1 AS hop1_id, i2 AS hop2_id, i3 AS hop3_id, "
+            "a AS acct_a, b AS acct_b, c AS acct_c, t1::VARCHAR AS ts_hop1, t2::VARCHAR AS ts_hop2, t3::VARCHAR AS ts_hop3, "
+            "m1::DOUBLE AS amt_hop1, m2::DOUBLE AS amt_hop2, m3::DOUBLE AS amt_hop3, ccy AS currency, p1 AS pf_hop1, p2 AS pf_hop2, "
+            "p3 AS pf_hop3, lo::DOUBLE AS amt_min, hi::DOUBLE AS amt_max "
+            f"FROM (SELECT *, CASE WHEN t3 >= TIMESTAMP '{SECOND_LOAD}' THEN 2 ELSE 1 END::BIGINT AS load FROM ring) r",
+        ),
         "circular_flow_findings": ("ring_finding", _finding_sql("ring_finding")),
         "circular_flow_entities": ("ring_entity", f"SELECT {_ENTITY} FROM ring_entity"),
         "circular_flow_edges": ("ring_edge", f"SELECT {_EDGE} FROM ring_edge"),

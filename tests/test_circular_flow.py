@@ -202,7 +202,7 @@ def test_a_hub_does_not_multiply_links(spark, stage):
     rows += [transfer(n + i, "B1:hub", f"B1:r{i}", hours(i % 100), 2000) for i in range(n)]
     rows += [transfer(2 * n + i, f"B1:r{i}", f"B1:s{i}", hours(100 + i % 100), 2000) for i in range(n)]
     hops = circular_flow.ring_transfers(transfers_frame(spark, rows), CIRCULAR_FLOW)
-    hung = stage(circular_flow.hung_links(hops, circular_flow.activity(hops)), "hung")
+    hung = stage(circular_flow.hung_links(circular_flow.as_links(hops), circular_flow.activity(circular_flow.as_links(hops))), "hung")
     leaving = hung.filter("hangs_on_src").groupBy("currency", "w", "src").count()
     entering = hung.filter("not hangs_on_src").groupBy("currency", "w", "dst").count()
     assert max(r["count"] for r in leaving.collect() + entering.collect()) <= 2

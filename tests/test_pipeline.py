@@ -89,7 +89,7 @@ def test_graph_detectors_never_see_the_label(done):
     assert "is_laundering" not in analyzed(transfers)
     cfg = ASSESSMENTS[K.CIRCULAR_FLOW]
     hops = circular_flow.ring_transfers(transfers, cfg)
-    steps = [circular_flow.hung_links(hops, circular_flow.activity(hops)), mule_hub.pair_totals(transfers), done.frames["rings"], done.frames["hubs"]]
+    steps = [circular_flow.hung_links(circular_flow.as_links(hops), circular_flow.activity(circular_flow.as_links(hops))), mule_hub.pair_totals(transfers), done.frames["rings"], done.frames["hubs"]]
     assert all("is_laundering" not in analyzed(step) for step in steps)
 
 
@@ -113,7 +113,7 @@ def test_precision_of_exposure_is_complete(done):
 def test_plans_have_no_cross_join_or_one_task_window(done):
     cfg = ASSESSMENTS[K.CIRCULAR_FLOW]
     hops = circular_flow.ring_transfers(done.table("silver/transfers_to"), cfg)
-    hung = circular_flow.hung_links(hops, circular_flow.activity(hops))
+    hung = circular_flow.hung_links(circular_flow.as_links(hops), circular_flow.activity(circular_flow.as_links(hops)))
     plans = [
         hung,
         circular_flow.link_triangles(hung, cfg),
