@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-CHUNK = 8
+CHUNK = 16
 BEGIN, END = 0, 1
 WIDTH = 16
 HIDDEN = 32

@@ -1,21 +1,26 @@
 """Scores of whole texts by a word base line and by a causal self-attention model.
 
-Words of the training documents are counted over the whole corpus, per block of documents first.
-The model reads subword ids of a given vocabulary; rare ids are spelt in bytes. Its weights are
-fitted in rounds: trainers run over their documents side by side, and their weights are averaged.
+Documents are first written in numbered blocks, which every later pass reads: what a block holds does
+not depend on how many executors there are when. Words of the training documents are counted over the
+whole corpus, per block first. The model reads subword ids of a given vocabulary; rare ids are spelt in
+bytes. Its weights are fitted in rounds, in which every training document is seen once: trainers run over
+their documents side by side, and their weights are averaged.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringtrail.llm.attention_lm import BEGIN, END, Adam, Chunks, Model
@@ -28,14 +33,12 @@ SMOOTHING = 0.5
 # Text of a block, whose distinct words a worker holds at once.
 BLOCK_BYTES = 16 << 20
 # The output vocabulary: the most frequent ids, single bytes always; the rest is spelt in bytes.
-MAX_SYMBOLS = 1024
-# Training documents fall into PARTS by a hash of their id; each round fits one part.
-PARTS, ROUNDS = 8, 4
+MAX_SYMBOLS = 4096
+# Training documents fall into ROUNDS parts by a hash of their id; each round fits one part.
+ROUNDS = 4
 BLOCKS_PER_TRAINER = 8
-BATCH = 512  # rows of CHUNK symbols
+BATCH = 256  # rows of CHUNK symbols
 RATE = 6e-3
-# A trainer with fewer symbols than this goes over them again, up to REPEATS times.
-LEAST_SYMBOLS, REPEATS = 1_000_000, 10
 SLICES = 16
 # Pieces of text whose symbols a worker remembers.
 PIECES = 250_000
@@ -52,20 +55,21 @@ def words_of(text: str | None) -> list[bytes]:
 # --- counting words over the corpus ------------------------------------------------------------
 
 
+@dataclass
 class Block:
-    """Consecutive documents of a task. Texts are cut into words when these are needed, not kept as words."""
+    """Some documents. Texts are cut into words when these are needed, not kept as words."""
 
-    def __init__(self):
-        self.ids: list = []
-        self.held: list[bool] = []
-        self.texts: list[str | None] = []
-        self.bytes = 0
+    ids: pa.Array
+    held: list[bool]
+    part: list[int]
+    texts: list[str | None]
 
-    def add(self, doc_id, held: bool, text: str | None) -> None:
-        self.ids.append(doc_id)
-        self.held.append(held)
-        self.texts.append(text)
-        self.bytes += len(text or "")
+    @classmethod
+    def load(cls, path: str) -> Block:
+        with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(get_file(path))) as stream:
+            table = stream.read_all()
+        ids, held, part, texts = (c.combine_chunks() for c in table.columns)
+        return cls(ids, held.to_pylist(), part.to_pylist(), texts.to_pylist())
 
     def counts(self) -> tuple[list[bytes], np.ndarray]:
         """Every distinct word in order of appearance, training documents first, and how often these have it."""
@@ -81,24 +85,66 @@ class Block:
         return list(seen), np.fromiter(seen.values(), np.int64, len(seen))
 
 
-def blocks(batches) -> Iterator[tuple[int, Block]]:
-    """(number, block) of the documents of a task: the same for every pass over the same table."""
-    part, number, block = TaskContext.get().partitionId(), 0, Block()
+def write_blocks(rows: DataFrame, folder: str) -> DataFrame:
+    """Writes the rows (_id, held, part, _text) as blocks; (block, path, trained) of each, trained being its
+    number of training documents. Evaluate once.
+
+    A repeated task writes files of its own, and only those of the task that counts are named.
+    """
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        attempt, number = task.taskAttemptId(), 0
+        kept: list[pa.RecordBatch] = []
+        size = 0
+
+        def close() -> pa.RecordBatch:
+            nonlocal number, kept, size
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, kept[0].schema) as out:
+                for batch in kept:
+                    out.write_batch(batch)
+            block = (task.partitionId() << 20) + number
+            path = f"{folder}/{block}-{attempt}.block"
+            put_file(path, zstandard.ZstdCompressor(level=1).compress(sink.getvalue()), str(attempt))
+            trained = sum(len(b) - sum(b.column(1).to_pylist()) for b in kept)
+            number, kept, size = number + 1, [], 0
+            return pa.RecordBatch.from_pydict({"block": [block], "path": [path], "trained": [trained]})
+
+        for batch in batches:
+            begin = 0
+            lengths = np.array([len(t or "") for t in batch.column(3).to_pylist()], np.int64)
+            ends = np.cumsum(lengths)
+            while begin < len(batch):
+                room = BLOCK_BYTES - size + (ends[begin - 1] if begin else 0)
+                end = min(len(batch), int(np.searchsorted(ends, room)) + 1)
+                kept.append(batch.slice(begin, end - begin))
+                size += int(lengths[begin:end].sum())
+                begin = end
+                if size >= BLOCK_BYTES:
+                    yield close()
+        if kept:
+            yield close()
+
+    return rows.mapInArrow(run, "block bigint, path string, trained bigint")
+
+
+def spread(blocks: DataFrame, tasks: int) -> DataFrame:
+    """(block, path) in so many tasks: rows are few, and each stands for much work."""
+    return blocks.select("block", "path").repartitionByRange(max(1, tasks), "block").sortWithinPartitions("block")
+
+
+def _loaded(batches) -> Iterator[tuple[int, Block]]:
     for batch in batches:
-        for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            block.add(*row)
-            if block.bytes >= BLOCK_BYTES:
-                yield (part << 20) + number, block
-                number, block = number + 1, Block()
-    if block.ids:
-        yield (part << 20) + number, block
+        for number, path in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            yield number, Block.load(path)
 
 
-def block_words(rows: DataFrame) -> DataFrame:
+def block_words(blocks: DataFrame) -> DataFrame:
     """(word, block, pos, n): the distinct words of every block and their training counts in it."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        for number, block in blocks(batches):
+        for number, block in _loaded(batches):
             words, counts = block.counts()
             for begin in range(0, len(words), 50_000):
                 part = [w.decode() for w in words[begin : begin + 50_000]]
@@ -113,22 +159,18 @@ def block_words(rows: DataFrame) -> DataFrame:
                     ["word", "block", "pos", "n"],
                 )
 
-    return rows.mapInArrow(run, "word string, block bigint, pos int, n bigint")
+    return blocks.mapInArrow(run, "word string, block bigint, pos int, n bigint")
 
 
-def corpus_counts(rows: DataFrame, stage: Staging) -> DataFrame:
-    """(word, block, pos, c, first): with the count in all training documents; `first` once per word.
+def corpus_counts(blocks: DataFrame, stage: Staging) -> tuple[DataFrame, DataFrame]:
+    """(word, c): how often all training documents have each word; and (block, pos, c) of every block's words.
 
-    A word is at most once in a block, so that the group of a word grows with the blocks only.
+    The sums are formed before they are shuffled, and a word of very many blocks is a skewed key of the
+    join back, which Spark splits.
     """
-    word = Window.partitionBy("word")
-    return stage(
-        stage(block_words(rows), "block-words")
-        .withColumn("c", F.sum("n").over(word))
-        .withColumn("first", F.row_number().over(word.orderBy("block", "pos")) == 1)
-        .drop("n"),
-        "corpus-counts",
-    )
+    found = stage(block_words(blocks), "block-words")
+    totals = stage(found.groupBy("word").agg(F.sum("n").alias("c")), "corpus-counts")
+    return totals, found.select("word", "block", "pos").join(totals, "word").select("block", "pos", "c")
 
 
 def write_counts(counts: DataFrame, folder: str) -> DataFrame:
@@ -188,7 +230,7 @@ def id_counts(counts: DataFrame, path: str, pattern: str) -> list[tuple[int, int
         ids = np.flatnonzero(uses)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(uses[ids])], ["id", "n"])
 
-    words = counts.where("first and c > 0").select("word", "c")
+    words = counts.where("c > 0").select("word", "c")
     found = words.mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     return sorted((r["id"], r["n"]) for r in found.collect())
 
@@ -260,21 +302,22 @@ def _chunks(table: WordTable, texts: list[list[bytes]]) -> Chunks:
 # --- fitting -------------------------------------------------------------------------------------
 
 
-def fit(rows: DataFrame, counts: np.ndarray, key: tuple, path: str, pattern: str, trainers: int, stage: Staging) -> np.ndarray:
-    """Weights after all rounds. rows: (_id, held, _text); each round takes other documents."""
+def fit(blocks: DataFrame, counts: np.ndarray, key: tuple, path: str, pattern: str, trainers: int, stage: Staging) -> np.ndarray:
+    """Weights after all rounds; each takes other documents of the blocks, all of them one or another."""
     weights = Model(counts).vector()
+    mine = spread(blocks, trainers)
     for turn in range(ROUNDS):
-        part = F.pmod(F.xxhash64(F.lit("part"), "_id"), F.lit(PARTS)) == turn
-        mine = rows.where(~F.col("held") & part).select("_text").coalesce(max(1, trainers))
 
         def run(batches, start=weights, turn=turn) -> Iterator[pa.RecordBatch]:
             table, model = _table(key, path, pattern), Model(counts).load(start)
-            parts = [_chunks(table, [words_of(t) for t in b.column(0).to_pylist()]) for b in batches]
+            parts = []
+            for _, block in _loaded(batches):
+                chosen = [t for t, h, p in zip(block.texts, block.held, block.part, strict=True) if not h and p == turn]
+                parts += [_chunks(table, [words_of(t) for t in chosen[k : k + 256]]) for k in range(0, len(chosen), 256)]
             symbols = sum(c.inputs.size for c in parts)
             if not symbols:
                 return
-            repeats = min(REPEATS, max(1, round(LEAST_SYMBOLS / symbols)))
-            _train(model, parts, repeats, turn)
+            _train(model, parts, turn)
             vector = model.vector()
             cut = np.array_split(vector, SLICES)
             yield pa.RecordBatch.from_arrays(
@@ -293,20 +336,20 @@ def fit(rows: DataFrame, counts: np.ndarray, key: tuple, path: str, pattern: str
     return weights
 
 
-def _train(model: Model, parts: list[Chunks], repeats: int, turn: int) -> None:
-    steps = repeats * sum(-(-len(c.inputs) // BATCH) for c in parts)
+def _train(model: Model, parts: list[Chunks], turn: int) -> None:
+    """One pass over the chunks in steps of BATCH rows."""
+    steps = sum(-(-len(c.inputs) // BATCH) for c in parts)
     adam, step = Adam(model, RATE), 0
-    for _ in range(repeats):
-        for c in parts:
-            for begin in range(0, len(c.inputs), BATCH):
-                at = slice(begin, begin + BATCH)
-                rows = Chunks(c.inputs[at], c.targets[at], c.follows[at].copy(), c.owner[at])
-                rows.follows[:1] = False
-                _, gradient = model.gradient(rows)
-                # Falls to nothing over all rounds, and rises at the start of each.
-                left = 1 - (turn + step / steps) / ROUNDS
-                adam.update(gradient, RATE * min(1.0, (step + 1) / 40) * max(0.02, left))
-                step += 1
+    for c in parts:
+        for begin in range(0, len(c.inputs), BATCH):
+            at = slice(begin, begin + BATCH)
+            rows = Chunks(c.inputs[at], c.targets[at], c.follows[at].copy(), c.owner[at])
+            rows.follows[:1] = False
+            _, gradient = model.gradient(rows)
+            # Falls to nothing over all rounds, and rises at the start of each.
+            left = 1 - (turn + step / steps) / ROUNDS
+            adam.update(gradient, RATE * min(1.0, (step + 1) / 40) * max(0.02, left))
+            step += 1
 
 
 def _average(fitted: DataFrame, trainers: int, before: np.ndarray) -> np.ndarray:
@@ -356,33 +399,37 @@ def score(
     base_score sums log10((c + 0.5) / (N + 0.5 (V + 1))) over the tokens, counts c, N and V being
     those of the training documents; without any of these every token has probability 1.
     score is the log10 probability that the model gives the words in order and the end.
-    `docs` must be a stored table: its blocks are formed again in every pass, and a block whose
-    words differ from those counted stops the job. Rows that repeat are counted and scored each.
+    Rows that repeat are counted and scored each. Empty texts are scored by their end. All training
+    documents are fitted, each once.
     """
-    rows = docs.select(F.col(id_col).alias("_id"), (remainder(id_col, FOLDS) == HELD_OUT).alias("held"), F.col(text_col).alias("_text"))
-    counts = corpus_counts(rows, stage)
-    folder = f"{stage.root}/counts"
-    files = stage(write_counts(counts, folder), "count-files")
-    train_docs = rows.where(~F.col("held")).count()
-    first = counts.where("first and c > 0").agg(F.count(F.lit(1)).alias("v"), F.sum("c").alias("n")).first()
+    held = (remainder(id_col, FOLDS) == HELD_OUT).alias("held")
+    part = F.pmod(F.xxhash64(F.lit("part"), id_col), F.lit(ROUNDS)).cast("int").alias("part")
+    rows = docs.select(F.col(id_col).alias("_id"), held, part, F.col(text_col).alias("_text"))
+    folder = f"{stage.root}/lm-{uuid.uuid4().hex}"
+    blocks = stage(write_blocks(rows, folder), "blocks")
+    number = blocks.count()
+    each = spread(blocks, number)
+    totals, placed = corpus_counts(each, stage)
+    stage(write_counts(placed, folder), "count-files")
+    train_docs = blocks.agg(F.sum("trained")).first()[0] or 0
+    first = totals.where("c > 0").agg(F.count(F.lit(1)).alias("v"), F.sum("c").alias("n")).first()
     n_tokens = (first["n"] or 0) + train_docs
     distinct = first["v"] + (1 if train_docs else 0)
     total = n_tokens + SMOOTHING * (distinct + 1)
-    uses = id_counts(counts, path, pattern)
+    uses = id_counts(totals, path, pattern)
     key = (tuple(uses), train_docs)
     symbols = Symbols(uses, train_docs, path, pattern)
-    trainers = -(-files.count() // BLOCKS_PER_TRAINER)
-    weights = fit(rows, symbols.counts, key, path, pattern, trainers, stage)
+    weights = fit(blocks, symbols.counts, key, path, pattern, -(-number // BLOCKS_PER_TRAINER), stage)
     symbol_counts = symbols.counts
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         table, model = _table(key, path, pattern), Model(symbol_counts).load(weights)
         end_base = np.log10((train_docs + SMOOTHING) / total)
-        for number, block in blocks(batches):
+        for number, block in _loaded(batches):
             words, own = block.counts()
             c = np.frombuffer(get_file(f"{folder}/{number}.counts"), "<i8") if words else np.zeros(0, np.int64)
             if len(c) != len(words) or (c < own).any():
-                raise RuntimeError("the documents are not those whose words were counted")
+                raise RuntimeError(f"block {number} is not the one whose words were counted")
             base = np.log10((c + SMOOTHING) / total)
             # Per row of the table: what a word of this block adds to the base line, and whether it is known.
             table.make_room()
@@ -398,7 +445,7 @@ def score(
                 scores = np.bincount(chunks.owner, model.log10(chunks), len(texts))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(block.ids[begin : begin + 256], id_type),
+                        block.ids.slice(begin, 256),
                         pa.array(block.held[begin : begin + 256]),
                         pa.array(n + 1),
                         pa.array(np.bincount(owner, known_of[at], len(texts)).astype(np.int64) + (train_docs > 0)),
@@ -409,12 +456,9 @@ def score(
                     ["_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    id_type = to_arrow_type(rows.schema["_id"].dataType)
     kind = rows.schema["_id"].dataType.simpleString()
     schema = (
         f"_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint,"
         " base_score double, score double"
     )
-    return rows.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
+    return each.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
