@@ -180,10 +180,15 @@ def get_file(uri: str) -> bytes:
         return data.read()
 
 
+def open_file(uri: str):
+    """A file to read parts of: has size(), seek() and read()."""
+    files, path = _file_system(uri)
+    return files.open_input_file(path)
+
+
 def get_range(uri: str, offset: int, length: int) -> bytes:
     """Some bytes of a file, without the rest of it."""
-    files, path = _file_system(uri)
-    with files.open_input_file(path) as data:
+    with open_file(uri) as data:
         data.seek(offset)
         return data.read(length)
 

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringtrail.llm.common import put_file, read_files
+from ringtrail.llm.common import open_file, put_file
 from ringtrail.staging import Staging
 
 SUFFIX = ".warc.zst"
@@ -128,6 +128,31 @@ def read_record(data: bytes, frame: int, offset: int) -> tuple[dict[str, str], b
     return parse_record(text, offset)[:3]
 
 
+class Reader:
+    """Records of one stored bundle by frame and offset: reads its seek table and the frames asked for."""
+
+    def __init__(self, uri: str):
+        self.data = open_file(uri)
+        size = self.data.size()
+        self.data.seek(size - FOOTER)
+        count, flags, magic = struct.unpack("<IBI", self.data.read(FOOTER))
+        if magic != SEEKABLE:
+            raise ValueError(f"no seek table at the end of {uri}")
+        begin = size - FOOTER - count * (12 if flags & 0x80 else 8)
+        self.data.seek(begin)
+        self.frames = seek_table(self.data.read(size - begin))
+        self.unpack = zstandard.ZstdDecompressor()
+        self.held: tuple[int, bytes] = (-1, b"")
+
+    def record(self, frame: int, offset: int) -> tuple[dict[str, str], bytes, bytes]:
+        """The record at an index entry; neighbours in the index share the frame that is held."""
+        if self.held[0] != frame:
+            start, packed, plain = self.frames[frame]
+            self.data.seek(start)
+            self.held = (frame, self.unpack.decompress(self.data.read(packed), max_output_size=plain))
+        return parse_record(self.held[1], offset)[:3]
+
+
 # --- writing and reading --------------------------------------------------------------------
 
 
@@ -203,8 +228,25 @@ def write_bundles(
     return rows.mapInArrow(run, "page_id bigint, bundle string, frame bigint, offset bigint")
 
 
+def _told(fields: dict[str, str], http: bytes, payload: bytes) -> tuple:
+    """What a record says of its page; a response must hold what its header says."""
+    length = int(http.rsplit(b"Content-Length: ", 1)[1])
+    digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
+    first = fields.get("WARC-Refers-To")
+    if first is None and (length != len(payload) or digest != base64.b32encode(hashlib.sha1(payload).digest()).decode()):
+        raise ValueError(f"damaged record {fields['WARC-Record-ID']}")
+    refers = None if first is None else page_of(first)
+    return page_of(fields["WARC-Record-ID"]), length, digest, fields["WARC-Type"], refers
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], NAMES)
+
+
 def read_bundles(files: DataFrame) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every record of the files.
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every record of whole files (content),
+    without their index.
 
     Length and digest of a response are those of the bytes read back, and must agree with its
     header; a revisit has the ones its header gives for the full payload.
@@ -220,40 +262,52 @@ def read_bundles(files: DataFrame) -> DataFrame:
                     at = 0
                     while at < len(text):
                         fields, http, payload, at = parse_record(text, at)
-                        length = int(http.rsplit(b"Content-Length: ", 1)[1])
-                        digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-                        first = fields.get("WARC-Refers-To")
-                        if first is None and (
-                            length != len(payload) or digest != base64.b32encode(hashlib.sha1(payload).digest()).decode()
-                        ):
-                            raise ValueError(f"damaged record {fields['WARC-Record-ID']}")
-                        refers = None if first is None else page_of(first)
-                        rows.append((page_of(fields["WARC-Record-ID"]), length, digest, fields["WARC-Type"], refers))
+                        rows.append(_told(fields, http, payload))
                 if rows:
-                    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], NAMES
-                    )
+                    yield _batch(rows)
+
+    return files.select("content").mapInArrow(run, SCHEMA)
 
-    schema = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
-    return files.select("content").mapInArrow(run, schema)
 
+def read_indexed(index: DataFrame, folder: str) -> DataFrame:
+    """The same of the records that an index (page_id, bundle, frame, offset) names, each found by its entry.
+
+    Entries are dealt by bundle and come in the order of the file, so that a frame is decompressed once. An
+    entry that leads to the record of another page stops the job.
+    """
 
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        name, reader = None, None
+        for batch in batches:
+            rows = []
+            for page, bundle, frame, offset in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if bundle != name:
+                    name, reader = bundle, Reader(f"{folder}/{bundle}")
+                told = _told(*reader.record(frame, offset))
+                if told[0] != page:
+                    raise ValueError(f"the index leads from page {page} to {told[0]}")
+                rows.append(told)
+            if rows:
+                yield _batch(rows)
+
+    entries = index.select("page_id", "bundle", "frame", "offset")
+    tasks = max(1, index.select("bundle").distinct().count())
+    dealt = entries.repartition(tasks, "bundle").sortWithinPartitions("bundle", "frame", "offset")
+    return dealt.mapInArrow(run, SCHEMA)
+
+
+SCHEMA = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
 NAMES = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
 
 
 def archive_round_trip(
     pages: DataFrame, stage: Staging, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
 ) -> DataFrame:
-    """Writes all pages as bundles below the staging folder and reads them back; see read_bundles.
+    """Writes all pages as bundles below the staging folder and reads every record back through the index; see
+    read_indexed.
 
     Without pages there are no files and no rows.
     """
     folder = f"{stage.root}/warc"
     index = stage(write_bundles(pages, folder, stage, id_col, url_col, html_col), "index")
-    if index.isEmpty():
-        return index.selectExpr(
-            "page_id", "frame as payload_bytes", "bundle as payload_digest", "bundle as record_type", "offset as refers_to"
-        )
-    return read_bundles(read_files(pages.sparkSession, folder, SUFFIX))
-
+    return read_indexed(index, folder)

@@ -189,6 +189,20 @@ def test_index_points_into_frames(spark, stage):
         assert payload.decode() == pages[r["page_id"]][2]
 
 
+def test_a_part_of_the_index_reads_a_part_of_the_archive(spark, stage):
+    pages = [(n, f"http://h/{n}", f"<p>page {n}</p>" * 400) for n in range(300)]
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    folder = f"{stage.root}/part"
+    index = stage(warc.write_bundles(frame, folder, stage), "index")
+    whole = warc.read_bundles(common.read_files(spark, folder, warc.SUFFIX))
+    assert sorted(warc.read_indexed(index, folder).collect()) == sorted(whole.collect())
+    some = warc.read_indexed(index.where("page_id % 7 = 3"), folder).collect()
+    assert sorted(r["page_id"] for r in some) == [n for n in range(300) if n % 7 == 3]
+    wrong = index.withColumn("page_id", index["page_id"] + 1)
+    with pytest.raises(Exception, match="the index leads from page"):
+        warc.read_indexed(wrong, folder).collect()
+
+
 def test_damage_is_noticed(spark, stage):
     html = "<p>" + "x" * 50 + "</p>"
     record = warc.make_record(1, "u", html.encode(), hashlib.sha1(b"other").hexdigest(), None, False)
