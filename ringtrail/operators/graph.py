@@ -28,16 +28,16 @@ TXN_ORDER = [
     "receiving_currency",
     "payment_currency",
     "payment_format",
-    "is_laundering",
 ]
 
 
 def number_transactions(txns: DataFrame, stage: Staging) -> DataFrame:
-    """Add fin_txn_id, the dense rank of a transfer in time order.
+    """Add fin_txn_id, the dense rank of a transfer in time order, blind to the label.
 
-    `txns` must be a stored table (the bronze layer): see `global_rank`.
+    `txns` must be a stored table (the bronze layer): see `global_rank`. Rows that agree in all but the
+    label are numbered in the order of the table.
     """
-    return global_rank(txns.select(*TXN_ORDER), TXN_ORDER, "fin_txn_id", stage, may_repeat=True)
+    return global_rank(txns.select(*TXN_ORDER, "is_laundering"), TXN_ORDER, "fin_txn_id", stage, may_repeat=True)
 
 
 def txn_labels(numbered: DataFrame) -> DataFrame:

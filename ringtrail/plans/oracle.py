@@ -113,7 +113,7 @@ _step(
     "txn",
     """
 SELECT row_number() OVER (ORDER BY event_timestamp, from_bank, from_account, to_bank, to_account, amount_paid,
-           amount_received, receiving_currency, payment_currency, payment_format, is_laundering) AS id,
+           amount_received, receiving_currency, payment_currency, payment_format) AS id,
        from_bank||':'||from_account AS src, to_bank||':'||to_account AS dst,
        event_timestamp AS ts, amount_paid AS amt, payment_currency AS ccy, payment_format AS pf,
        is_laundering AS lab, amount_received, receiving_currency
@@ -893,9 +893,8 @@ FROM found
 
 
 def _lineage_sql() -> str:
-    """Rows of every table, and what each may owe to the label: the numbering of the transactions settles its
-    last ties by it, and only the labelled exposure, with what is published of it, is chosen by it."""
-    numbered = [n for n, step in _GRAPH_COUNTS if step == "xfer"]
+    """Rows of every table, and what each may owe to the label: only the labelled exposure, with what is
+    published of it, is chosen by it, and nothing is ordered by it."""
     layers = [("bronze/transactions_raw", "txn"), *_GRAPH_COUNTS]
     layers += [("gold/finding", "g_finding"), ("gold/finding_entity", "g_entity"), ("gold/finding_edge", "g_edge")]
     found = [
@@ -903,11 +902,10 @@ def _lineage_sql() -> str:
         for table, step in (("finding", "finding"), ("finding_entity", "entity"), ("finding_edge", "edge"))
         for a in ASSESSMENTS
     ]
-    ordered = " OR ".join(f"table_name = '{n}'" for n in numbered)
     return (
         "SELECT *, CASE WHEN table_name IN ('bronze/transactions_raw', 'label/txn_label') THEN 'is_laundering' ELSE '' END AS label_columns, "
-        f"table_name LIKE 'gold/%' OR table_name LIKE '%={K.LAUNDERING_EXPOSURE}' AS label_chose, "
-        f"{ordered} OR table_name LIKE 'gold/%' OR table_name LIKE '%assessment_id=%' AS label_ordered FROM ({_counts(layers + found)}) c"
+        f"table_name LIKE 'gold/%' OR table_name LIKE '%={K.LAUNDERING_EXPOSURE}' AS label_chose, false AS label_ordered "
+        f"FROM ({_counts(layers + found)}) c"
     )
 
 
