@@ -55,27 +55,19 @@ def labeled_edges(transfers: DataFrame, txns: DataFrame, stage: Staging) -> Data
 
 def candidates(labeled: DataFrame, cfg: Assessment, stage: Staging) -> DataFrame:
     """Accounts over the threshold, ranked; a self-transfer counts on both sides."""
-    touches = both_sides(labeled, "fin_txn_id", "amount", "currency", "event_timestamp", "copies")
-    # One row per account and transfer first, so that counting them needs no second shuffle
-    # of distinct values and a busy account is split over its transfers; then per currency,
-    # so that the dominant one comes out of the same sums.
-    per_transfer = touches.groupBy("account_key", "currency", "fin_txn_id").agg(
+    touches = both_sides(labeled, "amount", "currency", "event_timestamp", "copies")
+    # A transfer is one row, so that only one to the account itself is met twice; what is summed
+    # needs no distinct. Per currency first, so that the dominant one comes out of the same sums.
+    again = (F.col("account_key") == F.col("counterparty")) & (F.col("side") == "outbound")
+    per_currency = touches.groupBy("account_key", "currency").agg(
         F.sum("copies").alias("edges"),
+        F.count_if(~again).alias("txns"),
         F.sum(F.col("amount") * F.col("copies")).alias("total"),
         F.min("amount").alias("amt_min"),
         F.max("amount").alias("amt_max"),
         F.min("event_timestamp").alias("ts_first"),
         F.max("event_timestamp").alias("ts_last"),
     )
-    per_currency = per_transfer.groupBy("account_key", "currency").agg(
-        F.sum("edges").alias("edges"),
-        F.count(F.lit(1)).alias("txns"),
-        F.sum("total").alias("total"),
-        F.min("amt_min").alias("amt_min"),
-        F.max("amt_max").alias("amt_max"),
-        F.min("ts_first").alias("ts_first"),
-        F.max("ts_last").alias("ts_last"),
-    )
     per_account = (
         per_currency.groupBy("account_key")
         .agg(
