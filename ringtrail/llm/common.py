@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
+import tempfile
+import uuid
+import zipfile
 from collections.abc import Callable, Sequence
 from itertools import chain, repeat
 from pathlib import Path
@@ -35,12 +39,32 @@ def staging(spark: SparkSession) -> Staging:
 
 def prepare(spark: SparkSession) -> None:
     """Small Arrow batches, as texts may be long, and this package for the Python workers."""
-    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    _ship(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not spark.sparkContext.getConf().contains(key):
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+_shipped: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Send the package to the executors once: they need not have it, nor the driver's folders."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    # A folder of the driver alone, from which Spark hands the file to every executor.
+    folder = tempfile.TemporaryDirectory(prefix=f"{package.name}-", ignore_cleanup_errors=True)
+    atexit.register(folder.cleanup)
+    path = f"{folder.name}/{package.name}-{uuid.uuid4().hex}.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
 def remainder(id_col: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo: decides the fold of a document. Null ids: of the empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % modulus
