@@ -173,7 +173,8 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256): digests of the ids and of the bytes decoded from them.
 
-    Encoding and decoding happen in one pass, so the ids themselves are not moved.
+    Encoding and decoding happen in one pass, so the ids themselves are not moved. Null texts are empty, and
+    empty texts have no ids; every row comes back, rows that repeat each, and null ids as they are.
     """
 
     def run(batches):

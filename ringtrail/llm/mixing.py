@@ -210,7 +210,8 @@ def _corrections(rated: DataFrame, limit: float) -> DataFrame:
     down = rated.where((F.col("copies") > 0) & (F.col("size") > 0)).withColumn("step", F.lit(-1))
     spare = up.unionByName(down).withColumn("class", F.floor(F.log2("size")).cast("int"))
     # The rank is cut to SPARES rows per group in each map task before the shuffle.
-    place = Window.partitionBy("_source", "class", "step").orderBy(F.xxhash64(F.lit(SALT), "_id"), "_row")
+    # Rows that agree in id and size as well may stand for each other.
+    place = Window.partitionBy("_source", "class", "step").orderBy(F.xxhash64(F.lit(SALT), "_id"), "size", "_row")
     few = spare.withColumn("k", F.row_number().over(place)).where(F.col("k") <= SPARES)
     few = few.select(F.col("_source").alias("_s"), "_row", "size", "step", F.xxhash64(F.lit(SALT), "_id").alias("hash"))
     entry = F.struct("size", "hash", F.col("_row").alias("row"), "step")
