@@ -479,20 +479,26 @@ def assemble(candidates: DataFrame, cfg: Assessment, stage: Staging) -> DataFram
     return found.filter(functools.reduce(operator.and_, in_order)).select(*[made[c].alias(c) for c in ring_columns(n)])
 
 
-def possible_cycles(hung: DataFrame, cfg: Assessment, stage: Staging) -> DataFrame:
-    """Cycles of links that could hold a ring."""
+def possible_cycles(hung: DataFrame, cfg: Assessment, stage: Staging, peel: bool | None = None) -> DataFrame:
+    """Cycles of links that could hold a ring.
+
+    `peel` reduces the links to their cyclic core first; by default for all but three hops, whose triangles
+    are found from the less busy ends in one join. It pays there where most transfers lie on long chains.
+    """
     n = _hops(cfg)
-    return link_triangles(hung, cfg) if n == 3 else link_cycles(cyclic_core(hung, n, stage), cfg)
+    if n != 3 if peel is None else peel:
+        hung = stage(cyclic_core(hung, n, stage), "core-links")
+    return link_triangles(hung, cfg) if n == 3 else link_cycles(hung, cfg)
 
 
-def cycles(transfers: DataFrame, cfg: Assessment, stage: Staging) -> DataFrame:
+def cycles(transfers: DataFrame, cfg: Assessment, stage: Staging, peel: bool | None = None) -> DataFrame:
     """All rings, with finding_id by time of the first hop and then by transfer ids."""
     n = _hops(cfg)
     hops = ring_transfers(transfers, cfg)
     links = as_links(hops)
     active = stage(activity(links), "activity")
     hung = stage(hung_links(links, active, keep_busy=n != 3), "hung-links")
-    found = possible_cycles(hung, cfg, stage)
+    found = possible_cycles(hung, cfg, stage, peel)
     searches = stage(hop_searches(found, cfg), "hop-searches")
     candidates = stage(candidate_hops(hops, searches, cfg), "candidate-hops")
     order = ["ts_hop1", *[f"hop{k}_id" for k in range(1, n + 1)]]

@@ -303,6 +303,18 @@ def test_rings_of_any_length_equal_brute_force(spark, stage, hops, accounts, n):
     assert [(r["ts_hop1"], i) for r, i in zip(got, ids, strict=True)] == sorted((r["ts_hop1"], i) for r, i in zip(got, ids, strict=True))
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_peeling_changes_no_ring(spark, stage, seed):
+    rng = random.Random(seed)
+    rows = [
+        transfer(i, f"B:{rng.randrange(12)}", f"B:{rng.randrange(12)}", hours(rng.randrange(0, 24 * 90, 6)), rng.choice([1500, 2000, 2900]))
+        for i in range(700)
+    ]
+    frame = transfers_frame(spark, rows)
+    plain, peeled = (sorted(map(repr, circular_flow.cycles(frame, CIRCULAR_FLOW, stage, peel).collect())) for peel in (False, True))
+    assert plain == peeled and len(plain) > 20
+
+
 def test_findings_of_four_hops(spark, stage):
     rows = [transfer(k, f"B1:{a}", f"B1:{b}", hours(k), 2000 + k) for k, (a, b) in enumerate(["pq", "qr", "rs", "sp"])]
     cfg = shaped(hops=4)

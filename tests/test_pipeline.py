@@ -1,15 +1,16 @@
 """Whole runs: repeatability, label blindness, one shape, evaluation."""
 
+from dataclasses import replace
 from datetime import datetime
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
-from conftest import SMALL
+from conftest import SMALL, accounts_frame, hours, raw, raw_frame
 
 from ringtrail import constants as K
 from ringtrail import schemas
-from ringtrail.config import ASSESSMENTS
+from ringtrail.config import ASSESSMENTS, CIRCULAR_FLOW
 from ringtrail.operators import circular_flow, evaluate, exposure, findings, mule_hub
 from ringtrail.plans import catalogue, oracle
 from ringtrail.plans.pipeline import Pipeline
@@ -232,3 +233,21 @@ def test_evaluation_without_hits_or_labels(spark, done):
     assert all(r["labeled_captured"] == 0 and r["recall_pct"] is None for r in got.values())
     assert [r["lift"] for r in evaluate.lift(edges, none).collect()] == [None]
     assert evaluate.base_rate(labels.limit(0)).first()["base_rate"] is None
+
+
+def test_a_pipeline_configured_for_four_hops(spark, tmp_path):
+    """The configuration row decides the shape of a ring, from detection to the published tables."""
+    four = replace(CIRCULAR_FLOW, params=CIRCULAR_FLOW.params | {"hops": 4})
+    p = Pipeline(spark, str(tmp_path), run_ts=RUN_TS, assessments=ASSESSMENTS | {K.CIRCULAR_FLOW: four})
+    route = ["B1:p", "B1:q", "B2:r", "B2:s", "B1:p"]
+    rows = [raw(hours(k), a, b, 2000) for k, (a, b) in enumerate(zip(route, route[1:], strict=False))]
+    rows += [raw(hours(9), "B1:q", "B1:p", 2000), raw(hours(10), "B2:r", "B1:p", 2000)]  # rings of two and three hops
+    p.load_frames(raw_frame(spark, rows), accounts_frame(spark, [("One", "B1", "p", "E1", "Entity 1")]))
+    p.build_silver()
+    p.detect_circular_flow()
+    p.publish()
+    (found,) = p.table("gold/finding").collect()
+    assert found["hop_count"] == 4 and found["title"].startswith("4-hop circular fund flow: B1:p -> B1:q -> B2:r -> B2:s")
+    edges = sorted(p.table("gold/finding_edge").collect(), key=lambda r: r["hop_order"])
+    assert [(e["from_account_key"], e["to_account_key"]) for e in edges] == list(zip(route, route[1:], strict=False))
+    assert p.table("silver/assessment_config").where("finding_config.hops = 4").count() == 1
