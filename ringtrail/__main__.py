@@ -1,6 +1,7 @@
 """Command line: run pipeline steps on a table root, or read published findings.
 
     spark-submit ... -m ringtrail run   --root s3a://lake/aml --data s3a://drop/hi-small
+    spark-submit ... -m ringtrail append --root ROOT --data s3a://drop/next
     spark-submit ... -m ringtrail step  --root ROOT silver
     spark-submit ... -m ringtrail list  --root ROOT --severity HIGH --limit 20
     spark-submit ... -m ringtrail show  --root ROOT 81
@@ -32,6 +33,8 @@ def parser() -> argparse.ArgumentParser:
     load = command("load", "mirror the CSV files")
     load.add_argument("--data", required=True)
     load.add_argument("--only", choices=["trans", "accounts"])
+    append = command("append", "add a further drop to the stored ones, with the rings it closes")
+    append.add_argument("--data", required=True)
     step = command("step", "one later step")
     step.add_argument("step", choices=["silver", "circular_flow", "mule_hub", "exposure", "detectors", "publish"])
     listing = command("list", "most severe findings first")
@@ -62,6 +65,8 @@ def main(argv: list[str] | None = None) -> None:
         p.run(args.data)
     elif args.command == "load":
         p.load_csv(args.data, args.only)
+    elif args.command == "append":
+        p.append_csv(args.data)
     elif args.command == "step":
         {
             "silver": p.build_silver,

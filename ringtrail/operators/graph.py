@@ -31,13 +31,13 @@ TXN_ORDER = [
 ]
 
 
-def number_transactions(txns: DataFrame, stage: Staging) -> DataFrame:
-    """Add fin_txn_id, the dense rank of a transfer in time order, blind to the label.
+def number_transactions(txns: DataFrame, stage: Staging, after: int = 0) -> DataFrame:
+    """Add fin_txn_id, the dense rank of a transfer in time order, blind to the label, counted on from `after`.
 
     `txns` must be a stored table (the bronze layer): see `global_rank`. Rows that agree in all but the
     label are numbered in the order of the table.
     """
-    return global_rank(txns.select(*TXN_ORDER, "is_laundering"), TXN_ORDER, "fin_txn_id", stage, may_repeat=True)
+    return global_rank(txns.select(*TXN_ORDER, "is_laundering"), TXN_ORDER, "fin_txn_id", stage, may_repeat=True, start=after)
 
 
 def txn_labels(numbered: DataFrame) -> DataFrame:

@@ -14,16 +14,17 @@ from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ringtrail import constants as K
 from ringtrail import schemas
 from ringtrail.config import ASSESSMENTS, Assessment, config_frame, upsert_config
-from ringtrail.operators import circular_flow, exposure, graph, mule_hub, publish
+from ringtrail.operators import appended_rings, circular_flow, exposure, graph, mule_hub, publish
 from ringtrail.operators.findings import with_id_offset
 from ringtrail.session import apply_engine_conf
 from ringtrail.sources import csv_files
 from ringtrail.sources.switching import Change, commit, finish
-from ringtrail.sources.tables import WriteReport, read_table, write_fresh, write_fresh_partition
+from ringtrail.sources.tables import WriteReport, load_folder, read_table, write_fresh, write_fresh_partition
 from ringtrail.staging import Staging, delete, exists
 
 def _by_finding(df: DataFrame) -> DataFrame:
@@ -31,6 +32,8 @@ def _by_finding(df: DataFrame) -> DataFrame:
     return df.repartitionByRange("finding_id").sortWithinPartitions("finding_id")
 
 
+# Links of the transfers of each load, per configuration of the rings; for `append_frames`.
+SUMMARIES = "silver/link_summary"
 FINDING_TABLES = ["silver/finding", "silver/finding_entity", "silver/finding_edge"]
 
 
@@ -70,11 +73,8 @@ class Pipeline:
         apply_engine_conf(self.spark)
 
     def table(self, name: str) -> DataFrame:
-        path, schema = f"{self.root}/{name}", schemas.TABLES[name]
-        for change in reversed(self._changes or []):  # what this step has written so far
-            if change.path == path and change.fresh is not None:
-                return self.spark.read.schema(schema).parquet(change.fresh)
-        return read_table(self.spark, path, schema, self.root)
+        # What the current step has written so far counts for it.
+        return read_table(self.spark, f"{self.root}/{name}", schemas.TABLES[name], self.root, self._changes or ())
 
     @contextmanager
     def _at_once(self) -> Iterator[None]:
@@ -99,6 +99,11 @@ class Pipeline:
         with self._at_once():
             self._note(df, *write_fresh(df, f"{self.root}/{name}", name))
 
+    def _add(self, name: str, df: DataFrame) -> None:
+        """One more load of a table, beside those it has."""
+        with self._at_once():
+            self._note(df, *write_fresh(df, load_folder(f"{self.root}/{name}"), name))
+
     def _note(self, df: DataFrame, report: WriteReport, change: Change) -> None:
         self.reports.append(report)
         self._changes.append(change)
@@ -160,6 +165,7 @@ class Pipeline:
         with self._at_once():
             self._together(lambda: self._build_transactions(stage), lambda: self._build_parties(stage))
             self.clear_findings()
+            self._changes.append(Change(None, f"{self.root}/{SUMMARIES}"))
         self._done(stage)
 
     def _build_transactions(self, stage: Staging) -> None:
@@ -183,6 +189,63 @@ class Pipeline:
             is_held_at=graph.is_held_at(self.table("silver/account")),
         )
 
+    def append_csv(self, data_dir: str) -> None:
+        """A further drop of transactions, with or without one of accounts; see `append_frames`."""
+        accounts = f"{data_dir}/{csv_files.ACCOUNTS_FILE}"
+        self.append_frames(
+            csv_files.read_transactions(self.spark, f"{data_dir}/{csv_files.TRANSACTIONS_FILE}"),
+            csv_files.read_accounts(self.spark, accounts) if exists(self.spark, accounts) else None,
+        )
+
+    @_tidy
+    def append_frames(self, txns: DataFrame, accounts: DataFrame | None = None) -> None:
+        """Add a load to those stored, in one change: its rows, and the rings that it closes.
+
+        Transfers get ids after all others, and the new rings findings after all others; what is stored of
+        earlier loads stays. Tables of accounts and parties, which hold each of them once, are rebuilt. The other
+        two detectors look at whole accounts and are run again by their own steps.
+        """
+        cfg, stage = self._detector(K.CIRCULAR_FLOW), self._staging()
+        old = self.table("silver/transfers_to")
+        last = old.agg(F.coalesce(F.max("fin_txn_id"), F.lit(0)).alias("last")).first()["last"]
+        before = self.table("silver/finding") if exists(self.spark, f"{self.root}/silver/finding") else None
+        with self._at_once():
+            self._add("bronze/transactions_raw", txns)
+            stored = self.spark.read.schema(schemas.TRANSACTIONS_RAW).parquet(self._changes[-1].fresh)
+            if accounts is not None:
+                self._add("bronze/accounts_raw", accounts)
+            numbered = graph.number_transactions(stored, stage, last)
+            new = stage(graph.transfers_to(numbered), "new-transfers")
+            summaries = self._link_summaries(old, new, cfg, stage)
+            self._together(
+                lambda: self._add("silver/transfers_to", new),
+                lambda: self._add("silver/financial_transaction", graph.financial_transactions(numbered)),
+                lambda: self._add("silver/has_originating_account", graph.originating(numbered)),
+                lambda: self._add("silver/has_beneficiary_account", graph.beneficiary(numbered)),
+                lambda: self._add("label/txn_label", graph.txn_labels(numbered)),
+            )
+            self._build_parties(stage)
+            rings = appended_rings.cycles_of_append(summaries, old, new, last, cfg, stage)
+            if before is not None:
+                rings = with_id_offset(rings, before)
+            self._save_rings(rings, cfg, keep=before is not None)
+        self._done(stage, new_rings=rings)
+
+    def _link_summaries(self, old: DataFrame, new: DataFrame, cfg: Assessment, stage: Staging) -> DataFrame:
+        """Those of the earlier loads, made once for a configuration; those of the new one are added to them."""
+        path = f"{SUMMARIES}/{cfg.params['max_time_span_days']}-{cfg.params['min_amount']}"
+
+        def summary(transfers: DataFrame) -> DataFrame:
+            return circular_flow.link_summaries(circular_flow.ring_transfers(transfers, cfg))
+
+        if exists(self.spark, f"{self.root}/{path}"):
+            known = self.spark.read.option("recursiveFileLookup", True).parquet(f"{self.root}/{path}")
+        else:
+            known = stage(summary(old), "link-summaries")
+            self._add(path, known)
+        self._add(path, summary(new))
+        return known
+
     # --- detectors -----------------------------------------------------------------
 
     @_tidy
@@ -229,15 +292,24 @@ class Pipeline:
         cfg, stage = self._detector(K.CIRCULAR_FLOW), self._staging()
         rings = circular_flow.cycles(self.table("silver/transfers_to"), cfg, stage)
         rings = self._with_ids(rings, cfg.assessment_id)
+        self._save_rings(rings, cfg)
+        self._done(stage, rings=rings)
+
+    def _save_rings(self, rings: DataFrame, cfg: Assessment, *, keep: bool = False) -> None:
+        """Findings of rings, in place of those stored or, to `keep` them, beside them."""
+
+        def made(name: str, df: DataFrame) -> DataFrame:
+            return df.unionByName(self.table(f"silver/{name}").filter(F.col("assessment_id") == cfg.assessment_id)) if keep else df
+
         self._save_findings(
             cfg.assessment_id,
-            finding=lambda: circular_flow.findings(rings, cfg, self.run_ts),
-            finding_entity=lambda: circular_flow.entities(
-                rings, cfg, self.table("silver/has_account"), self.table("silver/is_held_at")
+            finding=lambda: made("finding", circular_flow.findings(rings, cfg, self.run_ts)),
+            finding_entity=lambda: made(
+                "finding_entity",
+                circular_flow.entities(rings, cfg, self.table("silver/has_account"), self.table("silver/is_held_at")),
             ),
-            finding_edge=lambda: circular_flow.edges(rings, cfg),
+            finding_edge=lambda: made("finding_edge", circular_flow.edges(rings, cfg)),
         )
-        self._done(stage, rings=rings)
 
     @_tidy
     def detect_mule_hub(self) -> None:

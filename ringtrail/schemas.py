@@ -270,6 +270,9 @@ TABLES: dict[str, T.StructType] = {
     "gold/finding_edge": GOLD_FINDING_EDGE,
 }
 
+# Stored as one folder per assessment.
+PER_ASSESSMENT = (FINDING, FINDING_ENTITY, FINDING_EDGE)
+
 PRIMARY_KEYS: dict[str, list[str]] = {
     "silver/financial_institution": ["fse_id"],
     "silver/account": ["account_key"],

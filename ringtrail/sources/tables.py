@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import time
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ringtrail import schemas
 from ringtrail.sources.switching import Change, commit, fresh_folder, pending
 from ringtrail.staging import exists
 
 PARTITION_COLUMN = "assessment_id"
+LOAD = "load-"
 
 
 @dataclass(frozen=True)
@@ -42,24 +46,35 @@ def add_missing_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType, root: str | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType, root: str | None = None, changes: Sequence[Change] = ()
+) -> DataFrame:
     """Read with the declared schema; columns that old files lack come back as NULL.
 
     What a commit below `root` (default: the folder around the table) has changed counts from the moment
-    of the commit, whether or not its folders have been moved.
+    of the commit, whether or not its folders have been moved; `changes` count as well, for the step that
+    makes them.
     """
-    base = path
-    added = []
-    for change in pending(spark, root or _parent(path)):
+    base, replaced, added = path, [], []
+    for change in [*pending(spark, root or _parent(path)), *changes]:
         if change.path == path and change.fresh is not None:
-            base = change.fresh
+            base, replaced, added = change.fresh, [], []
         elif change.path.startswith(f"{path}/{PARTITION_COLUMN}="):
-            added.append(change)
+            replaced.append(change)
+        elif change.path.startswith(f"{path}/{LOAD}"):
+            added.append(change.fresh)
+    if schema in schemas.PER_ASSESSMENT:
+        return _read_partitions(spark, base, schema, replaced)
+    # Later loads lie in folders of their own below the first.
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(base, *added)
+
+
+def _read_partitions(spark: SparkSession, base: str, schema: T.StructType, replaced: Sequence[Change]) -> DataFrame:
     reader = spark.read.schema(schema)
-    if not added:
+    if not replaced:
         return reader.parquet(base)
     df = reader.parquet(base) if exists(spark, base) else spark.createDataFrame([], schema)
-    for change in added:
+    for change in replaced:
         value = change.path.rpartition("=")[2]
         df = df.filter(F.col(PARTITION_COLUMN) != value)
         if change.fresh is not None:
@@ -69,6 +84,11 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, root: str |
     return df
 
 
+def load_folder(path: str) -> str:
+    """Where one more load of a table lies."""
+    return f"{path}/{LOAD}{uuid.uuid4().hex}"
+
+
 def _parent(path: str) -> str:
     return path.rstrip("/").rpartition("/")[0]
 

@@ -251,3 +251,53 @@ def test_a_pipeline_configured_for_four_hops(spark, tmp_path):
     edges = sorted(p.table("gold/finding_edge").collect(), key=lambda r: r["hop_order"])
     assert [(e["from_account_key"], e["to_account_key"]) for e in edges] == list(zip(route, route[1:], strict=False))
     assert p.table("silver/assessment_config").where("finding_config.hops = 4").count() == 1
+
+
+def test_appending_a_load_closes_its_rings(spark, tmp_path):
+    """Two loads give the graph, the rings and the published findings of one, with ids that go on."""
+    txns, accounts = fixtures.derived_transactions(spark, SMALL), fixtures.derived_accounts(spark, SMALL)
+    day = F.lit("1996-06-01").cast("timestamp_ntz")
+    # The second load also brings some earlier transfers.
+    late = (F.col("event_timestamp") >= day) | (F.col("from_account") == "7")
+    whole, parts = (Pipeline(spark, str(tmp_path / name), run_ts=RUN_TS) for name in ("whole", "parts"))
+    whole.load_frames(txns, accounts)
+    parts.load_frames(txns.where(~late), accounts)
+    for p in (whole, parts):
+        p.build_silver()
+        p.detect_circular_flow()
+        p.detect_mule_hub()
+    first = {r["finding_id"] for r in parts.table("silver/finding").collect()}
+    middle = parts.table("silver/transfers_to").count() + 40
+    rest = txns.where(late).orderBy("event_timestamp", "from_account", "to_account", "amount_paid")
+    rest = rest.withColumn("k", F.monotonically_increasing_id()).checkpoint()
+    for part in (rest.where(F.col("k") < 40), rest.where(F.col("k") >= 40)):
+        parts.append_frames(part.drop("k"))
+    assert parts.table("silver/transfers_to").count() == whole.table("silver/transfers_to").count() > middle
+
+    def rows(p, name, *columns):
+        return sorted(map(repr, p.table(name).select(*columns).collect()))
+
+    same = {
+        "bronze/transactions_raw": schemas.TRANSACTIONS_RAW.names,
+        "silver/transfers_to": ["from_account_key", "to_account_key", "event_timestamp", "amount", "currency", "payment_format"],
+        "silver/account": ["*"], "silver/party": ["*"], "silver/has_account": ["*"], "silver/financial_institution": ["*"],
+    }
+    for name, columns in same.items():
+        assert rows(parts, name, *columns) == rows(whole, name, *columns), name
+    txn_ids = [r[0] for r in parts.table("silver/transfers_to").select("fin_txn_id").collect()]
+    assert sorted(txn_ids) == list(range(1, len(txn_ids) + 1))
+
+    def rings(p):
+        found = p.table("silver/finding").where(F.col("assessment_id") == K.CIRCULAR_FLOW)
+        return sorted(r["title"] + str(r["sla_trigger_date"]) + str(r["summary_stats"]) for r in found.collect())
+
+    assert rings(parts) == rings(whole) and len(rings(whole)) > 20
+    ids = [r["finding_id"] for r in parts.table("silver/finding").collect()]
+    assert len(ids) == len(set(ids)) and first < set(ids) and min(set(ids) - first) > max(first)
+    parts.publish()
+    edges = parts.table("gold/finding_edge").join(parts.table("silver/finding").where(F.col("assessment_id") == K.CIRCULAR_FLOW), "finding_id")
+    assert edges.count() == 3 * len(rings(whole))
+    # A full refresh starts anew.
+    parts.build_silver()
+    assert not (tmp_path / "parts" / "silver" / "link_summary").exists()
+    assert parts.table("silver/transfers_to").count() == len(txn_ids)
