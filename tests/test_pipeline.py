@@ -14,7 +14,7 @@ from ringtrail.config import ASSESSMENTS, CIRCULAR_FLOW
 from ringtrail.operators import circular_flow, evaluate, exposure, findings, mule_hub
 from ringtrail.plans import catalogue, oracle
 from ringtrail.plans.pipeline import Pipeline
-from ringtrail.sources import fixtures
+from ringtrail.sources import csv_files, fixtures
 from ringtrail.sources.tables import overwrite_table
 
 RUN_TS = datetime(2024, 1, 1)
@@ -149,7 +149,6 @@ def test_every_query_equals_its_sql(spark):
 
 def test_command_line_from_csv_to_reads(spark, done, tmp_path, capfd):
     from ringtrail.__main__ import main
-    from ringtrail.sources import csv_files
 
     data, root = tmp_path / "drop", str(tmp_path / "root")
     options = {"header": True, "timestampNTZFormat": csv_files.TIMESTAMP_FORMAT}
@@ -171,6 +170,13 @@ def test_command_line_from_csv_to_reads(spark, done, tmp_path, capfd):
     with pytest.raises(SystemExit, match="not found"):
         main(["show", "--root", root, "100000"])
     main(["breakdown", "--root", root])
+    before = spark.read.parquet(f"{root}/silver/finding").count()
+    route = ["B90:x", "B90:y", "B91:z", "B90:x"]
+    ring = [raw(hours(k), a, b, 2000) for k, (a, b) in enumerate(zip(route, route[1:], strict=False))]
+    options = {"header": True, "timestampNTZFormat": "yyyy/MM/dd HH:mm"}
+    raw_frame(spark, ring).write.options(**options).csv(str(tmp_path / "next" / csv_files.TRANSACTIONS_FILE))
+    main(["append", "--root", root, "--data", str(tmp_path / "next")])
+    assert spark.read.parquet(f"{root}/silver/finding").count() == before + 1
     assert "MULE_HUB" in capfd.readouterr().out
     # A finding with very many entities is shown whole.
     wide = again.table("gold/finding_entity").filter("finding_id = 1").limit(1)
