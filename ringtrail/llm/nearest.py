@@ -32,6 +32,8 @@ SAMPLE = 200
 RECALL = 0.96
 # Rows of a cell compared in one task; larger cells are cut by a hash of the id.
 BLOCK = 4096
+# Pairs whose exact distances are formed at once: in a tight cluster nearly all of a cell can be needed.
+PAIRS = 1 << 16
 _TURN = 1000
 
 
@@ -115,7 +117,8 @@ def nearest(x: np.ndarray, q: np.ndarray, probed: np.ndarray | None, keep: int)
     else:
         close = nearest_squares(x, q, probed, keep)
     a, b = np.nonzero(close)
-    return a, b, distances(x[b], q[a])
+    parts = [slice(begin, begin + PAIRS) for begin in range(0, len(a), PAIRS)]
+    return a, b, np.concatenate([np.zeros(0), *[distances(x[b[part]], q[a[part]]) for part in parts]])
 
 
 def nearest_squares(x: np.ndarray, q: np.ndarray, probed: np.ndarray | None, keep: int) -> np.ndarray:
