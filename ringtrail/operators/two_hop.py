@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringtrail.config import Assessment
@@ -24,7 +24,8 @@ STRETCH = 3600
 
 def _arrivals_before(events: DataFrame, key: Sequence[str], span: timedelta, stage: Staging, name: str) -> DataFrame:
     """(key, arrivals, departures, paths) from `events` (key, ts, arrives, departs), each flag 0 or 1."""
-    counted = stage(events.groupBy(*key, "ts").agg(F.sum("arrives").alias("in"), F.sum("departs").alias("out")), f"{name}-events")
+    counted = events.na.drop(subset=list(key)).groupBy(*key, "ts").agg(F.sum("arrives").alias("in"), F.sum("departs").alias("out"))
+    counted = stage(counted, f"{name}-events")
     zero = F.lit(0).cast("long")
     # At one time the lower end of a span comes first, then arrivals, then departures.
     points = counted.select(
@@ -39,16 +40,26 @@ def _arrivals_before(events: DataFrame, key: Sequence[str], span: timedelta, sta
     ).where("adds <> 0 OR asks <> 0")
     start = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
     points = points.withColumn("stretch", F.floor(F.timestamp_diff("SECOND", start, F.col("ts")) / F.lit(STRETCH)))
-    earlier = Window.partitionBy(*key).orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    totals = points.groupBy(*key, "stretch").agg(F.sum("adds").alias("adds"))
-    totals = totals.select(*key, "stretch", F.coalesce(F.sum("adds").over(earlier), zero).alias("before"))
+    # A stretch answers for what lies inside it, and says how often it asks for what came before.
     inside = Window.partitionBy(*key, "stretch").orderBy("ts", "turn").rowsBetween(Window.unboundedPreceding, 0)
-    seen = points.withColumn("seen", F.sum("adds").over(inside)).where("asks <> 0")
-    answers = seen.join(totals, [*key, "stretch"])
-    product = F.col("asks").cast("decimal(19,0)") * (F.col("before") + F.col("seen")).cast("decimal(19,0)")
-    paths = answers.groupBy(*key).agg(F.sum(product).alias("paths"))
-    both = counted.groupBy(*key).agg(F.sum("in").alias("arrivals"), F.sum("out").alias("departures"))
-    return both.join(paths, key).where("arrivals > 0 AND paths > 0")
+    asked = F.when(F.col("ts").isNotNull(), F.col("asks")).otherwise(zero)
+
+    def product(one: Column, other: Column) -> Column:
+        return one.cast("decimal(19,0)") * other.cast("decimal(19,0)")
+
+    stretches = points.withColumn("seen", F.sum("adds").over(inside)).groupBy(*key, "stretch").agg(
+        F.sum("adds").alias("adds"),
+        F.sum(asked).alias("asks"),
+        F.sum(F.when(F.col("turn") == 2, F.col("asks"))).alias("departs"),
+        F.sum(product(asked, F.col("seen"))).alias("paths"),
+    )
+    earlier = Window.partitionBy(*key).orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    stretches = stretches.withColumn("before", F.coalesce(F.sum("adds").over(earlier), zero))
+    return stretches.groupBy(*key).agg(
+        F.sum("adds").alias("arrivals"),
+        F.coalesce(F.sum("departs"), zero).alias("departures"),
+        F.sum((F.col("paths") + product(F.col("asks"), F.col("before"))).cast("decimal(38,0)")).alias("paths"),
+    ).where("arrivals > 0 AND paths > 0")
 
 
 def two_hop_path_counts(hops: DataFrame, cfg: Assessment, stage: Staging) -> DataFrame:

@@ -3,8 +3,10 @@
 from pathlib import Path
 
 import pyarrow.parquet as pq
-from conftest import SMALL
+from conftest import SMALL, hours, transfer, transfers_frame
 
+from ringtrail import config
+from ringtrail.operators import circular_flow, cyclic_core, two_hop
 from ringtrail.plans.pipeline import Pipeline
 from ringtrail.sources import csv_files, fixtures
 
@@ -23,3 +25,10 @@ def test_drops_and_tables_are_compressed(spark, tmp_path):
     assert sum(f.stat().st_size for f in drop) < 50 * rows  # some 82 bytes a row as plain text
     tables = _files(tmp_path / "tables" / "bronze", "*.parquet")
     assert tables and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in tables} == {"ZSTD"}
+
+
+def test_two_hop_paths_do_not_look_their_totals_up(spark, stage, capsys):
+    rows = [transfer(k, f"B:{k % 5}", f"B:{(k * 3 + 1) % 5}", hours(k), 2000) for k in range(200)]
+    hops = circular_flow.ring_transfers(transfers_frame(spark, rows), config.CIRCULAR_FLOW)
+    two_hop.two_hop_path_counts(hops, config.CIRCULAR_FLOW, stage).explain()
+    assert not [line for line in capsys.readouterr().out.splitlines() if "Join" in line and "stretch" in line]
