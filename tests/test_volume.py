@@ -32,3 +32,26 @@ def test_two_hop_paths_do_not_look_their_totals_up(spark, stage, capsys):
     hops = circular_flow.ring_transfers(transfers_frame(spark, rows), config.CIRCULAR_FLOW)
     two_hop.two_hop_path_counts(hops, config.CIRCULAR_FLOW, stage).explain()
     assert not [line for line in capsys.readouterr().out.splitlines() if "Join" in line and "stretch" in line]
+
+
+class Named:
+    """A staging that knows what was stored."""
+
+    def __init__(self, stage):
+        self.stage, self.frames = stage, []
+
+    def __call__(self, df, name):
+        self.frames.append((name, df.columns))
+        return self.stage(df, name)
+
+    def of(self, name):
+        return [columns for n, columns in self.frames if n == name]
+
+
+def test_trimming_stops_when_it_does_not_pay(spark, stage):
+    """Twenty cycles of four links each: nothing can be trimmed."""
+    pairs = [(f"n{k}-{i}", f"n{k}-{(i + 1) % 4}") for k in range(20) for i in range(4)]
+    links = spark.createDataFrame([("Euro", 0, a, b) for a, b in pairs], "currency string, w bigint, src string, dst string")
+    named = Named(stage)
+    assert cyclic_core.cyclic_core(stage(links, "links"), 4, named).count() == 80
+    assert len(named.of("core")) == 1
