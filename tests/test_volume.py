@@ -55,3 +55,24 @@ def test_trimming_stops_when_it_does_not_pay(spark, stage):
     named = Named(stage)
     assert cyclic_core.cyclic_core(stage(links, "links"), 4, named).count() == 80
     assert len(named.of("core")) == 1
+
+
+def _cycles_of(spark, stage, times):
+    rows = [transfer(k, f"B:{k}", f"B:{(k + 1) % 4}", hours(t), 2000) for k, t in enumerate(times)]
+    cfg = config.rings_of(4)
+    links = circular_flow.as_links(circular_flow.ring_transfers(transfers_frame(spark, rows), cfg))
+    hung = stage(circular_flow.hung_links(links, stage(circular_flow.activity(links), "activity"), keep_busy=True), "hung")
+    return circular_flow.possible_cycles(hung, cfg, stage, peel=False)
+
+
+def test_link_cycles_out_of_order_end_early(spark, stage):
+    """Around a ring the time falls once; links that must fall twice hold none."""
+    assert _cycles_of(spark, stage, [3, 4, 1, 2]).select("v1").distinct().count() == 1
+    assert _cycles_of(spark, stage, [3, 1, 4, 2]).isEmpty()
+
+
+def test_half_paths_carry_no_ranges(spark, stage):
+    named = Named(stage)
+    found = _cycles_of(spark, named, [1, 2, 3, 4])
+    assert {"r1", "r2", "r3", "r4"} <= set(found.columns) and not found.isEmpty()
+    assert named.of("link-cycles") == [["currency", "w", "v1", "v2", "v3", "v4"]]
