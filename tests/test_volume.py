@@ -76,3 +76,17 @@ def test_half_paths_carry_no_ranges(spark, stage):
     found = _cycles_of(spark, named, [1, 2, 3, 4])
     assert {"r1", "r2", "r3", "r4"} <= set(found.columns) and not found.isEmpty()
     assert named.of("link-cycles") == [["currency", "w", "v1", "v2", "v3", "v4"]]
+
+
+def test_links_are_peeled_where_half_paths_are_many(spark, stage):
+    """A ring of four is not peeled; forty payers of each of forty accounts that pay twenty others are."""
+    few = [(f"a{k}", f"a{(k + 1) % 4}") for k in range(4)]
+    many = [(f"p{k}", f"m{j}") for k in range(40) for j in range(40)] + [(f"m{j}", f"z{i}") for j in range(40) for i in range(20)]
+    for pairs, peeled in ((few, 0), (many, 1)):
+        rows = [("Euro", 0, a, b, not a.startswith("p") and b == "a0") for a, b in pairs]
+        hung = spark.createDataFrame(rows, "currency string, w bigint, src string, dst string, hangs_on_src boolean")
+        assert (circular_flow.paths_per_link(hung) > circular_flow.PATHS_PER_LINK) == bool(peeled)
+    named = Named(stage)
+    rows = [transfer(k, f"B:{k}", f"B:{(k + 1) % 4}", hours(k), 2000) for k in range(4)]
+    assert circular_flow.cycles(transfers_frame(spark, rows), config.rings_of(4), named).count() == 1
+    assert not named.of("core-links")
