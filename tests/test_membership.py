@@ -1,10 +1,14 @@
 """Rows without a partner stay out of shuffles; the results do not change."""
 
-from conftest import hours, raw, raw_frame
+import random
+
+from conftest import hours, raw, raw_frame, transfer, transfers_frame
 from pyspark.sql import functions as F
+from test_circular_flow import brute_force
 
+from ringtrail.config import CIRCULAR_FLOW
 from ringtrail.functions import membership
-from ringtrail.operators import exposure, graph
+from ringtrail.operators import appended_rings, circular_flow, exposure, graph
 
 
 class Named:
@@ -57,3 +61,35 @@ def test_transfers_without_a_labelled_row_are_not_shuffled(spark, stage):
     found = exposure.labeled_edges(transfers, txns, named)
     assert "key-cells" in named.frames
     assert {r["from_account_key"] for r in found.collect()} == {f"B:{n}" for n in range(0, 1000, 100)}
+
+
+def _random_transfers(seed):
+    rng = random.Random(seed)
+    return [
+        transfer(n, f"B:{rng.randrange(12)}", f"B:{rng.randrange(12)}", hours(rng.randrange(1200)), rng.randrange(900, 3000))
+        for n in range(1, 400)
+    ]
+
+
+def test_rings_come_from_links_that_may_close(spark, stage):
+    rows = _random_transfers(3)
+    named = Named(stage)
+    rings = circular_flow.cycles(stage(transfers_frame(spark, rows), "transfers"), CIRCULAR_FLOW, named)
+    found = {(r["hop1_id"], r["hop2_id"], r["hop3_id"]) for r in rings.collect()}
+    assert found == brute_force(rows) and found
+    # Links of active accounts, links that close an open pair, transfers of a search.
+    assert named.frames.count("key-cells") == 3 and "open-pairs" in named.frames
+
+
+def test_a_large_second_load_is_not_cut_to_its_surroundings(spark, stage):
+    """New transfers are not summed up per pair, and links not searched for a new one where most are new."""
+    rows = _random_transfers(4)
+    for new_from, cut in ((100, False), (380, True)):
+        named = Named(stage)
+        old, new = (stage(transfers_frame(spark, part), "load") for part in (rows[:new_from], rows[new_from:]))
+        stored = stage(circular_flow.link_summaries(circular_flow.ring_transfers(old, CIRCULAR_FLOW)), "summaries")
+        rings = appended_rings.cycles_of_append(stored, old, new, new_from, CIRCULAR_FLOW, named)
+        found = {(r["hop1_id"], r["hop2_id"], r["hop3_id"]) for r in rings.collect()}
+        assert found == {ids for ids in brute_force(rows) if max(ids) > new_from} and found
+        assert ("links-around" in named.frames) is cut
+        assert "new-summaries" not in named.frames
