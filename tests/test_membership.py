@@ -8,7 +8,7 @@ from test_circular_flow import brute_force
 
 from ringtrail.config import CIRCULAR_FLOW
 from ringtrail.functions import membership
-from ringtrail.operators import appended_rings, circular_flow, exposure, graph
+from ringtrail.operators import appended_rings, circular_flow, exposure, graph, mule_hub
 
 
 class Named:
@@ -93,3 +93,14 @@ def test_a_large_second_load_is_not_cut_to_its_surroundings(spark, stage):
         assert found == {ids for ids in brute_force(rows) if max(ids) > new_from} and found
         assert ("links-around" in named.frames) is cut
         assert "new-summaries" not in named.frames
+
+
+def test_currencies_are_counted_before_the_hubs_are_met(spark, stage):
+    """Ties go to the smaller name, and both sides of a transfer to oneself count."""
+    rows = [transfer(n, "B:hub", f"B:{n}", hours(n), 10, "Euro") for n in range(3)]
+    rows += [transfer(9 + n, "B:hub", "B:hub", hours(n), 10, "Dollar") for n in range(2)]
+    rows += [transfer(20 + n, f"B:{n}", "B:hub", hours(n), 10, "Euro") for n in range(1)]
+    hub = stage(spark.createDataFrame([(7, "B:hub")], "finding_id bigint, account_key string"), "hubs")
+    named = Named(stage)
+    found = mule_hub.dominant_currency(hub, transfers_frame(spark, rows), named)
+    assert [tuple(r) for r in found.collect()] == [(7, "Dollar")] and "key-cells" in named.frames
