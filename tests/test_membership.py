@@ -104,3 +104,21 @@ def test_currencies_are_counted_before_the_hubs_are_met(spark, stage):
     named = Named(stage)
     found = mule_hub.dominant_currency(hub, transfers_frame(spark, rows), named)
     assert [tuple(r) for r in found.collect()] == [(7, "Dollar")] and "key-cells" in named.frames
+
+
+def test_activity_is_the_same_for_busy_and_quiet_accounts(spark, stage, monkeypatch, capsys):
+    """Quiet accounts meet in one shuffle, whatever the share from which an account counts as busy."""
+    rows = _random_transfers(5) + [transfer(1000 + n, "B:0", f"B:{n % 40}", hours(n), 2000) for n in range(400)]
+    links = circular_flow.as_links(circular_flow.ring_transfers(stage(transfers_frame(spark, rows), "transfers"), CIRCULAR_FLOW))
+    found = {}
+    for share in (2, 4, 1000):
+        monkeypatch.setattr(circular_flow, "BUSY_SHARE", share)
+        found[share] = sorted(map(repr, circular_flow.activity(links).collect()))
+    assert found[2] == found[4] == found[1000] and found[2]
+    monkeypatch.setattr(circular_flow, "BUSY_SHARE", 4)
+    ends = links.select(F.xxhash64("currency", "src").alias("acct")).unionByName(links.select(F.xxhash64("currency", "dst").alias("acct")))
+    assert circular_flow.busy_accounts(ends) == [spark.range(1).select(F.xxhash64(F.lit("Euro"), F.lit("B:0"))).first()[0]]
+    assert circular_flow.busy_accounts(ends.filter("false")) == []
+    monkeypatch.setattr(circular_flow, "BUSY_SHARE", 2)
+    circular_flow.activity(links).explain()
+    assert capsys.readouterr().out.count("Exchange") == 1
