@@ -9,6 +9,7 @@ Symbol 0 begins a text and fills chunks, symbol 1 ends it.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 
@@ -76,6 +77,13 @@ class Chunks:
 _query, _key = np.arange(CHUNK)[:, None] + CHUNK, np.arange(2 * CHUNK)[None, :]
 _distance = np.clip(_query - _key, 0, 2 * CHUNK - 1)
 _causal = _key <= _query
+_ones = np.ones(2 * CHUNK, np.float32)
+
+
+def _over_rows(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a.T @ b for many rows, a multiple of CHUNK: in blocks of them, which is faster for few columns."""
+    a, b = (x.reshape(CHUNK, -1, x.shape[1]) for x in (a, b))
+    return np.matmul(a.transpose(0, 2, 1), b).sum(axis=0)
 
 
 class Model:
@@ -83,6 +91,8 @@ class Model:
 
     def __init__(self, counts: np.ndarray, seed: int = 1):
         """counts: of every symbol in the training texts; they set the first guess of the output."""
+        # glibc keeps freed memory up to twice the largest block freed: later steps then need no new pages.
+        np.empty(31 << 20, np.uint8)
         self.symbols = n = len(counts)
         self.members = m = max(2, int(np.ceil(np.sqrt(n))))
         self.classes = k = (n + m - 1) // m
@@ -130,32 +140,39 @@ class Model:
     def _attend(self, rows: Chunks):
         p, c = self.p, len(rows.inputs)
         h = p["embed"].take(rows.inputs.ravel(), axis=0)
-        qkv = h @ p["qkv"]
-        q, k, v = (qkv[:, n * WIDTH : (n + 1) * WIDTH].reshape(c, CHUNK, WIDTH) for n in range(3))
-        q = q * np.float32(1 / np.sqrt(WIDTH))
-        keys, values = np.empty((c, 2 * CHUNK, WIDTH), np.float32), np.empty((c, 2 * CHUNK, WIDTH), np.float32)
-        for both, own in ((keys, k), (values, v)):
-            both[:, CHUNK:] = own
-            both[1:, :CHUNK] = own[:-1]
-            both[:1, :CHUNK] = 0
+        mixed = p["qkv"].copy()
+        mixed[:, :WIDTH] *= np.float32(1 / np.sqrt(WIDTH))
+        qkv = (h @ mixed).reshape(c, CHUNK, 3 * WIDTH)
+        q = qkv[:, :, :WIDTH]
+        # Keys and values of the chunk before, then of the own one.
+        both = np.empty((c, 2 * CHUNK, 2 * WIDTH), np.float32)
+        both[:, CHUNK:] = qkv[:, :, WIDTH:]
+        both[1:, :CHUNK] = qkv[:-1, :, WIDTH:]
+        both[:1, :CHUNK] = 0
+        keys, values = both[:, :, :WIDTH], both[:, :, WIDTH:]
         s = np.matmul(q, keys.transpose(0, 2, 1))
-        s += np.where(_causal, p["bias"][_distance], np.float32(-100))
-        e = soft_exp(s)
+        s += np.where(_causal, p["bias"][_distance], np.float32(-100)) + ZERO_POWER
+        s *= ONE
+        e = of_bits(s)
         e[~rows.follows, :, :CHUNK] = 0
-        total = e.sum(axis=2, keepdims=True)
-        o = (np.matmul(e, values) / total).reshape(-1, WIDTH)
-        g = h + o @ p["out"]
+        total = (e.reshape(-1, 2 * CHUNK) @ _ones).reshape(c, CHUNK, 1)
+        o = np.matmul(e, values)
+        o /= total
+        o = o.reshape(-1, WIDTH)
+        g = o @ p["out"]
+        g += h
         u = g @ p["up"]
         u += p["up_bias"]
         np.maximum(u, 0, out=u)
-        z = g + u @ p["down"]
+        z = u @ p["down"]
+        z += g
         return h, q, keys, values, e, total, o, g, u, z
 
-    def _by_class(self, group: np.ndarray):
-        order = np.argsort(group, kind="stable")
-        bounds = np.searchsorted(group[order], np.arange(self.classes + 1))
-        for k in np.flatnonzero(np.diff(bounds)).tolist():
-            yield k, order[bounds[k] : bounds[k + 1]]
+    def _by_class(self, group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+        """An order by class, and the places of each class that occurs in it."""
+        order = np.argsort(group.astype(np.uint16), kind="stable")  # 16 bits are sorted by radix
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(group, minlength=self.classes))]).tolist()
+        return order, [(k, slice(a, b)) for k, (a, b) in enumerate(pairwise(bounds)) if a < b]
 
     def log10(self, rows: Chunks, batch: int = 512) -> np.ndarray:
         """log10 probability of each row's targets, in batches of rows."""
@@ -177,15 +194,13 @@ class Model:
             group, member = np.divmod(targets, self.members)
             e = of_bits(z @ to_class)
             chance = e.ravel().take(np.arange(len(targets)) * self.classes + group) / (e @ ones_class)
-            order = np.argsort(group, kind="stable")
+            order, classes = self._by_class(group)
             z, member = z.take(order, axis=0), member.take(order)
-            bounds = np.searchsorted(group.take(order), np.arange(self.classes + 1))
-            inner = np.empty(len(targets), np.float32)
-            for k in np.flatnonzero(np.diff(bounds)).tolist():
-                at = slice(bounds[k], bounds[k + 1])
-                e = of_bits(z[at] @ to_symbol[k])
-                here = e.ravel().take(np.arange(len(e)) * self.members + member[at])
-                inner[at] = here / (e @ ones_symbol)
+            e = np.empty((len(targets), self.members), np.float32)
+            for k, at in classes:
+                np.matmul(z[at], to_symbol[k], out=e[at])
+            e = of_bits(e)
+            inner = e.ravel().take(np.arange(len(targets)) * self.members + member) / (e @ ones_symbol)
             chance[order] *= inner
             logs = np.log10(np.maximum(chance, np.float32(1e-37)), dtype=np.float64)
             logs[targets == BEGIN] = 0.0
@@ -194,65 +209,76 @@ class Model:
 
     # --- gradients ---
 
-    def _softmax_gradient(self, logits: np.ndarray, target: np.ndarray):
-        """(loss in nats, its gradient by the logits) of -ln of the share of soft_exp."""
-        e = soft_exp(logits)
-        total = e.sum(axis=1, keepdims=True)
-        at = np.arange(len(target))
-        hit = e[at, target]
+    @staticmethod
+    def _softmax_gradient(bits: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(loss in nats, its weighted gradient by the logits) of -ln of the share of of_bits; changes its argument."""
+        e = of_bits(bits)
+        total = e @ np.ones(e.shape[1], np.float32)
+        at = np.arange(len(e)) * e.shape[1] + target
+        hit = e.ravel()[at]
         slope = soft_slope(e)
-        grad = slope / total
-        grad[at, target] -= slope[at, target] / hit
-        return -np.log(hit / total[:, 0]), grad
+        slope *= (weight / total)[:, None]
+        slope.ravel()[at] *= 1 - total / hit
+        return np.log(total / hit), slope
 
     def gradient(self, rows: Chunks) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss per target and the gradient of every parameter."""
         p = self.p
         h, q, keys, values, e, total, o, g, u, z = self._attend(rows)
-        a = e / total
         c = len(rows.inputs)
         targets = rows.targets.ravel()
-        real = (targets != BEGIN).astype(np.float32)
-        scale = (real / max(real.sum(), 1))[:, None].astype(np.float32)
-        group, member = targets // self.members, targets % self.members
+        group, member = np.divmod(targets, self.members)
+        # The output in the order of the classes, so that each has one slice.
+        order, classes = self._by_class(group)
+        real = (targets.take(order) != BEGIN).astype(np.float32)
+        weight = real / np.float32(max(real.sum(), 1))
+        z = np.concatenate([z, np.ones((len(z), 1), np.float32)], axis=1).take(order, axis=0)
         d = {}
-        loss, dl = self._softmax_gradient(z @ p["to_class"] + p["class_bias"], group)
-        dl *= scale
-        d["to_class"], d["class_bias"] = z.T @ dl, dl.sum(axis=0)
-        dz = dl @ p["to_class"].T
-        d["to_symbol"], d["symbol_bias"] = np.zeros_like(p["to_symbol"]), np.zeros_like(p["symbol_bias"])
-        for k, at in self._by_class(group):
-            zk = z[at]
-            more, dl = self._softmax_gradient(zk @ p["to_symbol"][k] + p["symbol_bias"][k], member[at])
-            loss[at] += more
-            dl *= scale[at]
-            d["to_symbol"][k], d["symbol_bias"][k] = zk.T @ dl, dl.sum(axis=0)
-            dz[at] += dl @ p["to_symbol"][k].T
-        d["down"] = u.T @ dz
+        loss, dl = self._softmax_gradient(z @ as_bits(p["to_class"], p["class_bias"]), group.take(order), weight)
+        both = _over_rows(z, dl)
+        d["to_class"], d["class_bias"] = both[:-1], both[-1]
+        ordered = dl @ p["to_class"].T
+        to_symbol = as_bits(p["to_symbol"], p["symbol_bias"])
+        bits = np.empty((len(z), self.members), np.float32)
+        for k, at in classes:
+            np.matmul(z[at], to_symbol[k], out=bits[at])
+        more, dl = self._softmax_gradient(bits, member.take(order), weight)
+        loss += more
+        both, inner = np.zeros_like(to_symbol), np.empty_like(ordered)
+        back = p["to_symbol"].transpose(0, 2, 1)
+        for k, at in classes:
+            np.matmul(z[at].T, dl[at], out=both[k])
+            np.matmul(dl[at], back[k], out=inner[at])
+        d["to_symbol"], d["symbol_bias"] = both[:, :-1], both[:, -1]
+        ordered += inner
+        dz = np.empty_like(ordered)
+        dz[order] = ordered
+        d["down"] = _over_rows(u, dz)
         du = (dz @ p["down"].T) * (u > 0)
-        d["up"], d["up_bias"] = g.T @ du, du.sum(axis=0)
+        d["up"], d["up_bias"] = _over_rows(g, du), du.sum(axis=0)
         dg = dz + du @ p["up"].T
-        d["out"] = o.T @ dg
+        d["out"] = _over_rows(o, dg)
         do = (dg @ p["out"].T).reshape(c, CHUNK, WIDTH)
-        da = np.matmul(do, values.transpose(0, 2, 1))
-        # a = e / sum(e), e = soft_exp(s)
-        ds = (da - (a * da).sum(axis=2, keepdims=True)) * soft_slope(e) / total
+        # With a = e / total, e = soft_exp(s): ds = (da - sum(a * da)) * slope(e) / total, and sum(a * da) = o . do.
+        do /= total
+        ds = np.matmul(do, values.transpose(0, 2, 1))
+        ds -= ((do.reshape(-1, WIDTH) * o) @ np.ones(WIDTH, np.float32)).reshape(c, CHUNK, 1)
+        ds *= soft_slope(e)
         ds *= _causal
         d["bias"] = np.bincount(_distance.ravel(), ds.sum(axis=0).ravel(), 2 * CHUNK).astype(np.float32)
-        dvalues = np.matmul(a.transpose(0, 2, 1), do)
-        dq = np.matmul(ds, keys) * np.float32(1 / np.sqrt(WIDTH))
-        dkeys = np.matmul(ds.transpose(0, 2, 1), q)
+        back = np.empty((c, 2 * CHUNK, 2 * WIDTH), np.float32)
+        np.matmul(ds.transpose(0, 2, 1), q, out=back[:, :, :WIDTH])
+        np.matmul(e.transpose(0, 2, 1), do, out=back[:, :, WIDTH:])
         dqkv = np.empty((c, CHUNK, 3 * WIDTH), np.float32)
-        dqkv[:, :, :WIDTH] = dq
-        for n, both in ((1, dkeys), (2, dvalues)):
-            own = dqkv[:, :, n * WIDTH : (n + 1) * WIDTH]
-            own[:] = both[:, CHUNK:]
-            own[:-1] += both[1:, :CHUNK]
+        np.matmul(ds, keys, out=dqkv[:, :, :WIDTH])
+        dqkv[:, :, :WIDTH] *= np.float32(1 / np.sqrt(WIDTH))
+        dqkv[:, :, WIDTH:] = back[:, CHUNK:]
+        dqkv[:-1, :, WIDTH:] += back[1:, :CHUNK]
         dqkv = dqkv.reshape(-1, 3 * WIDTH)
-        d["qkv"] = h.T @ dqkv
+        d["qkv"] = _over_rows(h, dqkv)
         dh = dg + dqkv @ p["qkv"].T
         ids = rows.inputs.ravel()
-        order = np.argsort(ids, kind="stable")
+        order = np.argsort(ids.astype(np.uint16) if self.symbols <= 1 << 16 else ids, kind="stable")
         starts = np.flatnonzero(np.concatenate([[True], np.diff(ids[order]) > 0]))
         d["embed"] = np.zeros_like(p["embed"])
         d["embed"][ids[order][starts]] = np.add.reduceat(dh[order], starts, axis=0)

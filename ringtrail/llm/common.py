@@ -84,6 +84,11 @@ _RISKY = re.compile(r" (?:(?=\s|\Z)|(?<=\s )|(?<=\A ))")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
+def pieces_apart(text: str) -> bool:
+    """Whether every space stands alone between other characters: no byte-level pre-token then crosses one from the left."""
+    return not _RISKY.search(text, 1 if text.startswith(" ") and not text[1:2].isspace() else 0)
+
+
 def chunks_of(text: str) -> list[str]:
     """Pieces at whose borders no byte-level pre-token crosses: before single spaces between other characters.
 

@@ -1,16 +1,16 @@
 """Scores of whole texts by a word base line and by a causal self-attention model.
 
 Documents are first written in numbered blocks, which every later pass reads: what a block holds does
-not depend on how many executors there are when. Words of the training documents are counted over the
-whole corpus, per block first. The model reads subword ids of a given vocabulary; rare ids are spelt in
-bytes. Its weights are fitted in rounds, in which every training document is seen once: trainers run over
+not depend on how many executors there are when. Texts are cut into words and these into subword ids of a
+given vocabulary there and only there: a block holds the numbers of its distinct words, and of each of these
+its ids. Words of the training documents are counted over the whole corpus, per block first. The model
+reads the ids; rare ones are spelt in bytes. Its weights are fitted in rounds, in which every training document is seen once: trainers run over
 their documents side by side, and their weights are averaged.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -18,6 +18,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ringtrail.llm.attention_lm import BEGIN, END, Adam, Chunks, Model
 from ringtrail.llm.byte_bpe import read_ranks
-from ringtrail.llm.common import ChunkTable, get_file, put_file, remainder
+from ringtrail.llm.common import get_file, pieces_apart, put_file, ragged, remainder
 from ringtrail.staging import Staging
 
 FOLDS, HELD_OUT = 5, 1
@@ -40,54 +41,88 @@ BLOCKS_PER_TRAINER = 8
 BATCH = 256  # rows of CHUNK symbols
 RATE = 6e-3
 SLICES = 16
-# Pieces of text whose symbols a worker remembers.
-PIECES = 250_000
+# Words that are encoded in one call.
+WORDS = 2_000
 FAN_IN = 64
 
-_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
+# --- counting words over the corpus ------------------------------------------------------------
 
-def words_of(text: str | None) -> list[bytes]:
-    """Lower-cased (A-Z) words between ASCII white space."""
-    return (text or "").encode().translate(_LOWER).split()
 
+def numbered_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(distinct lower-cased (A-Z) words between ASCII white space, the numbers of all words in these, words per text)."""
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    sizes = cut.value_lengths().to_numpy()
+    coded = cut.flatten().dictionary_encode()
+    words, names = coded.indices.to_numpy(), coded.dictionary
+    # White space at either end leaves an empty piece.
+    empty = names.index("").as_py()
+    if empty >= 0:
+        stays = words != empty
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[stays], minlength=len(sizes))
+        words = words[stays]
+        words = words - (words > empty)
+        names = pa.concat_arrays([names.slice(0, empty), names.slice(empty + 1)])
+    return names, words.astype(np.int32), sizes.astype(np.int64)
+
+
+def _packed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return zstandard.ZstdCompressor(level=1).compress(sink.getvalue())
+
+
+def _unpacked(path: str) -> list[pa.Array]:
+    with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(get_file(path))) as stream:
+        return [c.combine_chunks() for c in stream.read_all().columns]
+
+
+def _list_array(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
 
-# --- counting words over the corpus ------------------------------------------------------------
+
+@dataclass
+class Lexicon:
+    """The distinct words of a block, how often its training documents have them, and their subword ids."""
+
+    names: pa.Array
+    n: np.ndarray
+    ids: np.ndarray
+    sizes: np.ndarray
+
+    @classmethod
+    def load(cls, path: str) -> Lexicon:
+        names, n, ids = _unpacked(f"{path}.words")
+        return cls(names, n.to_numpy(), ids.flatten().to_numpy(), ids.value_lengths().to_numpy().astype(np.int64))
 
 
 @dataclass
 class Block:
-    """Some documents. Texts are cut into words when these are needed, not kept as words."""
+    """Some documents as numbers of the words of their lexicon, one document after another."""
 
     ids: pa.Array
-    held: list[bool]
-    part: list[int]
-    texts: list[str | None]
+    held: np.ndarray
+    part: np.ndarray
+    sizes: np.ndarray
+    words: np.ndarray
 
     @classmethod
     def load(cls, path: str) -> Block:
-        with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(get_file(path))) as stream:
-            table = stream.read_all()
-        ids, held, part, texts = (c.combine_chunks() for c in table.columns)
-        return cls(ids, held.to_pylist(), part.to_pylist(), texts.to_pylist())
-
-    def counts(self) -> tuple[list[bytes], np.ndarray]:
-        """Every distinct word in order of appearance, training documents first, and how often these have it."""
-        seen: Counter[bytes] = Counter()
-        for held, text in zip(self.held, self.texts, strict=True):
-            if not held:
-                seen.update(words_of(text))
-        for held, text in zip(self.held, self.texts, strict=True):
-            if held:
-                for w in words_of(text):
-                    if w not in seen:
-                        seen[w] = 0
-        return list(seen), np.fromiter(seen.values(), np.int64, len(seen))
-
-
-def write_blocks(rows: DataFrame, folder: str) -> DataFrame:
-    """Writes the rows (_id, held, part, _text) as blocks; (block, path, trained) of each, trained being its
-    number of training documents. Evaluate once.
+        ids, held, part, words = _unpacked(path)
+        sizes = words.value_lengths().to_numpy().astype(np.int64)
+        return cls(ids, held.to_numpy(zero_copy_only=False), part.to_numpy(), sizes, words.flatten().to_numpy())
+
+    def of(self, documents: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words of some documents, one after another, and how many each has."""
+        begin = np.cumsum(self.sizes) - self.sizes
+        return ragged(self.words, begin[documents], self.sizes[documents]), self.sizes[documents]
+
+
+def write_blocks(rows: DataFrame, folder: str, vocabulary: str, pattern: str) -> DataFrame:
+    """Writes the rows (_id, held, part, _text) as blocks and their lexicons; (block, path, trained) of each,
+    trained being its number of training documents. Evaluate once.
 
     A repeated task writes files of its own, and only those of the task that counts are named.
     """
@@ -100,20 +135,25 @@ def write_blocks(rows: DataFrame, folder: str) -> DataFrame:
 
         def close() -> pa.RecordBatch:
             nonlocal number, kept, size
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, kept[0].schema) as out:
-                for batch in kept:
-                    out.write_batch(batch)
+            ids, held, part, texts = (pa.concat_arrays([b.column(k) for b in kept]) for k in range(4))
+            kept.clear()
+            names, words, sizes = numbered_words(texts)
+            train = ~held.to_numpy(zero_copy_only=False)
+            n = np.bincount(words[np.repeat(train, sizes)], minlength=len(names)).astype(np.int64)
+            spelt = _list_array(*encode_words(names.to_pylist(), vocabulary, pattern))
             block = (task.partitionId() << 20) + number
             path = f"{folder}/{block}-{attempt}.block"
-            put_file(path, zstandard.ZstdCompressor(level=1).compress(sink.getvalue()), str(attempt))
-            trained = sum(len(b) - sum(b.column(1).to_pylist()) for b in kept)
+            lexicon = pa.table({"word": names, "n": pa.array(n), "ids": spelt})
+            put_file(f"{path}.words", _packed(lexicon), str(attempt))
+            documents = pa.table({"id": ids, "held": held, "part": part, "words": _list_array(words, sizes)})
+            put_file(path, _packed(documents), str(attempt))
+            trained = int(train.sum())
             number, kept, size = number + 1, [], 0
             return pa.RecordBatch.from_pydict({"block": [block], "path": [path], "trained": [trained]})
 
         for batch in batches:
             begin = 0
-            lengths = np.array([len(t or "") for t in batch.column(3).to_pylist()], np.int64)
+            lengths = pc.utf8_length(batch.column(3)).fill_null(0).to_numpy().astype(np.int64)
             ends = np.cumsum(lengths)
             while begin < len(batch):
                 room = BLOCK_BYTES - size + (ends[begin - 1] if begin else 0)
@@ -134,27 +174,26 @@ def spread(blocks: DataFrame, tasks: int) -> DataFrame:
     return blocks.select("block", "path").repartitionByRange(max(1, tasks), "block").sortWithinPartitions("block")
 
 
-def _loaded(batches) -> Iterator[tuple[int, Block]]:
+def _listed(batches) -> Iterator[tuple[int, str]]:
     for batch in batches:
-        for number, path in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            yield number, Block.load(path)
+        yield from zip(*[c.to_pylist() for c in batch.columns], strict=True)
 
 
 def block_words(blocks: DataFrame) -> DataFrame:
     """(word, block, pos, n): the distinct words of every block and their training counts in it."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        for number, block in _loaded(batches):
-            words, counts = block.counts()
-            for begin in range(0, len(words), 50_000):
-                part = [w.decode() for w in words[begin : begin + 50_000]]
+        for number, path in _listed(batches):
+            lexicon = Lexicon.load(path)
+            for begin in range(0, len(lexicon.names), 50_000):
+                part = lexicon.names.slice(begin, 50_000)
                 n = len(part)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(part, pa.string()),
+                        part,
                         pa.array(np.full(n, number)),
                         pa.array(np.arange(begin, begin + n, dtype=np.int32)),
-                        pa.array(counts[begin : begin + n]),
+                        pa.array(lexicon.n[begin : begin + n]),
                     ],
                     ["word", "block", "pos", "n"],
                 )
@@ -215,23 +254,51 @@ def _encoder(path: str, pattern: str):
     return tiktoken.Encoding("subwords", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), ranks
 
 
-def id_counts(counts: DataFrame, path: str, pattern: str) -> list[tuple[int, int]]:
+def encode_words(words: list[str], path: str, pattern: str) -> tuple[np.ndarray, np.ndarray]:
+    """Subword ids of the words, each with a space in front, one after another; and how many each has."""
+    encoder, ranks = _encoder(path, pattern)
+    width = _id_bytes(path, pattern)
+    parts, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for begin in range(0, len(words), WORDS):
+        own = words[begin : begin + WORDS]
+        text = " " + " ".join(own)
+        if pieces_apart(text):
+            # Nothing crosses from one word to the next, so that the ids of each end where its bytes do.
+            ids = np.array(encoder.encode_ordinary(text), np.int32)
+            ends = np.cumsum(np.fromiter((len(w.encode()) for w in own), np.int64, len(own)) + 1)
+            after = np.cumsum(width[ids])
+            last = np.searchsorted(after, ends)
+            if len(after) and last[-1] < len(after) and (after[last] == ends).all():
+                parts.append(ids)
+                sizes.append(np.diff(last, prepend=-1))
+                continue
+        coded = [encoder.encode_ordinary(" " + w) for w in own]
+        parts.append(np.fromiter(chain.from_iterable(coded), np.int32))
+        sizes.append(np.fromiter(map(len, coded), np.int64, len(coded)))
+    return np.concatenate(parts), np.concatenate(sizes)
+
+
+@lru_cache(maxsize=1)
+def _id_bytes(path: str, pattern: str) -> np.ndarray:
+    """How many bytes each id stands for."""
+    ranks = _encoder(path, pattern)[1]
+    width = np.zeros(max(ranks.values()) + 1, np.int64)
+    width[list(ranks.values())] = [len(token) for token in ranks]
+    return width
+
+
+def id_counts(blocks: DataFrame, path: str, pattern: str) -> list[tuple[int, int]]:
     """(id, uses) over all training words: no more rows than the vocabulary has ids."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        encoder, ranks = _encoder(path, pattern)
-        uses = np.zeros(max(ranks.values()) + 1, np.int64)
-        for batch in batches:
-            coded = [encoder.encode_ordinary(" " + w) for w in batch.column(0).to_pylist()]
-            lengths = np.fromiter(map(len, coded), np.int64, len(coded))
-            flat = np.fromiter((i for ids in coded for i in ids), np.int64, int(lengths.sum()))
-            weights = np.repeat(batch.column(1).to_numpy(), lengths)
-            uses += np.bincount(flat, weights, len(uses)).astype(np.int64)
+        uses = np.zeros(len(_id_bytes(path, pattern)), np.int64)
+        for _, file in _listed(batches):
+            lexicon = Lexicon.load(file)
+            uses += np.bincount(lexicon.ids, np.repeat(lexicon.n, lexicon.sizes), len(uses)).astype(np.int64)
         ids = np.flatnonzero(uses)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(uses[ids])], ["id", "n"])
 
-    words = counts.where("c > 0").select("word", "c")
-    found = words.mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    found = blocks.mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     return sorted((r["id"], r["n"]) for r in found.collect())
 
 
@@ -257,46 +324,42 @@ class Symbols:
                 self.counts[k] += n
 
 
-class WordTable(ChunkTable):
-    """Model symbols of words, each encoded with a space in front."""
+class Speller:
+    """Model symbols of the words of a lexicon."""
 
-    def rows(self, words: list[bytes]) -> np.ndarray:
-        return self._rows(words, self.inner, "")
-
-    def chunks(self, rows: np.ndarray, counts: np.ndarray) -> Chunks:
-        """Texts of so many words each, as rows of this table one after another."""
-        symbols, lengths = self.expand(rows)
-        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
-        return Chunks.of(symbols, np.diff(ends))
+    def __init__(self, spelling: dict[int, list[int]]):
+        self.lengths = np.zeros(max(spelling, default=0) + 1, np.int64)
+        for i, symbols in spelling.items():
+            self.lengths[i] = len(symbols)
+        self.start = np.cumsum(self.lengths) - self.lengths
+        self.symbols = np.fromiter(chain.from_iterable(spelling[i] for i in sorted(spelling)), np.int32)
 
-    def make_room(self) -> None:
-        if self.count > self.limit:
-            self._clear()
+    def spell(self, lexicon: Lexicon) -> Spelt:
+        lengths = self.lengths[lexicon.ids]
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(lexicon.sizes)])]
+        return Spelt(ragged(self.symbols, self.start[lexicon.ids], lengths), ends[:-1], np.diff(ends))
 
 
-@lru_cache(maxsize=1)
-def _table(key: tuple, path: str, pattern: str) -> WordTable:
-    """One per worker."""
-    uses, documents = key
-    encoder, _ = _encoder(path, pattern)
-    spelling = Symbols(list(uses), documents, path, pattern).spelling
+@dataclass
+class Spelt:
+    """Symbols of all words one after another, where those of each begin, and how many it has."""
 
-    def encode(words: list[bytes]) -> list[list[int]]:
-        out = []
-        for word in words:
-            symbols: list[int] = []
-            for i in encoder.encode_ordinary(" " + word.decode()):
-                symbols += spelling[i]
-            out.append(symbols)
-        return out
+    symbols: np.ndarray
+    start: np.ndarray
+    lengths: np.ndarray
 
-    return WordTable(encode, PIECES)
+    def chunks(self, words: np.ndarray, counts: np.ndarray) -> Chunks:
+        """Texts of so many of the words each."""
+        lengths = self.lengths[words]
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
+        return Chunks.of(ragged(self.symbols, self.start[words], lengths), np.diff(ends))
 
 
-def _chunks(table: WordTable, texts: list[list[bytes]]) -> Chunks:
-    table.make_room()
-    counts = np.fromiter(map(len, texts), np.int64, len(texts))
-    return table.chunks(table.rows(list(chain.from_iterable(texts))), counts)
+@lru_cache(maxsize=1)
+def _speller(key: tuple, path: str, pattern: str) -> Speller:
+    """One per worker."""
+    uses, documents = key
+    return Speller(Symbols(list(uses), documents, path, pattern).spelling)
 
 
 # --- fitting -------------------------------------------------------------------------------------
@@ -309,11 +372,12 @@ def fit(blocks: DataFrame, counts: np.ndarray, key: tuple, path: str, pattern: s
     for turn in range(ROUNDS):
 
         def run(batches, start=weights, turn=turn) -> Iterator[pa.RecordBatch]:
-            table, model = _table(key, path, pattern), Model(counts).load(start)
+            speller, model = _speller(key, path, pattern), Model(counts).load(start)
             parts = []
-            for _, block in _loaded(batches):
-                chosen = [t for t, h, p in zip(block.texts, block.held, block.part, strict=True) if not h and p == turn]
-                parts += [_chunks(table, [words_of(t) for t in chosen[k : k + 256]]) for k in range(0, len(chosen), 256)]
+            for _, file in _listed(batches):
+                block, spelt = Block.load(file), speller.spell(Lexicon.load(file))
+                chosen = np.flatnonzero(~block.held & (block.part == turn))
+                parts += [spelt.chunks(*block.of(chosen[k : k + 256])) for k in range(0, len(chosen), 256)]
             symbols = sum(c.inputs.size for c in parts)
             if not symbols:
                 return
@@ -406,7 +470,7 @@ def score(
     part = F.pmod(F.xxhash64(F.lit("part"), id_col), F.lit(ROUNDS)).cast("int").alias("part")
     rows = docs.select(F.col(id_col).alias("_id"), held, part, F.col(text_col).alias("_text"))
     folder = f"{stage.root}/lm-{uuid.uuid4().hex}"
-    blocks = stage(write_blocks(rows, folder), "blocks")
+    blocks = stage(write_blocks(rows, folder, path, pattern), "blocks")
     number = blocks.count()
     each = spread(blocks, number)
     totals, placed = corpus_counts(each, stage)
@@ -416,41 +480,36 @@ def score(
     n_tokens = (first["n"] or 0) + train_docs
     distinct = first["v"] + (1 if train_docs else 0)
     total = n_tokens + SMOOTHING * (distinct + 1)
-    uses = id_counts(totals, path, pattern)
+    uses = id_counts(each, path, pattern)
     key = (tuple(uses), train_docs)
     symbols = Symbols(uses, train_docs, path, pattern)
     weights = fit(blocks, symbols.counts, key, path, pattern, -(-number // BLOCKS_PER_TRAINER), stage)
     symbol_counts = symbols.counts
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        table, model = _table(key, path, pattern), Model(symbol_counts).load(weights)
+        speller, model = _speller(key, path, pattern), Model(symbol_counts).load(weights)
         end_base = np.log10((train_docs + SMOOTHING) / total)
-        for number, block in _loaded(batches):
-            words, own = block.counts()
-            c = np.frombuffer(get_file(f"{folder}/{number}.counts"), "<i8") if words else np.zeros(0, np.int64)
-            if len(c) != len(words) or (c < own).any():
+        for number, file in _listed(batches):
+            block, lexicon = Block.load(file), Lexicon.load(file)
+            c = np.frombuffer(get_file(f"{folder}/{number}.counts"), "<i8") if len(lexicon.names) else lexicon.n
+            if len(c) != len(lexicon.n) or (c < lexicon.n).any():
                 raise RuntimeError(f"block {number} is not the one whose words were counted")
-            base = np.log10((c + SMOOTHING) / total)
-            # Per row of the table: what a word of this block adds to the base line, and whether it is known.
-            table.make_room()
-            places = table.rows(words)
-            base_of, known_of = np.zeros(table.count), np.zeros(table.count)
-            base_of[places], known_of[places] = base, c > 0
+            # What each word adds to the base line, and whether it is known.
+            base, known = np.log10((c + SMOOTHING) / total), (c > 0).astype(np.float64)
+            spelt = speller.spell(lexicon)
             for begin in range(0, len(block.ids), 256):
-                texts = [words_of(t) for t in block.texts[begin : begin + 256]]
-                n = np.fromiter(map(len, texts), np.int64, len(texts))
-                at = table.rows(list(chain.from_iterable(texts)))
-                owner = np.repeat(np.arange(len(texts)), n)
-                chunks = table.chunks(at, n)
-                scores = np.bincount(chunks.owner, model.log10(chunks), len(texts))
+                words, n = block.of(np.arange(begin, min(begin + 256, len(block.ids))))
+                owner = np.repeat(np.arange(len(n)), n)
+                chunks = spelt.chunks(words, n)
+                scores = np.bincount(chunks.owner, model.log10(chunks), len(n))
                 yield pa.RecordBatch.from_arrays(
                     [
                         block.ids.slice(begin, 256),
                         pa.array(block.held[begin : begin + 256]),
                         pa.array(n + 1),
-                        pa.array(np.bincount(owner, known_of[at], len(texts)).astype(np.int64) + (train_docs > 0)),
-                        pa.array(np.full(len(texts), n_tokens)),
-                        pa.array(np.bincount(owner, base_of[at], len(texts)) + end_base),
+                        pa.array(np.bincount(owner, known[words], len(n)).astype(np.int64) + (train_docs > 0)),
+                        pa.array(np.full(len(n), n_tokens)),
+                        pa.array(np.bincount(owner, base[words], len(n)) + end_base),
                         pa.array(scores),
                     ],
                     ["_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
