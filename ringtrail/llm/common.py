@@ -9,10 +9,12 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Sequence
-from itertools import chain, repeat
+from itertools import chain, groupby, repeat
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,10 +120,14 @@ class ChunkTable:
         self.start = np.zeros(1 << 14, np.int64)
         self.used = self.count = 0
 
-    def _add(self, names: list[str], index: dict[str, int], prefix: str) -> None:
-        encoded = self.encode_many([prefix + x for x in names] if prefix else names)
+    def encode_new(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces one after another, and how many each has."""
+        encoded = self.encode_many(pieces)
         lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter(chain.from_iterable(encoded), np.int32, int(lengths.sum()))
+        return np.fromiter(chain.from_iterable(encoded), np.int32, int(lengths.sum())), lengths
+
+    def _add(self, names: list[str], index: dict[str, int], prefix: str) -> None:
+        flat, lengths = self.encode_new([prefix + x for x in names] if prefix else names)
         while self.used + len(flat) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while self.count + len(names) + 1 > len(self.start):
@@ -145,23 +151,28 @@ class ChunkTable:
         """All ids one after another, and how many each text has."""
         if self.count > self.limit:
             self._clear()
-        pieces: list[str] = []
-        heads: list[str] = []
-        sizes = np.zeros(len(texts), np.int64)
-        for n, text in enumerate(texts):
-            parts = chunks_of(text)
-            heads.append(parts[0])
-            pieces += parts[1:]
-            sizes[n] = len(parts)
-        return self._ids(heads, pieces, sizes)
-
-    def _ids(self, heads: list[str], pieces: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        rows = np.empty(len(heads) + len(pieces), np.int64)
+        runs = []
+        for risky, run in groupby(texts, lambda t: _RISKY.search(t) is not None):
+            if risky:
+                runs.append(pa.array([chunks_of(t) for t in run], pa.list_(pa.large_string())))
+            else:
+                runs.append(pc.split_pattern(pa.array(run, pa.large_string()), " "))
+        if not runs:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        cut = pa.concat_arrays(runs)
+        sizes = cut.value_lengths().to_numpy().astype(np.int64)
+        coded = cut.flatten().dictionary_encode()
+        names, number = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         first = np.cumsum(sizes) - sizes
-        inner = np.ones(len(rows), bool)
+        inner = np.ones(len(number), bool)
         inner[first] = False
-        rows[first] = self._rows(heads, self.leading, "")
-        rows[inner] = self._rows(pieces, self.inner, " ")
+        # Each different piece of the batch is looked up once.
+        row_of, used = np.full(len(names), -1), np.zeros(len(names), bool)
+        used[number[inner]] = True
+        there = np.flatnonzero(used)
+        row_of[there] = self._rows([names[i] for i in there.tolist()], self.inner, " ")
+        rows = row_of[number]
+        rows[first] = self._rows([names[i] for i in number[first].tolist()], self.leading, "")
         ids, lengths = self.expand(rows)
         ends = np.concatenate([[0], np.cumsum(lengths)])
         return ids, ends[first + sizes] - ends[first]
