@@ -1,8 +1,10 @@
 """What steps write and shuffle stays small next to their input."""
 
+import random
 from pathlib import Path
 
 import pyarrow.parquet as pq
+import pytest
 from conftest import SMALL, hours, transfer, transfers_frame
 
 from ringtrail import config
@@ -90,3 +92,26 @@ def test_links_are_peeled_where_half_paths_are_many(spark, stage):
     rows = [transfer(k, f"B:{k}", f"B:{(k + 1) % 4}", hours(k), 2000) for k in range(4)]
     assert circular_flow.cycles(transfers_frame(spark, rows), config.rings_of(4), named).count() == 1
     assert not named.of("core-links")
+
+
+@pytest.mark.parametrize("hops", [4, 5])
+def test_rings_of_dense_accounts_come_from_paths_of_transfers(spark, stage, hops):
+    """Few transfers per link: no cycle of links is formed, and the rings are those that links give."""
+    rng = random.Random(hops)
+    rows = [
+        transfer(i, f"B:{rng.randrange(9)}", f"B:{rng.randrange(9)}", hours(rng.randrange(0, 24 * 300, 24)), rng.choice([1500, 2000, 9000]))
+        for i in range(110)
+    ]
+    named, frame = Named(stage), transfers_frame(spark, rows)
+    found = circular_flow.cycles(frame, config.rings_of(hops), named)
+    assert named.of("arcs") and not named.of("link-cycles")
+    links = circular_flow.cycles(frame, config.rings_of(hops), stage, peel=False)
+    assert found.schema == links.schema and found.count() > 20
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, links.collect()))
+
+
+def test_rings_of_busy_pairs_come_from_links(spark, stage):
+    rows = [transfer(30 * k + i, f"B:{k}", f"B:{(k + 1) % 4}", hours(40 * k + i), 2000) for k in range(4) for i in range(5)]
+    named = Named(stage)
+    assert circular_flow.cycles(transfers_frame(spark, rows), config.rings_of(4), named).count() == 5**4
+    assert named.of("link-cycles") and not named.of("arcs")
