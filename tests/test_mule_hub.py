@@ -110,3 +110,20 @@ def test_equal_amounts_are_taken_by_id(spark, stage):
     cands = spark.createDataFrame([(1, "B1:x")], "finding_id long, account_key string")
     edges = mule_hub.edges(cands, transfers_frame(spark, rows), MULE_HUB)
     assert sorted(r["fin_txn_id"] for r in edges.collect()) == [1, 2, 3, 4, 5]
+
+
+def test_other_columns_are_looked_up_for_the_largest_transfers_alone(hubs, spark, stage):
+    """With a stage transfers are ranked by id and amount; the edges are the same, also of an account paying itself."""
+    transfers, _, cands = hubs
+    staged = {}
+
+    def noted(df, name):
+        staged[name] = df
+        return stage(df, name)
+
+    plain = mule_hub.edges(cands, transfers, MULE_HUB)
+    edges = mule_hub.edges(cands, transfers, MULE_HUB, noted)
+    assert edges.dtypes == plain.dtypes
+    assert sorted(map(repr, edges.collect())) == sorted(map(repr, plain.collect())) and edges.count() == 60
+    assert set(staged["largest-transfers"].columns) == {"finding_id", "inbound", "fin_txn_id", "rank", "hop_order"}
+    assert staged["largest-transfers"].count() == 60
